@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from tellerscore.functions.fields import is_night, is_weekend, since
 from tellerscore.operators.running import SPLIT_ROWS, GroupSizes, running_totals
 from tellerscore.schemas import AMOUNT, FEATURES, HORIZONS, KEYS, average_name, count_name
-from tellerscore.session import materialize_measured
+from tellerscore.session import concurrently, materialize_measured
 
 ORDER = ["ts", "id"]
 TOTALS = "decimal(35,6)"
@@ -133,7 +134,8 @@ def point_in_time(
     if totals is None:
         totals = day_totals(rows, keys, amount_type)
     if with_past:
-        totals = {k: _with_past(totals[k], past_totals[k]) for k in keys}
+        merges = [partial(_with_past, totals[k], past_totals[k]) for k in keys]
+        totals = dict(zip(keys, concurrently(rows.sparkSession, *merges)))
     result = rows.withColumn("_day", F.to_date("ts"))
     for key in keys:
         result = _add_family(result, key, totals[key], horizons, amount_type, past_rows, split_rows)

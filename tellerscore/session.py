@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+
+T = TypeVar("T")
 
 _local_folder: tempfile.TemporaryDirectory | None = None
 
@@ -61,14 +67,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_measured(df: DataFrame, name: str, *measures: Column) -> tuple[DataFrame, dict]:
-    """:func:`materialize`, with aggregates over ``df`` that the same job computes on the way.
+def materialize_measured(df: DataFrame, name: str, *measures: Column) -> tuple[DataFrame, Row]:
+    """:func:`materialize`, and one row of aggregates read back from the written columns."""
+    written = materialize(df, name)
+    return written, written.agg(*measures).first()
 
-    A task that runs twice may be counted twice, so use the values for sizing only.
-    """
-    seen = Observation()
-    written = materialize(df.observe(seen, *measures), name)
-    return written, seen.get
+
+def concurrently(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark jobs side by side, so that a small one does not wait for a large one."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [future.result() for future in futures]
 
 
 def release(spark: SparkSession) -> None:

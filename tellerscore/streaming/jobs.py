@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
@@ -26,7 +27,7 @@ from tellerscore.operators.dedupe import dedupe_transactions, unseen
 from tellerscore.operators.history import retained
 from tellerscore.operators.parse import Tenant, accounts, project_scored, transactions
 from tellerscore.plans.scoring import label
-from tellerscore.session import materialize
+from tellerscore.session import concurrently, materialize
 from tellerscore.sinks.index import write_index
 from tellerscore.streaming.tables import EpochTable
 
@@ -131,26 +132,28 @@ class ScoringJob:
         # transaction is either resolved or pending.
         joined = materialize(with_account(new, dimension), "batch")
         resolved = resolved_only(joined)
-        tables.pending.write(pending_only(joined), epoch)
+        totals = features.day_totals(resolved)
 
-        featured = self._features(spark, resolved, epoch, first_day, last_day)
+        featured = self._features(resolved, totals, epoch, first_day, last_day)
         scored = materialize(label(features.calendar_flags(featured), self.model), "scored")
         rows = project_scored(scored, self.tenant)
         if self.index_format is None:
-            tables.scored.write(rows, epoch)
+            output = partial(tables.scored.write, rows, epoch)
         else:
-            write_index(rows, self.index_format, self.tenant.scored, **(self.index_options or {}))
-        tables.history.write(scored.withColumn("event_day", F.to_date("ts")), epoch)
-        alerts = alert_rows(scored, self.recipient, self.signature)
-        tables.alerts.write(alerts, epoch)
+            output = partial(write_index, rows, self.index_format, self.tenant.scored, **(self.index_options or {}))
+        concurrently(
+            spark,
+            output,
+            partial(tables.pending.write, pending_only(joined), epoch),
+            partial(tables.history.write, scored.withColumn("event_day", F.to_date("ts")), epoch),
+            partial(tables.alerts.write, alert_rows(scored, self.recipient, self.signature), epoch),
+            *[partial(table.write, totals[key].frame, epoch) for key, table in tables.day_totals.items()],
+        )
         if self.notify:
             self.notify(tables.alerts.read(spark, only=epoch))
 
-    def _features(self, spark: SparkSession, resolved: DataFrame, epoch: int, first_day, last_day) -> DataFrame:
-        tables = self.tables
-        totals = features.day_totals(resolved)
-        for key, table in tables.day_totals.items():
-            table.write(totals[key].frame, epoch)
+    def _features(self, resolved: DataFrame, totals: dict, epoch: int, first_day, last_day) -> DataFrame:
+        spark, tables = resolved.sparkSession, self.tables
         longest = datetime.timedelta(days=max(schemas.HORIZONS.values()))
         if self.as_of is not None:
             past = retained(tables.history.read(spark, before=epoch), self.as_of, longest.days)

@@ -23,10 +23,9 @@ class EpochTable:
     def write(self, df: DataFrame, epoch: int) -> None:
         rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields])
         if self.partition_by:
-            # One file per partition value and shuffle task; a large day still spreads over tasks.
-            rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/ep={epoch}")
-        else:
-            rows.write.mode("overwrite").parquet(f"{self.path}/ep={epoch}")
+            # Files of one partition value come from few tasks, and a large value still gets many.
+            rows = rows.hint("rebalance", *self.partition_by)
+        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/ep={epoch}")
 
     def read(self, spark: SparkSession, before: int | None = None, only: int | None = None) -> DataFrame:
         """Rows of all micro-batches, of those before one, or of a single one."""
