@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime
 from dataclasses import dataclass
-from functools import partial
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tellerscore.functions.fields import is_night, is_weekend, since
 from tellerscore.operators.running import SPLIT_ROWS, GroupSizes, running_totals
 from tellerscore.schemas import AMOUNT, FEATURES, HORIZONS, KEYS, average_name, count_name
-from tellerscore.session import concurrently, materialize_measured
+from tellerscore.session import materialize, materialize_measured
 
 ORDER = ["ts", "id"]
 TOTALS = "decimal(35,6)"
@@ -79,12 +79,31 @@ def add_day_totals(first: DataFrame, second: DataFrame) -> DataFrame:
     )
 
 
-def _with_past(fresh: DayTotals, past: DataFrame) -> DayTotals:
-    together = add_day_totals(fresh.frame, past)
-    written, seen = materialize_measured(
-        together, "day-totals", F.max("n").alias("largest"), F.sum("n").alias("rows")
+def _with_past(fresh: dict[str, DayTotals], past: dict[str, DataFrame], split_rows: int) -> dict[str, DayTotals]:
+    """Totals of the new rows together with the past ones.
+
+    The past sizes bound what a group can hold; only if they do not rule out a large group are
+    the merged totals written, so that they can be measured and read several times.
+    """
+    sizes = reduce(
+        DataFrame.unionByName,
+        [
+            past[k].groupBy("key", "day").agg(F.sum("n").alias("n")).select(F.lit(k).alias("family"), "n")
+            for k in fresh
+        ],
     )
-    return DayTotals(written, seen["largest"] or 0, seen["rows"] or 0)
+    seen = {
+        r["family"]: r for r in sizes.groupBy("family").agg(F.max("n").alias("n"), F.sum("n").alias("rows")).collect()
+    }
+    merged = {}
+    for key, totals in fresh.items():
+        frame = add_day_totals(totals.frame, past[key])
+        largest = totals.largest + (seen[key]["n"] if key in seen else 0)
+        rows = totals.rows + (seen[key]["rows"] if key in seen else 0)
+        if largest > split_rows:
+            frame = materialize(frame, "day-totals")
+        merged[key] = DayTotals(frame, largest, rows)
+    return merged
 
 
 def earlier_days(totals: DataFrame, horizons: dict[str, int] = HORIZONS) -> DataFrame:
@@ -134,8 +153,7 @@ def point_in_time(
     if totals is None:
         totals = day_totals(rows, keys, amount_type)
     if with_past:
-        merges = [partial(_with_past, totals[k], past_totals[k]) for k in keys]
-        totals = dict(zip(keys, concurrently(rows.sparkSession, *merges)))
+        totals = _with_past(totals, past_totals, split_rows)
     result = rows.withColumn("_day", F.to_date("ts"))
     for key in keys:
         result = _add_family(result, key, totals[key], horizons, amount_type, past_rows, split_rows)

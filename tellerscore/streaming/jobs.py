@@ -112,18 +112,16 @@ class ScoringJob:
     def _process(self, batch: DataFrame, epoch: int) -> None:
         spark, tables = batch.sparkSession, self.tables
         inserts, bad = transactions(batch, self.tenant)
-        tables.bad_transactions.write(bad, epoch)
-
-        waiting = tables.pending.read(spark, only=epoch - 1)
-        arrived = dedupe_transactions(inserts.unionByName(waiting))
-        first_day, last_day = arrived.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+        delivered = inserts.unionByName(tables.pending.read(spark, only=epoch - 1))
+        first_day, last_day = delivered.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
         if first_day is None:
+            tables.bad_transactions.write(bad, epoch)
             return
         # A repeated insert carries the same time, so only the days of this batch can know its id.
         known = tables.history.read(spark, before=epoch).where(
             F.col("event_day").between(F.lit(first_day), F.lit(last_day))
         )
-        new = unseen(arrived, known)
+        new = unseen(dedupe_transactions(delivered), known)
         versions = tables.accounts.read(spark).join(
             new.select("account_id").distinct(), "account_id", "left_semi"
         )
@@ -144,6 +142,7 @@ class ScoringJob:
         concurrently(
             spark,
             output,
+            partial(tables.bad_transactions.write, bad, epoch),
             partial(tables.pending.write, pending_only(joined), epoch),
             partial(tables.history.write, scored.withColumn("event_day", F.to_date("ts")), epoch),
             partial(tables.alerts.write, alert_rows(scored, self.recipient, self.signature), epoch),
