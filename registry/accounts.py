@@ -31,7 +31,8 @@ def pending_account(spark, sf):
 
 
 def exists_check(spark, sf):
-    return _building(spark, sf).join(_batch(spark, sf), "account_id", "left_anti").select("account_id")
+    large = _batch(spark, sf).where("amount > 450000")
+    return _building(spark, sf).join(large, "account_id", "left_anti").select("account_id")
 
 
 def account_lookup(spark, sf):
@@ -156,7 +157,7 @@ ORACLE = {
     "pending_account": f"""
         SELECT o_orderkey AS id, o_custkey AS account_id, o_totalprice AS amount
         FROM orders WHERE o_custkey NOT IN (SELECT account_id FROM {_KNOWN})""",
-    "exists_check": f"SELECT account_id FROM {_KNOWN} WHERE account_id NOT IN (SELECT o_custkey FROM orders)",
+    "exists_check": f"SELECT account_id FROM {_KNOWN} WHERE account_id NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)",
     "account_lookup": f"SELECT * FROM {_KNOWN} WHERE account_id IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000)",
     "latest_account": f"SELECT account_id, customer_id, account_type FROM ({_VERSION.format(way='DESC')}) WHERE r = 1",
     "first_match": f"SELECT account_id, customer_id, account_type FROM ({_VERSION.format(way='ASC')}) WHERE r = 1",

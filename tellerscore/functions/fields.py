@@ -12,7 +12,6 @@ from tellerscore.schemas import AMOUNT
 
 # Fixed values of the change-event formats and labels.
 MICRO_UNITS = "0.000001"
-MAX_UNSCALED = 10**25
 DEBIT_CODE = 2
 SAVING_CODE = "SA"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -21,10 +20,10 @@ NIGHT_FROM, NIGHT_TO = 22, 6
 
 
 def _hex_to_number(digits: Column) -> Column:
-    """Value of up to 22 hex digits as decimal(38,0). ``conv`` alone stops at 64 bits."""
-    padded = F.lpad(digits, 24, "0")
-    high = F.conv(F.substring(padded, 1, 12), 16, 10).cast("decimal(15,0)")
-    low = F.conv(F.substring(padded, 13, 12), 16, 10).cast("decimal(15,0)")
+    """Value of the last 24 hex digits as decimal(38,0). ``conv`` alone stops at 64 bits."""
+    padded = F.concat(F.lit("0" * 24), digits)
+    high = F.conv(F.substring(padded, -24, 12), 16, 10).cast("decimal(15,0)")
+    low = F.conv(F.substring(padded, -12, 12), 16, 10).cast("decimal(15,0)")
     return (high * F.lit(2**48).cast("decimal(15,0)") + low).cast("decimal(38,0)")
 
 
@@ -34,19 +33,16 @@ def decode_amount(encoded: Column, signed: bool = False) -> Column:
     Null for text that is not base64 and for magnitudes of 10^25 millionths or more. The integer
     is read as unsigned unless ``signed``, which reads two's complement.
     """
-    raw = F.hex(F.try_to_binary(encoded, F.lit("base64")))
+    digits = F.hex(F.try_to_binary(encoded, F.lit("base64")))
     if signed:
-        negative = F.substring(raw, 1, 1).isin(*"89ABCDEF")
-        flipped = F.translate(raw, "0123456789ABCDEF", "FEDCBA9876543210")
-        digits = F.when(negative, flipped).otherwise(raw)
-    else:
-        digits = raw
-    significant = F.ltrim(digits, F.lit("0"))
-    number = F.when(F.length(significant) <= 22, _hex_to_number(significant))
+        negative = F.substring(digits, 1, 1).isin(*"89ABCDEF")
+        flipped = F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")
+        digits = F.when(negative, flipped).otherwise(digits)
+    number = _hex_to_number(digits)
     if signed:
-        number = F.when(negative, -(number + 1)).otherwise(number)
-    in_range = F.abs(number) < F.lit(str(MAX_UNSCALED)).cast("decimal(38,0)")
-    unscaled = F.when(in_range, number).cast("decimal(25,0)")
+        number = F.when(negative, -number - 1).otherwise(number)
+    fits = F.length(F.ltrim(digits, F.lit("0"))) < 24
+    unscaled = F.when(fits, number.try_cast("decimal(25,0)"))
     return (unscaled * F.lit(MICRO_UNITS).cast("decimal(6,6)")).cast(AMOUNT)
 
 

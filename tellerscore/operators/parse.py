@@ -116,27 +116,34 @@ TENANT_B = Tenant(
 POSITION = ("partition", "offset")
 
 
+def once(df: DataFrame, *keep: str, columns: Column) -> DataFrame:
+    """Columns ``keep`` and the fields of the struct ``columns``, computed once per row.
+
+    A plain projection would be copied into every filter and expression that uses it, and with
+    it the JSON parsing; the optimizer does not move expressions out of a generator.
+    """
+    return df.select(*keep, F.inline(F.array(columns)))
+
+
 def parse_envelope(records: DataFrame, after: StructType) -> DataFrame:
     """Add ``payload`` and ``status``: insert, update, delete, tombstone, malformed or empty."""
-    parsed = records.withColumn(
-        "_envelope",
-        F.from_json(
-            "value",
-            schemas.envelope(after),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
-        ),
+    envelope = F.from_json(
+        "value",
+        schemas.envelope(after),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
-    payload, corrupt = F.col("_envelope.payload"), F.col("_envelope._corrupt")
+    parsed = once(records, *records.columns, columns=envelope)
+    payload = F.col("payload")
     before, new = payload["before"], payload["after"]
     status = (
         F.when(F.col("value").isNull(), "tombstone")
-        .when(corrupt.isNotNull() | payload.isNull(), "malformed")
+        .when(F.col("_corrupt").isNotNull() | payload.isNull(), "malformed")
         .when(before.isNotNull() & new.isNull(), "delete")
         .when(new.isNull(), "empty")
         .when(before.isNotNull(), "update")
         .otherwise("insert")
     )
-    return parsed.withColumn("status", status).withColumn("payload", payload).drop("_envelope")
+    return parsed.withColumn("status", status).drop("_corrupt")
 
 
 def filter_insert(parsed: DataFrame) -> DataFrame:
@@ -144,37 +151,55 @@ def filter_insert(parsed: DataFrame) -> DataFrame:
     return parsed.where("payload.before IS NULL AND payload.after IS NOT NULL AND status = 'insert'")
 
 
+def read_transactions(records: DataFrame, tenant: Tenant) -> DataFrame:
+    """Every record with its canonical fields and what is to become of it.
+
+    ``fate`` is ``keep``, ``skip`` (updates and deletes), or the reason for quarantine.
+    """
+    return _adapt(records, tenant.transaction_after, tenant.transaction, ("id", "account_id", "amount", "ts"), ("insert",))
+
+
+def read_accounts(records: DataFrame, tenant: Tenant) -> DataFrame:
+    """As :func:`read_transactions`; inserts and updates both carry an account version."""
+    return _adapt(records, tenant.account_after, tenant.account, ("customer_id", "account_id"), ("insert", "update"))
+
+
+def kept(read: DataFrame) -> DataFrame:
+    return read.where("fate = 'keep'").drop("value", "fate")
+
+
+def quarantined(read: DataFrame) -> DataFrame:
+    return read.where("fate NOT IN ('keep', 'skip')").select("value", *POSITION, F.col("fate").alias("reason"))
+
+
 def transactions(records: DataFrame, tenant: Tenant) -> tuple[DataFrame, DataFrame]:
     """Canonical inserts, and the records that need attention with a reason."""
-    return _adapt(records, tenant.transaction_after, tenant.transaction, ("id", "account_id", "amount", "ts"), True)
+    read = read_transactions(records, tenant)
+    return kept(read), quarantined(read)
 
 
 def accounts(records: DataFrame, tenant: Tenant) -> tuple[DataFrame, DataFrame]:
-    """Account versions, from inserts and updates alike, and the records that need attention."""
-    return _adapt(records, tenant.account_after, tenant.account, ("customer_id", "account_id"), False)
+    """Account versions, and the records that need attention with a reason."""
+    read = read_accounts(records, tenant)
+    return kept(read), quarantined(read)
 
 
-def _adapt(records, after, adapter, required, inserts_only):
+def _adapt(records, after, adapter, required, wanted):
     parsed = parse_envelope(records, after)
-    wanted = F.col("status") == "insert"
-    if not inserts_only:
-        wanted = F.col("status").isin("insert", "update")
     columns = adapter(F.col("payload.after"))
-    typed = parsed.select(
-        "value", "status", *POSITION, *[c.alias(n) for n, c in columns.items()]
+    typed = once(
+        parsed, "value", "status", *POSITION, columns=F.struct(*[c.alias(n) for n, c in columns.items()])
     )
     complete = F.lit(True)
     for name in required:
         complete = complete & F.col(name).isNotNull()
-    good = typed.where(wanted & complete).select(*columns, *POSITION)
-    bad = typed.where(
-        F.col("status").isin("tombstone", "malformed", "empty") | (wanted & ~complete)
-    ).select(
-        "value",
-        *POSITION,
-        F.when(wanted, "unusable field").otherwise(F.col("status")).alias("reason"),
+    fate = (
+        F.when(F.col("status").isin(*wanted), F.when(complete, "keep").otherwise("unusable field"))
+        .when(F.col("status").isin("tombstone", "malformed", "empty"), F.col("status"))
+        .otherwise("skip")
     )
-    return good, bad
+    text = F.when(~fate.isin("keep", "skip"), F.col("value"))
+    return typed.select(*columns, *POSITION, text.alias("value"), fate.alias("fate"))
 
 
 def project_scored(scored: DataFrame, tenant: Tenant) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tellerscore import schemas
-from tellerscore.operators import features
+from tellerscore.operators import features, parse
 from tellerscore.operators.accounts import (
     latest_accounts,
     live_accounts,
@@ -25,7 +25,7 @@ from tellerscore.operators.accounts import (
 from tellerscore.operators.alerts import alert_rows
 from tellerscore.operators.dedupe import dedupe_transactions, unseen
 from tellerscore.operators.history import retained
-from tellerscore.operators.parse import Tenant, accounts, project_scored, transactions
+from tellerscore.operators.parse import Tenant, project_scored
 from tellerscore.plans.scoring import label
 from tellerscore.session import concurrently, materialize
 from tellerscore.sinks.index import write_index
@@ -73,10 +73,13 @@ class AccountJob:
     tenant: Tenant
 
     def process(self, batch: DataFrame, epoch: int) -> None:
-        versions, bad = accounts(batch, self.tenant)
-        stamped = latest_accounts(versions).withColumn("seen_at", F.current_timestamp())
-        self.tables.accounts.write(stamped, epoch)
-        self.tables.bad_accounts.write(bad, epoch)
+        read = parse.read_accounts(batch, self.tenant).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            latest = latest_accounts(parse.kept(read)).withColumn("seen_at", F.current_timestamp())
+            self.tables.accounts.write(latest, epoch)
+            self.tables.bad_accounts.write(parse.quarantined(read), epoch)
+        finally:
+            read.unpersist()
 
     def start(self, records: DataFrame, **trigger):
         return _start(records, self.process, f"{self.tables.root}/_checkpoint_accounts", trigger)
@@ -103,16 +106,16 @@ class ScoringJob:
     notify: Callable[[DataFrame], None] | None = None
 
     def process(self, batch: DataFrame, epoch: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        read = parse.read_transactions(batch, self.tenant).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._process(batch, epoch)
+            self._process(read, epoch)
         finally:
-            batch.unpersist()
+            read.unpersist()
 
-    def _process(self, batch: DataFrame, epoch: int) -> None:
-        spark, tables = batch.sparkSession, self.tables
-        inserts, bad = transactions(batch, self.tenant)
-        delivered = inserts.unionByName(tables.pending.read(spark, only=epoch - 1))
+    def _process(self, read: DataFrame, epoch: int) -> None:
+        spark, tables = read.sparkSession, self.tables
+        bad = parse.quarantined(read)
+        delivered = parse.kept(read).unionByName(tables.pending.read(spark, only=epoch - 1))
         first_day, last_day = delivered.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
         if first_day is None:
             tables.bad_transactions.write(bad, epoch)
