@@ -44,7 +44,9 @@ def with_account(batch: DataFrame, accounts: DataFrame) -> DataFrame:
     measures small, and otherwise splits a hot account's transactions over several tasks.
     """
     columns = accounts.select("account_id", "customer_id", "account_type", F.lit(True).alias("known"))
-    return batch.join(columns, "account_id", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    return batch.join(columns, "account_id", "left").select(
+        *batch.columns, "customer_id", "account_type", F.coalesce("known", F.lit(False)).alias("known")
+    )
 
 
 def resolved_only(joined: DataFrame) -> DataFrame:
