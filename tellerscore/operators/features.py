@@ -72,11 +72,9 @@ def day_totals(rows: DataFrame, keys: tuple[str, ...] = KEYS, amount_type=AMOUNT
     }
 
 
-def add_day_totals(first: DataFrame, second: DataFrame) -> DataFrame:
-    """The totals of both inputs, each (key, day) once."""
-    return first.unionByName(second).groupBy("key", "day").agg(
-        F.sum("n").alias("n"), F.sum("s").cast(TOTALS).alias("s")
-    )
+def sum_by_day(totals: DataFrame) -> DataFrame:
+    """Partial totals as one row per (key, day)."""
+    return totals.groupBy("key", "day").agg(F.sum("n").alias("n"), F.sum("s").cast(TOTALS).alias("s"))
 
 
 def _with_past(fresh: dict[str, DayTotals], past: dict[str, DataFrame], split_rows: int) -> dict[str, DayTotals]:
@@ -97,7 +95,7 @@ def _with_past(fresh: dict[str, DayTotals], past: dict[str, DataFrame], split_ro
     }
     merged = {}
     for key, totals in fresh.items():
-        frame = add_day_totals(totals.frame, past[key])
+        frame = sum_by_day(totals.frame.unionByName(past[key]))
         largest = totals.largest + (seen[key]["n"] if key in seen else 0)
         rows = totals.rows + (seen[key]["rows"] if key in seen else 0)
         if largest > split_rows:
@@ -155,7 +153,10 @@ def point_in_time(
     if with_past:
         totals = _with_past(totals, past_totals, split_rows)
     result = rows.withColumn("_day", F.to_date("ts"))
-    for key in keys:
+    for i, key in enumerate(keys):
+        if i and totals[key].largest > split_rows:
+            # Split groups and the others are read apart; do not compute the first key twice.
+            result = materialize(result, "features")
         result = _add_family(result, key, totals[key], horizons, amount_type, past_rows, split_rows)
     return result.drop("_day")
 
@@ -174,15 +175,12 @@ def _add_family(rows, key, totals, horizons, amount_type, past_rows, split_rows)
         candidates = rows.withColumn("_past", F.lit(False)).unionByName(past, allowMissingColumns=True)
     names = {"key": key, "day": "_day"}
     sizes = GroupSizes(totals.frame.withColumnsRenamed(names), totals.largest, totals.rows)
-    running = running_totals(
-        candidates, group, ORDER, F.col("amount").cast(amount_type), sizes, split_rows
+    before = earlier_days(totals.frame, horizons).withColumnsRenamed(names)
+    joined = running_totals(
+        candidates, group, ORDER, F.col("amount").cast(amount_type), sizes, split_rows, before
     )
     if past_rows is not None:
-        running = running.where(~F.col("_past")).drop("_past")
-    before = earlier_days(totals.frame, horizons).withColumnsRenamed(names)
-    # The window leaves rows hashed and sorted by the join keys, so a merge join moves and sorts
-    # only the day totals.
-    joined = running.join(before.hint("merge"), group, "left")
+        joined = joined.where(~F.col("_past"))
     averages, counts = [], []
     for name in horizons:
         count = F.coalesce(F.col(f"_n_{name}"), F.lit(0)) + F.col("run_n")

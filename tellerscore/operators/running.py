@@ -43,25 +43,37 @@ def running_totals(
     measure: Column,
     sizes: GroupSizes,
     split_rows: int = SPLIT_ROWS,
+    attach: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``run_n`` and ``run_s``: count and sum in the group up to and including each row.
 
-    (group, order) must identify a row.
+    (group, order) must identify a row. ``attach`` has one row per group, whose columns are added
+    to the group's rows; joining it afterwards would bring a split group together again.
     """
     rows = rows.withColumn("_measure", measure)
     if sizes.largest <= split_rows:
-        return _window_totals(rows, group, order)
+        return _attach_by_merge(_window_totals(rows, group, order), attach, group)
 
     limit = max(split_rows, sizes.rows // MAX_PARTS)
     hot = sizes.frame.where(F.col("n") > limit).select(*group, "n")
     hot_rows = hot.agg(F.sum("n")).first()[0]
     if not hot_rows:
-        return _window_totals(rows, group, order)
+        return _attach_by_merge(_window_totals(rows, group, order), attach, group)
     hot_groups = F.broadcast(hot.select(*group))
     parts = max(2, min(MAX_PARTS, math.ceil(hot_rows / split_rows)))
     common = rows.join(hot_groups, group, "left_anti")
     split = rows.join(hot_groups, group, "left_semi")
-    return _window_totals(common, group, order).unionByName(_piecewise_totals(split, group, order, parts))
+    small = _attach_by_merge(_window_totals(common, group, order), attach, group)
+    large = _piecewise_totals(split, group, order, parts)
+    if attach is not None:
+        few = attach.join(hot_groups, group, "left_semi")
+        large = large.join(F.broadcast(few), group, "left")
+    return small.unionByName(large)
+
+
+def _attach_by_merge(totals: DataFrame, attach: DataFrame | None, group: list[str]) -> DataFrame:
+    """The window leaves rows hashed and sorted by the group: a merge join moves only ``attach``."""
+    return totals if attach is None else totals.join(attach.hint("merge"), group, "left")
 
 
 def _window_totals(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:

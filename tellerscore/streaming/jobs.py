@@ -24,7 +24,7 @@ from tellerscore.operators.accounts import (
 )
 from tellerscore.operators.alerts import alert_rows
 from tellerscore.operators.dedupe import dedupe_transactions, unseen
-from tellerscore.operators.history import retained
+from tellerscore.operators.history import HISTORY_DAYS, retained
 from tellerscore.operators.parse import Tenant, project_scored
 from tellerscore.plans.scoring import label
 from tellerscore.session import concurrently, materialize
@@ -65,6 +65,18 @@ class Tables:
         self.bad_accounts = EpochTable(f"{root}/quarantine_accounts", QUARANTINE)
 
 
+    def compact(self, spark: SparkSession, epoch: int, account_epoch: int, today: datetime.date) -> None:
+        """Merge the state of finished micro-batches, and let go of days past retention.
+
+        Keeps the number of files that each micro-batch has to list and read from growing.
+        """
+        self.accounts.compact(spark, account_epoch, latest_accounts)
+        self.history.compact(spark, epoch, lambda rows: retained(rows, today))
+        oldest = F.date_sub(F.lit(today), HISTORY_DAYS)
+        for table in self.day_totals.values():
+            table.compact(spark, epoch, lambda rows: features.sum_by_day(rows.where(F.col("day") >= oldest)))
+
+
 @dataclass(frozen=True)
 class AccountJob:
     """Keeps the versions of each account; every micro-batch adds its last ones."""

@@ -98,6 +98,20 @@ def test_a_hot_group_is_cut_into_even_pieces(spark):
     assert sum(sizes) == 100_000 and len(sizes) == 10 and max(sizes) < 20_000
 
 
+def test_a_hot_group_stays_spread_over_tasks(spark):
+    hot = spark.range(0, 20_000).select(
+        "id",
+        F.lit(1).cast("long").alias("account_id"),
+        F.lit(0).cast("long").alias("customer_id"),
+        F.lit(2.5).alias("amount"),
+        F.lit(START).alias("ts"),
+    )
+    featured = features.point_in_time(hot, split_rows=2_000)
+    per_task = featured.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 20_000 and max(r["count"] for r in per_task) < 15_000
+    assert featured.where("account_id_count_1day <> id + 1 OR customer_id_count_3month <> id + 1").count() == 0
+
+
 def test_running_totals_with_null_measures(spark):
     rows = [(1, 1, None), (1, 2, 5), (1, 3, None), (1, 4, 6), (2, 1, None)]
     df = spark.createDataFrame(rows, "k int, o int, v int")

@@ -116,6 +116,27 @@ def test_stream_equals_one_batch_and_survives_replays(spark):
     assert alerts[0] == alerts[1] and 0 < len(alerts[0]) < 60
 
 
+def test_compaction_changes_nothing_but_files(spark, tables):
+    send_accounts(spark, tables, [account_a(10, 1), account_a(20, 2), account_a(21, 2)])
+    send_accounts(spark, tables, [account_a(10, 1)], 1, start=3)
+    plain = Tables(new_path(spark, "deployment"), parse.TENANT_A)
+    send_accounts(spark, plain, [account_a(10, 1), account_a(20, 2), account_a(21, 2)])
+    values = transactions()
+    for epoch, (start, end) in enumerate([(0, 20), (20, 40), (40, 60)]):
+        for target in (tables, plain):
+            job = ScoringJob(target, parse.TENANT_A, CountRule())
+            job.process(records(spark, values[start:end], start), epoch)
+        tables.compact(spark, epoch, 2, datetime.date(2024, 1, 10))
+        for table in (tables.accounts, tables.history, *tables.day_totals.values()):
+            table.vacuum(spark)
+    assert sorted(map(repr, tables.scored.read(spark).collect())) == sorted(map(repr, plain.scored.read(spark).collect()))
+    assert tables.history.read(spark).count() == 60
+    # A base that lacks its marker was not finished and is not read.
+    fs, unfinished = tables.history._file(spark, f"{tables.history.path}_base/9")
+    fs.mkdirs(unfinished)
+    assert tables.history.read(spark).count() == 60
+
+
 def test_late_rows_and_one_anchor_day(spark, tables):
     send_accounts(spark, tables, [account_a(10, 1)])
     job = ScoringJob(tables, parse.TENANT_A, CountRule(), as_of=datetime.date(2024, 1, 10))
