@@ -8,7 +8,7 @@ from registry import inputs
 from tellerscore.operators import features
 from tellerscore.schemas import HORIZONS, average_name, count_name
 
-CUT = "2024-01-16"
+CUT = "2024-01-16 12:00:00"
 
 
 def _averages(key):
@@ -38,13 +38,18 @@ def join_history(spark, sf):
 
 
 def feat_rollup(spark, sf):
-    """The later half of the events scored against stored day totals and same-day rows of the rest."""
+    """Events in two parts: the later part sees the earlier one through its stored day totals and
+    the raw rows of the days both share."""
     rows = _rows(inputs.events(spark, sf))
-    old, new = rows.where(F.col("ts") < F.lit(CUT)), rows.where(F.col("ts") >= F.lit(CUT))
-    past = {key: t.frame for key, t in features.day_totals(old).items()}
-    same_days = old.where(F.to_date("ts") >= F.lit(CUT).cast("date"))
-    scored = features.point_in_time(new, past_totals=past, past_rows=same_days)
-    return scored.select("id", *[c for k in ("customer_id", "account_id") for c in _averages(k) + _counts(k)])
+    cut = F.lit(CUT).cast("timestamp")
+    old, new = rows.where(F.col("ts") < cut), rows.where(F.col("ts") >= cut)
+    totals = features.day_totals(old)
+    past = {key: t.frame for key, t in totals.items()}
+    same_days = old.where(F.to_date("ts") >= F.to_date(cut))
+    first = features.point_in_time(old, totals=totals)
+    second = features.point_in_time(new, past_totals=past, past_rows=same_days)
+    names = [c for k in ("customer_id", "account_id") for c in _averages(k) + _counts(k)]
+    return first.unionByName(second).select("id", *names)
 
 
 def feat_as_of(spark, sf):
@@ -105,13 +110,13 @@ def pit_columns(key, horizons, averages=True, counts=True):
     return ", ".join(columns)
 
 
-def pit_sql(source, key, horizons=HORIZONS, averages=True, counts=True, where="TRUE"):
+def pit_sql(source, key, horizons=HORIZONS, averages=True, counts=True):
     t = _SOURCES[source]
     columns = pit_columns(key, horizons, averages, counts)
     return f"""
         SELECT a.id, {columns} FROM ({t}) a
         JOIN ({t}) b ON a.{key} = b.{key} AND (b.ts < a.ts OR (b.ts = a.ts AND b.id <= a.id))
-        WHERE {where} GROUP BY a.id"""
+        GROUP BY a.id"""
 
 
 ORACLE = {
@@ -123,8 +128,7 @@ ORACLE = {
     "feat_account_pit": pit_sql("events", "account_id"),
     "join_history": pit_sql("events", "account_id", {"1day": 1}),
     "feat_rollup": f"""
-        SELECT * FROM ({pit_sql("events", "customer_id", where=f"a.ts >= TIMESTAMP '{CUT}'")})
-        JOIN ({pit_sql("events", "account_id", where=f"a.ts >= TIMESTAMP '{CUT}'")}) USING (id)""",
+        SELECT * FROM ({pit_sql("events", "customer_id")}) JOIN ({pit_sql("events", "account_id")}) USING (id)""",
     "feat_as_of": "SELECT customer_id, "
     + ", ".join(
         f"CAST(SUM(amount) FILTER (WHERE d >= DATE '2001-08-01' - {n}) AS DOUBLE) / NULLIF(COUNT(*) FILTER (WHERE d >= DATE '2001-08-01' - {n}), 0) AS {average_name('customer_id', h)}, "
