@@ -34,28 +34,28 @@ def ml_string_index(spark, sf):
 
 
 def ml_split(spark, sf):
-    training, test = ml.split(inputs.events(spark, sf), "id")
+    training, test = ml.split(inputs.events(spark, sf), ["id"])
     return training.select("id", F.lit("train").alias("part")).unionByName(test.select("id", F.lit("test").alias("part")))
 
 
 def _trained(kind):
     def query(spark, sf):
         rows = inputs.featured_events(spark, sf)
-        model = train(rows, kind, "id").model
+        model = train(rows, kind, ["id"]).model
         return ml.score(model, rows.drop("is_fraud")).select("id", "prediction", "is_fraud")
 
     return query
 
 
 def ml_summary(spark, sf):
-    done = train(inputs.featured_events(spark, sf), "lr", "id")
+    done = train(inputs.featured_events(spark, sf), "lr", ["id"])
     rows = [("train", done.train_match), ("test", done.test_match)]
     return spark.createDataFrame(rows, "part string, match_percentage double")
 
 
 def ml_score(spark, sf):
     rows = inputs.featured_events(spark, sf)
-    model = train(rows, "lr", "id").model
+    model = train(rows, "lr", ["id"]).model
     scored = ml.score(model, rows.withColumnRenamed("is_fraud", "label"))
     predictions = scored.select(F.col("label").alias("is_fraud"), "prediction")
     return metrics.eval_metrics(predictions)
@@ -65,14 +65,14 @@ def ml_pipeline(spark, sf):
     columns = ["op_type", "account_id", "transaction_in_weekend", "transaction_at_night"]
     rows = inputs.featured_events(spark, sf).join(inputs.events(spark, sf).select("id", "op_type"), "id")
     rows = materialize(rows.select("id", "is_fraud", *columns), "pipeline")
-    training, test = ml.split(rows, "id", 0.8, 42)
+    training, test = ml.split(rows, ["id"], 0.8, 42)
     model = ml.indexed_pipeline(training, columns=columns).fit(training)
     return model.transform(test).select("id", "label", "prediction")
 
 
 def model_save(spark, sf):
     path = new_path(spark, "model")
-    train(inputs.featured_events(spark, sf), "lr", "id", path)
+    train(inputs.featured_events(spark, sf), "lr", ["id"], path)
     saved = spark.read.json(f"{path}/metadata")
     return saved.select("class", F.col("paramMap.labelCol").alias("label"), F.col("defaultParamMap.maxIter").alias("iterations"))
 
@@ -80,7 +80,7 @@ def model_save(spark, sf):
 def model_load(spark, sf):
     rows = inputs.featured_events(spark, sf)
     path = new_path(spark, "model")
-    model = train(rows, "lr", "id", path).model
+    model = train(rows, "lr", ["id"], path).model
     inputs_only = rows.drop("is_fraud")
     kept = ml.score(model, inputs_only).select("id", F.col("prediction").alias("kept"))
     loaded = ml.score(ml.load("lr", path), inputs_only).select("id", F.col("prediction").alias("loaded"))

@@ -9,7 +9,7 @@ from registry.trailing import pit_columns
 from tellerscore import schemas
 from tellerscore.operators import accounts, dedupe, parse
 from tellerscore.plans.scoring import label, score_backfill
-from tellerscore.session import new_path
+from tellerscore.session import materialize, new_path
 from tellerscore.sinks import notify
 from tellerscore.sinks.index import conform, create_target
 from tellerscore.sources.cdc import cdc_stream, multi_stream
@@ -141,6 +141,7 @@ def stream_equals_batch(spark, sf):
     records = inputs.event_records(spark, sf)
     borders = [F.lit(d).cast("timestamp") for d in ("2024-01-08", "2024-01-16 12:00:00", "2024-01-24")]
     stamped = records.join(inputs.events(spark, sf).select(F.col("id").alias("offset"), "ts"), "offset")
+    stamped = materialize(stamped, "stamped")
     part = sum((F.col("ts") >= b).cast("int") for b in borders)
     folder = new_path(spark, "event-records")
     for i in range(4):

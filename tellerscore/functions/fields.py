@@ -91,8 +91,11 @@ def label_text(prediction: Column) -> Column:
 
 
 def since(moment: Column, anchor: Column, days: int) -> Column:
-    """True from ``days`` whole calendar days before the anchor day on, with no upper bound."""
-    return F.to_date(moment) >= F.date_sub(anchor, days)
+    """True from ``days`` whole calendar days before the anchor day on, with no upper bound.
+
+    Compares the bare timestamp with that day's midnight, so that file scans can use it.
+    """
+    return moment >= F.date_sub(anchor, days).cast("timestamp")
 
 
 def number_text(value: Column) -> Column:

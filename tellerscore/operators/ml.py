@@ -60,19 +60,20 @@ def vector_rows(df: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
     return df.select(array_to_vector(F.array(*values)).alias("features"))
 
 
-def in_first_part(key: str, share: float, seed: int = 123) -> Column:
-    """True for about ``share`` of the rows, decided by each row's key alone.
+def in_first_part(keys: list[str], share: float, seed: int = 123) -> Column:
+    """True for about ``share`` of the rows, decided by each row's key columns alone.
 
     Unlike ``randomSplit`` the answer does not depend on partitioning, so a recomputed task puts
     every row on the side where it was before.
     """
-    digest = F.substring(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), 1, 8)
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    digest = F.substring(F.md5(F.concat_ws(":", *parts, F.lit(str(seed)))), 1, 8)
     return F.conv(digest, 16, 10).cast("long") < int(share * 2**32)
 
 
-def split(df: DataFrame, key: str, share: float = 0.7, seed: int = 123) -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, keys: list[str], share: float = 0.7, seed: int = 123) -> tuple[DataFrame, DataFrame]:
     """Training and test rows."""
-    first = in_first_part(key, share, seed)
+    first = in_first_part(keys, share, seed)
     return df.where(first), df.where(~first)
 
 

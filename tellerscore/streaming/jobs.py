@@ -9,7 +9,7 @@ from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
@@ -128,14 +128,12 @@ class ScoringJob:
         spark, tables = read.sparkSession, self.tables
         bad = parse.quarantined(read)
         delivered = parse.kept(read).unionByName(tables.pending.read(spark, only=epoch - 1))
-        first_day, last_day = delivered.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
-        if first_day is None:
+        days = [r.day for r in delivered.select(F.to_date("ts").alias("day")).distinct().collect()]
+        if not days:
             tables.bad_transactions.write(bad, epoch)
             return
         # A repeated insert carries the same time, so only the days of this batch can know its id.
-        known = tables.history.read(spark, before=epoch).where(
-            F.col("event_day").between(F.lit(first_day), F.lit(last_day))
-        )
+        known = tables.history.read(spark, before=epoch).where(_on(F.col("event_day"), days))
         new = unseen(dedupe_transactions(delivered), known)
         versions = tables.accounts.read(spark).join(
             new.select("account_id").distinct(), "account_id", "left_semi"
@@ -147,7 +145,7 @@ class ScoringJob:
         resolved = resolved_only(joined)
         totals = features.day_totals(resolved)
 
-        featured = self._features(resolved, totals, epoch, first_day, last_day)
+        featured = self._features(resolved, totals, epoch, days)
         scored = materialize(label(features.calendar_flags(featured), self.model), "scored")
         rows = project_scored(scored, self.tenant)
         if self.index_format is None:
@@ -166,7 +164,7 @@ class ScoringJob:
         if self.notify:
             self.notify(tables.alerts.read(spark, only=epoch))
 
-    def _features(self, resolved: DataFrame, totals: dict, epoch: int, first_day, last_day) -> DataFrame:
+    def _features(self, resolved: DataFrame, totals: dict, epoch: int, days: list) -> DataFrame:
         spark, tables = resolved.sparkSession, self.tables
         longest = datetime.timedelta(days=max(schemas.HORIZONS.values()))
         if self.as_of is not None:
@@ -177,14 +175,12 @@ class ScoringJob:
             return features.as_of_features(resolved, both, self.as_of)
         past_totals = {}
         for key, table in tables.day_totals.items():
-            days = table.read(spark, before=epoch).where(
-                F.col("day").between(F.lit(first_day - longest), F.lit(last_day))
+            recent = table.read(spark, before=epoch).where(
+                F.col("day").between(F.lit(min(days) - longest), F.lit(max(days)))
             )
             keys = resolved.select(F.col(key).alias("key")).distinct()
-            past_totals[key] = days.join(keys, "key", "left_semi")
-        past_rows = tables.history.read(spark, before=epoch).where(
-            F.col("event_day").between(F.lit(first_day), F.lit(last_day))
-        )
+            past_totals[key] = recent.join(keys, "key", "left_semi")
+        past_rows = tables.history.read(spark, before=epoch).where(_on(F.col("event_day"), days))
         return features.point_in_time(
             resolved, past_totals=past_totals, past_rows=past_rows, totals=totals
         )
@@ -193,6 +189,14 @@ class ScoringJob:
         return _start(records, self.process, f"{self.tables.root}/_checkpoint_transactions", trigger)
 
 
+def _on(day: Column, days: list[datetime.date], most: int = 400) -> Column:
+    """Limits a partition column to the days of a batch, so that one late row costs one more day.
+
+    A batch of very many days, such as a backlog, gives the range between the outermost ones.
+    """
+    return day.isin(days) if len(days) <= most else day.between(F.lit(min(days)), F.lit(max(days)))
+
+
 def _start(records: DataFrame, process, checkpoint: str, trigger: dict):
     writer = records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if trigger:

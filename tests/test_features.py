@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tellerscore.operators import features, running
+from tellerscore.session import materialize
 from tellerscore.schemas import HORIZONS, KEYS, average_name, count_name
 
 SCHEMA = "id long, account_id long, customer_id long, amount double, ts timestamp"
@@ -141,6 +142,14 @@ def test_as_of_features(spark):
                     assert average is None
 
 
+def test_anchor_day_reaches_the_scan(spark):
+    written = materialize(spark.createDataFrame(rows_with_a_hot_key(), SCHEMA), "history")
+    frame = features.as_of_totals(written, "account_id", START.date())
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2023-10-03" in plan
+    assert "ReadSchema: struct<account_id:bigint,amount:double,ts:timestamp>" in plan
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert features.point_in_time(df).count() == 0

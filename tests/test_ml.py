@@ -34,7 +34,7 @@ def table(spark):
 @pytest.mark.parametrize("kind", ["lr", "svm", "mlp"])
 def test_train_save_load_score(spark, table, kind):
     path = new_path(spark, kind)
-    done = train(table, kind, "id", path)
+    done = train(table, kind, ["id"], path)
     assert done.train_match > 90 and done.test_match > 85
     assert done.metrics["accuracy"] == pytest.approx(done.test_match / 100)
     rows = spark.createDataFrame([[float(v) for v in r] for r in (SMALL, LARGE, LARGER)], FEATURES)
@@ -43,7 +43,7 @@ def test_train_save_load_score(spark, table, kind):
 
 
 def test_missing_values_are_kept_and_scored_valid(spark, table):
-    model = train(table, "lr", "id").model
+    model = train(table, "lr", ["id"]).model
     rows = table.drop(LABEL).limit(3).withColumn("customer_id_avrge_amount_1day", F.lit(None).cast("double"))
     scored = ml.score(model, rows).collect()
     assert len(scored) == 3 and {r.prediction for r in scored} == {0.0}
@@ -57,8 +57,8 @@ def test_vectors_are_in_feature_order(spark, table):
 
 
 def test_split_does_not_depend_on_partitions(spark, table):
-    a = {r.id for r in ml.split(table.repartition(7), "id")[0].collect()}
-    b = {r.id for r in ml.split(table.coalesce(1), "id")[0].collect()}
+    a = {r.id for r in ml.split(table.repartition(7), ["id"])[0].collect()}
+    b = {r.id for r in ml.split(table.coalesce(1), ["id"])[0].collect()}
     assert a == b and 0.6 < len(a) / table.count() < 0.8
 
 
@@ -89,3 +89,4 @@ def test_training_csv(spark, table):
     table.select(*FEATURES, LABEL).write.option("header", True).csv(path)
     again = training_csv(spark, path)
     assert again.schema == TRAINING and again.count() == 600
+    assert train(again, "lr").test_match > 85
