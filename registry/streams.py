@@ -68,6 +68,27 @@ def micro_batch(spark, sf):
     return table.read(spark).select("id", "account_id", "amount")
 
 
+def foreach_batch(spark, sf):
+    """Each micro-batch adds its counts per account; the table sums to the counts of all events."""
+    folder = inputs.files(inputs.event_records(spark, sf).repartition(3, "offset"), "event-records")
+    schema = spark.createDataFrame([], "account_id string, n long").schema
+    table = EpochTable(new_path(spark, "counts"), schema)
+
+    def count(batch, epoch):
+        rows = parse.transactions(batch, parse.TENANT_B)[0]
+        table.write(rows.groupBy("account_id").agg(F.count(F.lit(1)).alias("n")), epoch)
+
+    query = (
+        cdc_stream(spark, "json", folder, maxFilesPerTrigger="1")
+        .writeStream.foreachBatch(count)
+        .option("checkpointLocation", f"{table.path}-checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return table.read(spark).groupBy("account_id").agg(F.sum("n").alias("n"))
+
+
 def sink_index(spark, sf):
     """Scored rows of two micro-batches, the second one written twice."""
     inserts, _ = parse.transactions(inputs.order_records(spark, sf), parse.TENANT_A)
@@ -156,6 +177,7 @@ QUERIES = {
     "src_cdc_stream": src_cdc_stream,
     "src_multi_stream": src_multi_stream,
     "micro_batch": micro_batch,
+    "foreach_batch": foreach_batch,
     "sink_index": sink_index,
     "sink_schema": sink_schema,
     "sink_notify": sink_notify,
@@ -186,6 +208,7 @@ ORACLE = {
         FROM orders WHERE o_orderstatus <> 'P'
         UNION ALL SELECT 'current', event_id, 'U' || user_id, value FROM events""",
     "micro_batch": "SELECT event_id AS id, 'U' || user_id AS account_id, value AS amount FROM events",
+    "foreach_batch": "SELECT 'U' || user_id AS account_id, COUNT(*) AS n FROM events GROUP BY 1",
     "sink_index": """
         SELECT o_custkey AS "account-id", o_totalprice AS amount, o_custkey // 3 AS "customer-id",
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS datetime, 'valid' AS is_fraud, o_orderkey AS "transaction-id",

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 
 T = TypeVar("T")
 
+_scope: ContextVar[list[str] | None] = ContextVar("tables of the running scope", default=None)
 _local_folder: tempfile.TemporaryDirectory | None = None
 
 
@@ -63,6 +66,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -80,8 +86,24 @@ def concurrently(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:
         return [future.result() for future in futures]
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialize`` writes inside, for jobs that repeat without end."""
+    written: list[str] = []
+    token = _scope.set(written)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in written:
+            _delete(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every intermediate table this application wrote to the shared folder."""
-    run = spark.sparkContext.applicationId
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tellerscore/{run}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_folder(spark)}/tellerscore/{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

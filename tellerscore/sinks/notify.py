@@ -19,6 +19,7 @@ def send(df: DataFrame, text: str, fmt: str = "kafka", path: str | None = None,
     writer.save(path) if path else writer.save()
 
 
-def show_stream(df: DataFrame, checkpoint: str):
+def show_stream(df: DataFrame, checkpoint: str, **trigger):
     """Print each micro-batch."""
-    return df.writeStream.format("console").option("checkpointLocation", checkpoint).start()
+    writer = df.writeStream.format("console").option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()

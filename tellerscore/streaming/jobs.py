@@ -27,7 +27,7 @@ from tellerscore.operators.dedupe import dedupe_transactions, unseen
 from tellerscore.operators.history import HISTORY_DAYS, retained
 from tellerscore.operators.parse import Tenant, project_scored
 from tellerscore.plans.scoring import label
-from tellerscore.session import concurrently, materialize
+from tellerscore.session import concurrently, materialize, scratch_scope
 from tellerscore.sinks.index import write_index
 from tellerscore.streaming.tables import EpochTable
 
@@ -120,7 +120,8 @@ class ScoringJob:
     def process(self, batch: DataFrame, epoch: int) -> None:
         read = parse.read_transactions(batch, self.tenant).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._process(read, epoch)
+            with scratch_scope(batch.sparkSession):
+                self._process(read, epoch)
         finally:
             read.unpersist()
 

@@ -1,11 +1,12 @@
 import datetime
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tellerscore.operators import parse
-from tellerscore.session import new_path
+from tellerscore.session import new_path, shared_folder
 from tellerscore.sinks import notify
 from tellerscore.sinks.index import conform
 from tellerscore.sources.cdc import cdc_stream
@@ -52,6 +53,23 @@ def test_pending_transactions_wait_for_their_account(spark, tables):
     assert tables.scored.read(spark).count() == 5
 
 
+def test_a_micro_batch_leaves_no_intermediate_tables(spark, tables):
+    here = Path(shared_folder(spark)) / "tellerscore" / spark.sparkContext.applicationId
+    send_accounts(spark, tables, [account_a(10, 1)])
+    before = {p.name for p in here.iterdir()}
+    ScoringJob(tables, parse.TENANT_A).process(records(spark, [transaction_a(1, 10, 10**6, T0)]), 0)
+    assert {p.name for p in here.iterdir()} == before
+    assert set(scored(spark, tables)) == {1}
+
+
+def test_console(spark, capfd):
+    folder = new_path(spark, "records")
+    records(spark, ["one", "two", "three"]).write.json(folder)
+    query = notify.show_stream(cdc_stream(spark, "json", folder), f"{folder}-checkpoint", availableNow=True)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 3
+
+
 def test_bad_records_are_set_aside(spark, tables):
     send_accounts(spark, tables, [account_a(10, 1), "broken"])
     good = transaction_a(1, 10, 10**6, T0)
