@@ -17,7 +17,7 @@ from tellerscore.streaming.jobs import AccountJob, ScoringJob, Tables
 from tellerscore.streaming.tables import EpochTable
 
 
-def _drain(stream, name, columns_of=None):
+def _drain(stream, name):
     """Run a stream over all its input into a table and return the table."""
     spark = stream.sparkSession
     path = new_path(spark, name)
