@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, LongType, StringType, StructType
+from pyspark.sql.types import DataType, LongType, StringType, StructType
 
 from tellerscore import schemas
 from tellerscore.functions import fields
