@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerscore.llm import exact_dedup, line_dedup
-from tellerscore.llm.common import documents
+from tellerscore.llm import exact_dedup, language_id, line_dedup, secrets, token_counts
+from tellerscore.llm.common import documents, fold
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,9 +22,42 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scanned, with the digest of the base spans."""
+    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        "n_markov",
+        F.sha2(secrets.joined(F.col("spans"), kinds=3), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from four folds of the documents, predict all."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id")) == 0
+    model = language_id.fit(docs.where(~held_out))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    found = token_counts.count_tokens(documents(spark, sf_dir).select("doc_id", "text"), path)
+    return found.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES = {
+    "op3_secrets": op3_secrets,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_language_id": op7_language_id,
     "op9_line_dedup": op9_line_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
