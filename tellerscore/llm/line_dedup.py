@@ -50,13 +50,15 @@ def dedupe_lines(
         ),
         "lines",
     )
-    shared = (
+    # Written, so that both sides of the join with it are plain exchanges, whose hot keys can be split.
+    shared = materialize(
         hashed.select("h1", "h2", "id")
         .distinct()
         .groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"))
         .where(F.col("n") >= min_docs)
-        .select("h1", "h2", "last")
+        .select("h1", "h2", "last"),
+        "shared-lines",
     )
     dropped = (
         hashed.join(shared, ["h1", "h2"])
