@@ -6,10 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerscore.llm import exact_dedup, language_id, line_dedup, secrets, token_counts
+from tellerscore.llm import exact_dedup, language_id, line_dedup, near_dedup, packing, secrets, token_counts
 from tellerscore.llm.common import documents, fold
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents grouped by 3-word shingles and a similarity of 0.85."""
+    found = near_dedup.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), words=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through a new digest index."""
     found = exact_dedup.dedupe(documents(spark, sf_dir).select("doc_id", "text"), exact_dedup.new_index(spark))
@@ -53,7 +65,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op3_secrets": op3_secrets,
+    "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
     "op9_line_dedup": op9_line_dedup,
