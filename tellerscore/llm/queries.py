@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerscore.llm import exact_dedup, language_id, line_dedup, near_dedup, packing, secrets, token_counts
+from tellerscore.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, secrets, token_counts
 from tellerscore.llm.common import documents, fold
 
 
@@ -34,6 +34,24 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+#: Target weights of the mixture; a source weighs 1.
+DOMAIN_WEIGHTS = {"d0": 4, "d1": 3, "d2": 2, "d3": 1}
+LANGUAGE_WEIGHTS = {"en": 4, "de": 2, "es": 2, "fr": 2}
+
+
+def domain_of() -> Column:
+    """The documents name no domain: the last digits of the source, modulo 4, stand for it."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1)
+    return F.when(number != "", F.concat(F.lit("d"), F.pmod(number.cast("long"), F.lit(4)).cast("string")))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the corpus' tokens, drawn by target weights in at most two passes."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
+    found = mixing.mix(docs, domain_of(), {"domain": DOMAIN_WEIGHTS, "lang": LANGUAGE_WEIGHTS})
+    return found.select("doc_id", "domain", "lang", "source", "epoch", "n_tokens")
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scanned, with the digest of the base spans."""
     found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
@@ -66,6 +84,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
@@ -76,7 +95,54 @@ QUERIES = {
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+
+def _cases(column: str, weights: dict[str, int]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 1 END"
+
+
+def _shared(source: str, level: str, parent: str) -> str:
+    """Two steps of a level: which children their part fills, and every child's budget."""
+    within = f"PARTITION BY {parent} ORDER BY capacity / weight, {level}"
+    return f"""
+        {level}_f AS (
+            SELECT *, capacity * sum(weight) OVER ({within} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+                   <= weight * (above - coalesce(sum(capacity) OVER ({within} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS fits
+            FROM {source}),
+        {level}_g AS (SELECT *, bool_and(fits) OVER ({within} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM {level}_f),
+        {level}_b AS (
+            SELECT *, CASE WHEN filled THEN capacity ELSE
+                   (above - coalesce(sum(CASE WHEN filled THEN capacity END) OVER (PARTITION BY {parent}), 0)) * weight
+                   // sum(CASE WHEN NOT filled THEN weight END) OVER (PARTITION BY {parent}) END AS budget
+            FROM {level}_g)"""
+
+
+_MIX = rf"""
+        WITH d AS (
+            SELECT doc_id, lang, source, coalesce(lang, '') AS l, coalesce(source, '') AS s,
+                   CASE WHEN regexp_extract(source, '([0-9]+)$', 1) <> ''
+                        THEN 'd' || (CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 4) ELSE '' END AS domain,
+                   coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) AS n_tokens
+            FROM documents),
+        leaf AS (SELECT domain, l, s, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(2 * sum(n_tokens) AS BIGINT) AS capacity FROM d GROUP BY ALL),
+        n1 AS (SELECT domain, CAST(sum(capacity) AS BIGINT) AS capacity, {_cases('domain', DOMAIN_WEIGHTS)} AS weight,
+                      (SELECT CAST(sum(tokens) AS BIGINT) // 2 FROM leaf) AS above FROM leaf GROUP BY domain),
+        {_shared('n1', 'domain', '1')},
+        n2 AS (SELECT x.*, b.budget AS above FROM (
+                   SELECT domain, l, CAST(sum(capacity) AS BIGINT) AS capacity, {_cases('l', LANGUAGE_WEIGHTS)} AS weight
+                   FROM leaf GROUP BY domain, l) x JOIN domain_b b USING (domain)),
+        {_shared('n2', 'l', 'domain')},
+        n3 AS (SELECT x.*, 1 AS weight, b.budget AS above FROM leaf x JOIN l_b b USING (domain, l)),
+        {_shared('n3', 's', 'domain, l')},
+        plan AS (SELECT domain, l, s, budget // tokens AS passes, budget % tokens AS rest FROM s_b WHERE tokens > 0),
+        o AS (SELECT d.*, passes, rest, md5('17:' || CAST(passes AS BIGINT) || ':' || doc_id) AS key FROM d JOIN plan USING (domain, l, s)),
+        c AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, l, s ORDER BY key) AS drawn FROM o)
+        SELECT doc_id, domain, lang, source, n_tokens,
+               unnest(range(0, CAST(CASE WHEN rest > 0 AND drawn <= rest THEN passes + 1 ELSE passes END AS BIGINT))) AS epoch
+        FROM c"""
+
 ORACLE = {
+    "op2_mixing": _MIX,
     "op6_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
