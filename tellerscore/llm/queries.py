@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerscore.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, secrets, token_counts
+from tellerscore.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, neighbours, packing, secrets, token_counts
 from tellerscore.llm.common import documents, fold
 
 
@@ -16,6 +16,12 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten neighbours of every hundredth vector, among all."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return neighbours.search(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -86,6 +92,7 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
+    "op4_neighbours": op4_neighbours,
     "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
@@ -122,7 +129,8 @@ _MIX = rf"""
             SELECT doc_id, lang, source, coalesce(lang, '') AS l, coalesce(source, '') AS s,
                    CASE WHEN regexp_extract(source, '([0-9]+)$', 1) <> ''
                         THEN 'd' || (CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 4) ELSE '' END AS domain,
-                   coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) AS n_tokens
+                   coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0) AS n_tokens
             FROM documents),
         leaf AS (SELECT domain, l, s, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(2 * sum(n_tokens) AS BIGINT) AS capacity FROM d GROUP BY ALL),
         n1 AS (SELECT domain, CAST(sum(capacity) AS BIGINT) AS capacity, {_cases('domain', DOMAIN_WEIGHTS)} AS weight,
