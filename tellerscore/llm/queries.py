@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerscore.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, neighbours, packing, secrets, token_counts
+from tellerscore.llm import exact_dedup, language_id, line_dedup, lm_scores, mixing, near_dedup, neighbours, packing, secrets, token_counts
 from tellerscore.llm.common import documents, fold
 
 
@@ -34,6 +34,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from four folds of the documents, score all."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = fold(F.col("doc_id")) == 1
+    found = lm_scores.score(docs, ~held_out)
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return found.select("doc_id", held_out.alias("held_out"), *columns)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without their repeated lines."""
     found = line_dedup.dedupe_lines(documents(spark, sf_dir).select("doc_id", "text"))
@@ -96,6 +105,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
+    "op8_lm_scores": op8_lm_scores,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
 }
