@@ -1,0 +1,145 @@
+import hashlib
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from tellerscore.llm import mixing, queries
+from tellerscore.llm.queries import domain_of
+from tests.llm import documents as D
+from tests.llm.test_exact_and_lines import brute_lines
+from tests.llm.test_near_dedup import brute
+from tests.test_queries import FOLDER, compare
+
+WEIGHTS = {"domain": {"d0": 5, "d1": 1}, "lang": {"en": 3}, "source": {"src0": 7}}
+
+
+def water(budget, children):
+    """Exact shares of (weight, capacity) children, one filled child at a time."""
+    got, left = {}, dict(children)
+    while left:
+        level = Fraction(budget - sum(got.values()), sum(w for w, _ in left.values()))
+        full = [c for c, (w, cap) in left.items() if cap <= level * w]
+        if not full:
+            return got | {c: int(level * w) for c, (w, _) in left.items()}
+        for c in full:
+            got[c] = left.pop(c)[1]
+    return got
+
+
+def brute_mix(data, share, epochs):
+    leaves = defaultdict(list)
+    for doc_id, text, lang, source, _ in data:
+        digits = (source or "")[len((source or "").rstrip("0123456789")) :]
+        leaf = (f"d{int(digits) % 4}" if digits else "", lang or "", source or "")
+        leaves[leaf].append((doc_id, len(D.words_of(text))))
+    tokens = {leaf: sum(n for _, n in docs) for leaf, docs in leaves.items()}
+    above = {(): sum(tokens.values()) * share[0] // share[1]}
+    for depth, level in enumerate(mixing.LEVELS):
+        now = {}
+        for parent, budget in above.items():
+            children = {leaf[: depth + 1] for leaf in leaves if leaf[:depth] == parent}
+            caps = {c: (WEIGHTS[level].get(c[-1], 1), epochs * sum(t for x, t in tokens.items() if x[: depth + 1] == c)) for c in children}
+            now |= water(budget, caps)
+        above = now
+    drawn = Counter()
+    for leaf, docs in leaves.items():
+        if not tokens[leaf]:
+            continue
+        passes, rest = divmod(above[leaf], tokens[leaf])
+        by_key = defaultdict(list)
+        for doc_id, n in docs:
+            key = hashlib.md5(f"17:{passes}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+            by_key[key].append((doc_id, n))
+            drawn.update((doc_id, epoch, n) for epoch in range(passes))
+        used = 0
+        for key in sorted(by_key) if rest else []:
+            used += sum(n for _, n in by_key[key])
+            if used > rest:
+                break
+            drawn.update((doc_id, passes, n) for doc_id, n in by_key[key])
+    return drawn
+
+
+@pytest.mark.parametrize(("share", "epochs"), [((1, 2), 2), ((9, 10), 1), ((3, 1), 4), ((1, 50), 1), ((5, 1), 2)])
+def test_mixture_against_brute_force(spark, monkeypatch, share, epochs):
+    monkeypatch.setattr(mixing, "ORDERED_ROWS", 7)
+    data = D.rows()
+    found = mixing.mix(D.frame(spark, data, ["Epoch", "passes", "key"]), domain_of(), WEIGHTS, share, epochs).collect()
+    assert Counter((r.doc_id, r.epoch, r.n_tokens) for r in found) == brute_mix(data, share, epochs)
+    assert {r.key for r in found} <= {"kept"}
+
+
+def test_mixture_without_rows(spark):
+    assert mixing.mix(D.frame(spark, []), domain_of(), WEIGHTS).count() == 0
+
+
+# --- queries and pipeline -------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def con():
+    return compare.connect(FOLDER)
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_query(spark, con, name):
+    assert compare.compare(spark, con, FOLDER, name).startswith("equal" if name in queries.ORACLE else "rows only")
+
+
+def test_every_number_is_registered_once():
+    names = [n for n in entry.queries() if n.startswith("op")]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert "pipeline" in entry.queries() and "pipeline" not in entry.oracle_sql()
+
+
+def test_stages_against_brute_force(spark):
+    data = [r for r in D.rows() if r[0] is not None]
+    docs = D.frame(spark, data, ["score", "epoch", "n_lines", "kept", "domain"])
+    names = docs.columns
+
+    found = corpus_pipeline.identify_language(spark, docs, "")
+    assert found.columns == names
+    kept = {r.doc_id for r in found.collect()}
+    letters = {i for i, text, *_ in data if text and any(map(str.isalpha, text))}
+    assert kept <= letters and {i for i, _, lang, *_ in data if lang and i < 120} <= kept
+
+    found = corpus_pipeline.drop_repeated_lines(spark, docs, "")
+    assert found.columns == names
+    rows = found.collect()
+    expected = Counter({(i, text): n for (i, _, _, text), n in brute_lines(data).items()})
+    assert Counter((r.doc_id, r.text) for r in rows) == expected
+    assert all(r.n_chars == len(r.text) for r in rows if r.doc_id < 120)
+
+    found = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert found.columns == names
+    stays = sorted({i for i, _, component in brute(data, 5, 80) if i == component})
+    assert sorted(r.doc_id for r in found.collect()) == stays
+
+    found = corpus_pipeline.mix_sources(spark, docs, "")
+    assert found.columns == names
+    drawn = sum(len(D.words_of(r.text)) for r in found.collect())
+    assert drawn <= 0.75 * sum(len(D.words_of(text)) for _, text, *_ in data)
+
+    packed = corpus_pipeline.pack_sequences(spark, docs, "").collect()
+    assert {r.doc_id for r in packed} == {i for i, *_ in data}
+
+
+def test_stages_take_empty_tables_and_null_columns(spark):
+    for data in ([], [(None, None, None, None, None)] * 2):
+        docs = D.frame(spark, data)
+        for _, stage in corpus_pipeline.STAGES:
+            assert stage(spark, docs, "").count() <= 2
+
+
+def test_run_equals_the_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, FOLDER)
+    found = corpus_pipeline.run(spark, FOLDER)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert Counter(map(tuple, found.select(columns).collect())) == Counter(map(tuple, docs.select(columns).collect()))
+    assert found.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").isEmpty()
