@@ -257,7 +257,7 @@ def near_duplicates(
     clusters = materialize(_clusters(materialize(own.select("rep", "signature"), "classes")), "clusters")
     members = materialize(
         docs.select(ident.alias("id"), text.alias("text"))
-        .join(clusters, F.col("id") == F.col("node"))
+        .join(clusters.hint("merge"), F.col("id") == F.col("node"))  # one plan at every size
         .select("node", F.col("component").alias("cluster"), "text")
         .mapInPandas(_sets(words), "cluster long, node long, shingles binary, signature binary"),
         "members",
