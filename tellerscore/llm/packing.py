@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import bisect
 import functools
-import re
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,8 +27,6 @@ from tokenizers import Tokenizer
 
 from tellerscore.session import materialize
 
-#: Most entries of a worker's memo, and most characters of an entry.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 48
 #: Pieces of one length that are ranked together.
 RANKED_ROWS = 1000
 
@@ -35,36 +34,53 @@ RANKED_ROWS = 1000
 # --- pieces ---------------------------------------------------------------------------------------
 
 
-class Encoder(dict):
-    """Ids of a byte-level BPE tokenizer, as little-endian unsigned 32-bit numbers, by memoised chunks.
+# How byte-level files cut texts into words, and which bytes they write as themselves.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-    Its pre-tokenizer cuts a text before each single space and around each single line feed between
-    other characters, so these chunks are encoded apart. Texts with other white space are encoded whole.
-    """
 
-    WHOLE = re.compile(r"[^\S \n]|[ \n]{2}|\A[ \n]|[ \n]\Z|\x00")
+def _bytes_of_characters() -> dict[str, int]:
+    others = [b for b in range(256) if b not in PLAIN_BYTES]
+    return {chr(b): b for b in PLAIN_BYTES} | {chr(256 + i): b for i, b in enumerate(others)}
 
-    def __init__(self, path: str):
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self._encode(chunk)
-        if len(chunk) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[chunk] = ids
-        return ids
+class Encoder:
+    """Ids of a tokenizer file, as little-endian unsigned 32-bit numbers.
 
-    def _encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+    A plain byte-level BPE file, in which ids follow the merges, goes through the faster of the two
+    libraries that read such vocabularies; any other through the file's own. Added tokens inside a text
+    are taken out first, as both do by default.
+    """
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.library = Tokenizer.from_file(path)
+        self.fast = _byte_level(spec)
 
     def encode(self, text: str) -> bytes:
-        if self.WHOLE.search(text):
-            return self._encode(text)
-        chunks = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
-        return b"".join(map(self.__getitem__, chunks)) if text else b""
+        if self.fast is not None:
+            return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+
+def _byte_level(spec: dict) -> tiktoken.Encoding | None:
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    odd = [model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")]
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    flags = any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    if model["type"] != "BPE" or any(odd) or spec.get("normalizer") or flags:
+        return None
+    if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        return None
+    of = _bytes_of_characters()
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    own = {t: i for t, i in model["vocab"].items() if t not in special}
+    ranks = {bytes(of[c] for c in t): i for t, i in own.items()}
+    if [own.get(m) for m in merged] != list(range(256, 256 + len(merged))) or len(ranks) != 256 + len(merged):
+        return None
+    return tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
 
 
 @functools.lru_cache(maxsize=2)

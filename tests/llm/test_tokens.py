@@ -37,11 +37,26 @@ def test_merges_of_one_word():
     assert counter.count_word("a" * 3000) == len(Tokenizer.from_file(WORD).encode("a" * 3000).ids)
 
 
-def test_chunked_ids_equal_the_library():
+def test_ids_equal_the_library():
     encoder, library = packing.Encoder(BYTE), Tokenizer.from_file(BYTE)
     for text in odd_texts(5000) + ["a b\nc d", " a", "a ", "a  b", "a\n b", "x\n\ny", "it's <|endoftext|> b\n<|endoftext|>c"]:
         ids = library.encode(text, add_special_tokens=False).ids
         assert encoder.encode(text) == struct.pack(f"<{len(ids)}I", *ids), text
+    assert encoder.fast is not None
+
+
+def test_ids_of_every_character_equal_the_library():
+    encoder, library = packing.Encoder(BYTE), Tokenizer.from_file(BYTE)
+    assigned = [c for c in range(0x40000) if not 0xD800 <= c < 0xE000]
+    texts = ["a{0}b 1{0} {0}\n{0}2".format(chr(c)) for c in assigned]
+    for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert encoder.encode(text) == np.array(found.ids, dtype="<u4").tobytes(), text
+
+
+def test_other_files_go_through_their_library():
+    encoder, library = packing.Encoder(WORD), Tokenizer.from_file(WORD)
+    assert encoder.fast is None
+    assert encoder.encode("Some Words") == np.array(library.encode("Some Words").ids, dtype="<u4").tobytes()
 
 
 def test_packing_is_gapless_and_whole(spark):
@@ -88,7 +103,7 @@ def test_packing_without_rows_and_ids(spark):
         np.random.default_rng(2).integers(1, 2049, 20_000),
         np.array([5]),
         np.array([1] * 5000 + [2047] * 10),
-        np.random.default_rng(3).choice([1, 700, 1024, 683], 3000),
+        np.random.default_rng(3).choice([1, 512, 1024, 682], 3000),
     ],
 )
 def test_plan_holds_every_piece(lengths):
