@@ -8,6 +8,7 @@ import json
 import re
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -15,10 +16,33 @@ from tokenizers import Tokenizer
 from tellerscore.llm.common import fresh_names
 
 _OUT = ["n_bytes", "n_tokens", "over_limit"]
-#: Most entries of a worker's memo, and most characters of an entry; longer or later pieces are merged again.
+#: Most entries of a generation of a worker's memo, and most characters of an entry.
 MEMO_ENTRIES, MEMO_CHARS = 400_000, 64
 
 
+class Memo:
+    """Counts of two generations of pieces, so that what is met often stays when the rest goes."""
+
+    def __init__(self):
+        self.new: dict[str, int] = {}
+        self.old: dict[str, int] = {}
+
+    def get(self, key: str) -> int | None:
+        value = self.new.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+    def put(self, key: str, value: int) -> int:
+        if len(key) <= MEMO_CHARS:
+            if len(self.new) >= MEMO_ENTRIES:
+                self.old, self.new = self.new, {}
+            self.new[key] = value
+        return value
+
+
 class MergeCounter:
     """Counts the tokens of a BPE tokenizer file.
 
@@ -39,8 +63,8 @@ class MergeCounter:
         self.suffix = model.get("end_of_word_suffix") or ""
         added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.chunks: dict[str, int] = {}
-        self.words: dict[str, int] = {}
+        self.plain_words = _plain_words(spec)
+        self.chunks, self.words = Memo(), Memo()
 
     def count_word(self, word: str) -> int:
         """Initial symbols minus merges."""
@@ -78,40 +102,54 @@ class MergeCounter:
         return n - merges
 
     def _segment(self, text: str) -> int:
-        if self.normalizer is not None:
-            text = self.normalizer.normalize_str(text)
+        if self.plain_words is not None and text.isascii() and text.isprintable():
+            words = self.plain_words.findall(text.lower())
+        else:
+            if self.normalizer is not None:
+                text = self.normalizer.normalize_str(text)
+            words = [word for word, _ in self.pre_tokenizer.pre_tokenize_str(text)]
         total = 0
-        for word, _ in self.pre_tokenizer.pre_tokenize_str(text):
+        for word in words:
             n = self.words.get(word)
             if n is None:
-                n = self.count_word(word)
-                _remember(self.words, word, n)
+                n = self.words.put(word, self.count_word(word))
             total += n
         return total
 
     def _chunk(self, chunk: str) -> int:
         if self.added is None or not self.added.search(chunk):
-            n = self._segment(chunk)
-        else:  # the library takes these strings out first, whatever stands around them
-            n = len(self.added.findall(chunk)) + sum(self._segment(s) for s in self.added.split(chunk) if s)
-        _remember(self.chunks, chunk, n)
-        return n
+            return self._segment(chunk)
+        # The library takes these strings out first, whatever stands around them.
+        return len(self.added.findall(chunk)) + sum(self._segment(s) for s in self.added.split(chunk) if s)
 
     def count(self, text: str) -> int:
         """Tokens of a whole text. Words never reach over a space, so each chunk counts by itself."""
-        total, known, chunk_of = 0, self.chunks.get, self._chunk
+        total, chunks = 0, self.chunks
         for chunk in text.replace("\n", " ").split(" "):
             if chunk:
-                n = known(chunk)
-                total += chunk_of(chunk) if n is None else n
+                n = chunks.new.get(chunk)
+                if n is None:
+                    n = chunks.get(chunk)
+                    if n is None:
+                        n = chunks.put(chunk, self._chunk(chunk))
+                total += n
         return total
 
 
-def _remember(memo: dict[str, int], key: str, value: int) -> None:
-    if len(key) <= MEMO_CHARS:
-        if len(memo) >= MEMO_ENTRIES:
-            memo.clear()
-        memo[key] = value
+def _plain_words(spec: dict) -> regex.Pattern | None:
+    """How printable ASCII falls into words, if lower-casing and the file's own pattern are all there is to it.
+
+    Byte-level files write these characters as themselves.
+    """
+    normalizer, cut = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    steps = [(n["type"], n.get("content")) for n in normalizer.get("normalizers", [])]
+    cuts = cut.get("pretokenizers", [])
+    if steps != [("NFC", None), ("Replace", " "), ("Lowercase", None)] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return None
+    split, level = cuts
+    if (split["behavior"], split["invert"], level["add_prefix_space"], level["use_regex"]) != ("Removed", True, False, False):
+        return None
+    return regex.compile(split["pattern"]["Regex"])
 
 
 @functools.lru_cache(maxsize=2)
