@@ -70,6 +70,25 @@ def _log_softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
+def _log_of(state: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, rows: int = 2048) -> np.ndarray:
+    """Log softmax at one place per row, a cache's worth of rows at a time.
+
+    States lie between -1 and 1, so small weights need no shift against overflow.
+    """
+    reach = np.abs(weights).sum(axis=0) + np.maximum(bias, -50)
+    out = np.empty(len(state), dtype=np.float32)
+    for start in range(0, len(state), rows):
+        stop = start + rows
+        logits = state[start:stop] @ weights
+        logits += bias
+        if reach.max() > 60:
+            logits -= logits.max(axis=1, keepdims=True)
+        wanted = logits[np.arange(len(logits)), at[start:stop]]
+        np.exp(logits, out=logits)
+        out[start:stop] = wanted - np.log(logits.sum(axis=1))
+    return out
+
+
 def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params | None = None):
     """Natural log probabilities of ``targets`` (n) after ``state`` (n, hidden).
 
@@ -78,9 +97,12 @@ def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params |
     per_class = p["token_bias"].shape[1]
     cls, within = targets // per_class, targets % per_class
     rows = np.arange(len(targets))
-    logs = _log_softmax(state @ p["class_out"] + p["class_bias"])
-    out = logs[rows, cls]
     d_state = None
+    if grads is None:
+        out = _log_of(state, p["class_out"], p["class_bias"], cls)
+    else:
+        logs = _log_softmax(state @ p["class_out"] + p["class_bias"])
+        out = logs[rows, cls]
     scale = np.float32(1 / max(len(targets), 1))
     if grads is not None:
         d = np.exp(logs)
@@ -94,16 +116,18 @@ def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params |
     for c, start, stop in zip(found, starts, [*starts[1:], len(order)]):
         own = order[start:stop]
         h = state[own]
+        if grads is None:
+            out[own] += _log_of(h, p["token_out"][c], p["token_bias"][c], within[own])
+            continue
         logs = _log_softmax(h @ p["token_out"][c] + p["token_bias"][c])
         at = np.arange(len(own))
         out[own] += logs[at, within[own]]
-        if grads is not None:
-            d = np.exp(logs)
-            d[at, within[own]] -= 1
-            d *= scale
-            grads["token_out"][c] += h.T @ d
-            grads["token_bias"][c] += d.sum(axis=0)
-            d_state[own] += d @ p["token_out"][c].T
+        d = np.exp(logs)
+        d[at, within[own]] -= 1
+        d *= scale
+        grads["token_out"][c] += h.T @ d
+        grads["token_bias"][c] += d.sum(axis=0)
+        d_state[own] += d @ p["token_out"][c].T
     return out if grads is None else (out, d_state)
 
 
@@ -123,7 +147,9 @@ def _backward(p: Params, tokens: np.ndarray, kept: list, d_states: np.ndarray, g
         grads["recurrent"] += before.T @ d_gates
         grads["bias"] += d_gates.sum(axis=0)
         d_next = d * update + d_gates @ p["recurrent"].T
-    np.add.at(grads["inputs"], tokens.ravel(), d_inputs.reshape(-1, 3 * hidden))
+    order = np.argsort(tokens, axis=None, kind="stable")
+    found, starts = np.unique(tokens.ravel()[order], return_index=True)
+    grads["inputs"][found] += np.add.reduceat(d_inputs.reshape(-1, 3 * hidden)[order], starts, axis=0)
 
 
 def _windows(ids: list[np.ndarray], batch: int, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
@@ -150,19 +176,36 @@ def _windows(ids: list[np.ndarray], batch: int, window: int) -> Iterator[tuple[n
             yield rows[:running], inputs, targets, at == 0
 
 
-def score(p: Params, ids: list[np.ndarray], batch: int = 512, window: int = 32) -> np.ndarray:
-    """Natural log probability of each document; the state is carried from window to window."""
+def score(
+    p: Params, ids: list[np.ndarray], batch: int = 512, window: int = 32, gathered: int = 1 << 15
+) -> np.ndarray:
+    """Natural log probability of each document; the state is carried from window to window.
+
+    The outputs of several windows are evaluated together, about ``gathered`` tokens at a time.
+    """
     hidden = len(p["recurrent"])
     out = np.zeros(len(ids))
+    waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def evaluate() -> None:
+        rows, after, targets = (np.concatenate(part) for part in zip(*waiting))
+        np.add.at(out, rows, log_probs(p, after, targets).astype(np.float64))
+        waiting.clear()
+
     state = np.zeros((0, hidden), dtype=np.float32)
     for rows, inputs, targets, first in _windows(ids, batch, window):
         state = np.zeros((len(rows), hidden), dtype=np.float32) if first else state[: len(rows)]
         after, _ = states(p, inputs, state)
         state = after[-1]
         real = targets >= 0
-        logs = np.zeros(targets.shape)
-        logs[real] = log_probs(p, after[real], targets[real])
-        out[rows] += logs.sum(axis=0)
+        waiting.append((np.broadcast_to(rows, targets.shape)[real], after[real], targets[real]))
+        held += len(waiting[-1][0])
+        if held >= gathered:
+            evaluate()
+            held = 0
+    if waiting:
+        evaluate()
     return out
 
 
@@ -175,7 +218,7 @@ class Trainer:
         self.mean = {k: np.zeros_like(v) for k, v in params.items()}
         self.square = {k: np.zeros_like(v) for k, v in params.items()}
 
-    def learn(self, ids: list[np.ndarray], batch: int = 64, window: int = 16) -> None:
+    def learn(self, ids: list[np.ndarray], batch: int = 256, window: int = 16) -> None:
         hidden = len(self.p["recurrent"])
         state = np.zeros((0, hidden), dtype=np.float32)
         for rows, inputs, targets, first in _windows(ids, batch, window):

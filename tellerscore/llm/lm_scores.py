@@ -36,15 +36,13 @@ def words_of(text: bytes) -> list[bytes]:
 
 @dataclass
 class Counts:
-    """``table`` has ``word, n``; the rest are its sums, and the most frequent words with their counts."""
+    """``table`` has ``word, n``; the rest are its sums, the most frequent words, and the end's count."""
 
     table: DataFrame
     tokens: int
     distinct: int
     frequent: dict[bytes, int]
-
-    def base_log10(self, n: int) -> float:
-        return float(np.log10((n + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))))
+    ends: int
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -66,13 +64,28 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def count_words(texts: DataFrame, frequent: int) -> Counts:
-    """Counts over all rows of ``text`` (binary); only sums and ``frequent`` words come to the driver."""
+    """Counts over all rows of ``text`` (binary).
+
+    Only sums by size and at most ``frequent`` words come to the driver: all words of the largest sizes
+    that fit, where a size is a sixteenth of a power of two.
+    """
     table = materialize(
         texts.mapInPandas(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts"
     )
-    sums = table.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    most = table.orderBy(F.desc("n"), "word").limit(frequent).toPandas()
-    return Counts(table, sums["n"] or 0, sums["v"], {bytes(w): int(n) for w, n in zip(most["word"], most["n"])})
+    size = F.floor(F.log2("n") * 16)
+    found = sorted(table.groupBy(size.alias("size")).agg(F.sum("n"), F.count(F.lit(1))).collect(), reverse=True)
+    ends = table.where(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0
+    least, room = None, frequent
+    for size_, _, words in found:  # a few hundred sizes, the largest first
+        room -= words
+        if room < 0:
+            break
+        least = size_
+    most = {}
+    if least is not None:
+        kept = table.where(size >= least).toPandas()
+        most = {bytes(w): -n for n, w in sorted(zip((-kept["n"]).tolist(), map(bytes, kept["word"])))}
+    return Counts(table, sum(f[1] for f in found), sum(f[2] for f in found), most, ends)
 
 
 @dataclass
@@ -92,10 +105,8 @@ class Vocabulary:
 def vocabulary(counts: Counts, size: int) -> Vocabulary:
     words = [w for w in counts.frequent if w != END][: size - 2]
     own = [counts.frequent[w] for w in words]
-    ends = counts.frequent.get(END, 0)
-    return Vocabulary(
-        {w: i + 2 for i, w in enumerate(words)}, np.array([counts.tokens - ends - sum(own), ends, *own], dtype=float)
-    )
+    outside = counts.tokens - counts.ends - sum(own)
+    return Vocabulary({w: i + 2 for i, w in enumerate(words)}, np.array([outside, counts.ends, *own], dtype=float))
 
 
 def _train_task(shared, rate: float, turn: int, turns: int, part: int):
@@ -132,7 +143,7 @@ def _average(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def train(
-    texts: DataFrame, vocab: Vocabulary, hidden: int = 16, per_class: int = 64, part: int = 8, turns: int = 2
+    texts: DataFrame, vocab: Vocabulary, hidden: int = 16, per_class: int = 48, part: int = 8, turns: int = 2
 ) -> gru.Params:
     """Weights averaged over the partitions, ``turns`` times, each on other documents.
 
@@ -153,6 +164,31 @@ def train(
     return params
 
 
+@dataclass
+class Lookup:
+    """For each frequent word a number, and by number (the last stands for all others) its id in the
+    vocabulary, and log10 of its count plus a half, once for all words and once outside the vocabulary."""
+
+    numbers: dict[bytes, int]
+    ids: np.ndarray
+    logs: np.ndarray
+    outside_logs: np.ndarray
+    ends: int
+
+    @classmethod
+    def of(cls, counts: Counts, vocab: Vocabulary) -> Lookup:
+        words = [w for w in counts.frequent if w != END]
+        ids = np.array([vocab.ids.get(w, gru.OUTSIDE) for w in words] + [gru.OUTSIDE], dtype=np.int32)
+        logs = np.log10(np.array([counts.frequent[w] + 0.5 for w in words] + [1.0]))
+        return cls(
+            {w: i for i, w in enumerate(words)},
+            ids,
+            logs,
+            np.where(ids == gru.OUTSIDE, logs, 0.0),
+            counts.ends,
+        )
+
+
 def _score_udf(shared):
     """What a worker can tell of a text: model score, sums over frequent words, and the other words."""
 
@@ -161,24 +197,20 @@ def _score_udf(shared):
         "words array<binary>, times array<int>"
     )
     def scored(texts: pd.Series) -> pd.DataFrame:
-        vocab, params, frequent = shared.value
+        params, lookup = shared.value
+        number, end = lookup.numbers.get, float(np.log10(lookup.ends + 0.5))
         ids, rows = [], []
         for text in texts:
             words = words_of(text)
-            ids.append(vocab.encode(words))
-            found = Counter(words)
-            found[END] = 1
-            known, logs, outside_logs, rest, times = 0, 0.0, 0.0, [], []
-            for word, n in found.items():
-                entry = frequent.get(word)
-                if entry is None:
-                    rest.append(word)
-                    times.append(n)
-                else:
-                    known += n
-                    logs += n * entry[0]
-                    outside_logs += n * entry[1]
-            rows.append((len(words) + 1, known, logs, int((ids[-1] == gru.OUTSIDE).sum()), outside_logs, rest, times))
+            at = np.array([number(w, -1) for w in words], dtype=np.int32)
+            own = np.empty(len(words) + 1, dtype=np.int32)
+            own[:-1], own[-1] = lookup.ids[at], gru.END
+            ids.append(own)
+            others = Counter([words[i] for i in np.nonzero(at < 0)[0].tolist()])
+            known = len(words) - sum(others.values()) + (lookup.ends > 0)
+            logs, outside_logs = float(lookup.logs[at].sum()) + end, float(lookup.outside_logs[at].sum())
+            n_outside = int((own == gru.OUTSIDE).sum())
+            rows.append((len(own), known, logs, n_outside, outside_logs, list(others), list(others.values())))
         out = pd.DataFrame(
             rows, columns=["n_tokens", "n_known", "logs", "n_outside", "outside_logs", "words", "times"]
         )
@@ -194,7 +226,7 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     frequent_words: int = 100_000,
-    vocabulary_size: int = 4096,
+    vocabulary_size: int = 2048,
 ) -> DataFrame:
     """Score all rows with what the rows marked by ``training`` teach.
 
@@ -217,13 +249,9 @@ def score(
     params = train(texts, vocab)
 
     outside_tokens = int(vocab.counts[0])
-    outside_words = counts.distinct - len(vocab.ids) - (END in counts.frequent)
+    outside_words = counts.distinct - len(vocab.ids) - (counts.ends > 0)
     share = float(np.log10(outside_tokens + 0.5 * (outside_words + 1)))
-    frequent = {
-        word: (float(np.log10(n + 0.5)), 0.0 if word in vocab.ids or word == END else float(np.log10(n + 0.5)))
-        for word, n in counts.frequent.items()
-    }
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, params, frequent))
+    shared = docs.sparkSession.sparkContext.broadcast((params, Lookup.of(counts, vocab)))
     carried = [c for c in wanted.columns if c != text_col]
     rows = materialize(
         wanted.withColumns({"_row": F.monotonically_increasing_id(), "_s": _score_udf(shared)(text)}).select(
