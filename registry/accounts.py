@@ -31,13 +31,17 @@ def pending_account(spark, sf):
 
 
 def exists_check(spark, sf):
-    large = _batch(spark, sf).where("amount > 450000")
-    return _building(spark, sf).join(large, "account_id", "left_anti").select("account_id")
+    rows = inputs.table(spark, sf, "customer").select(F.col("c_custkey").alias("account_id"))
+    return rows.join(inputs.events(spark, sf), "account_id", "left_anti")
 
 
 def account_lookup(spark, sf):
-    keys = inputs.orders(spark, sf).where("amount > 490000")
-    return accounts.account_lookup(keys, _building(spark, sf))
+    rows = inputs.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("account_id"),
+        F.expr("c_custkey div 3").alias("customer_id"),
+        F.col("c_mktsegment").alias("account_type"),
+    )
+    return accounts.account_lookup(inputs.orders(spark, sf), rows)
 
 
 def latest_account(spark, sf):
@@ -72,18 +76,18 @@ def _pairs(spark, sf):
 
 def insert_if_absent(spark, sf):
     rows = _pairs(spark, sf)
-    return accounts.insert_if_absent(rows.where("status = 'F'"), rows.where("status <> 'P'"))
+    return accounts.insert_if_absent(rows.where("status = 'F'"), rows)
 
 
 def subtract(spark, sf):
     rows = _pairs(spark, sf)
     keys = ("customer_id", "account_id")
-    return rows.where("status = 'O'").select(*keys).subtract(rows.where("status = 'P'").select(*keys))
+    return rows.where("status <> 'P'").select(*keys).subtract(rows.where("status = 'P'").select(*keys))
 
 
 def union_append(spark, sf):
     rows = _pairs(spark, sf)
-    return rows.where("status = 'O'").unionByName(rows.where("status = 'P'"))
+    return rows.where("status <> 'P'").unionByName(rows.where("status = 'P'"))
 
 
 def dedupe_txn(spark, sf):
@@ -147,7 +151,7 @@ QUERIES = {
 }
 
 _KNOWN = "(SELECT c_custkey AS account_id, c_custkey // 3 AS customer_id, c_mktsegment AS account_type FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))"
-_VERSION = "SELECT o_custkey AS account_id, o_orderkey // 7 AS customer_id, o_orderpriority AS account_type, o_orderdate AS seen, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey {way}) AS r FROM orders"
+_VERSION = "SELECT o_custkey AS account_id, o_orderkey // 7 AS customer_id, o_orderpriority AS account_type, o_orderdate AS seen, row_number() OVER (PARTITION BY o_custkey ORDER BY {order}) AS r FROM orders"
 _PAIRS = "SELECT o_custkey // 3 AS customer_id, o_custkey AS account_id, o_orderstatus AS status FROM orders"
 
 ORACLE = {
@@ -157,22 +161,24 @@ ORACLE = {
     "pending_account": f"""
         SELECT o_orderkey AS id, o_custkey AS account_id, o_totalprice AS amount
         FROM orders WHERE o_custkey NOT IN (SELECT account_id FROM {_KNOWN})""",
-    "exists_check": f"SELECT account_id FROM {_KNOWN} WHERE account_id NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)",
-    "account_lookup": f"SELECT * FROM {_KNOWN} WHERE account_id IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000)",
-    "latest_account": f"SELECT account_id, customer_id, account_type FROM ({_VERSION.format(way='DESC')}) WHERE r = 1",
-    "first_match": f"SELECT account_id, customer_id, account_type FROM ({_VERSION.format(way='ASC')}) WHERE r = 1",
+    "exists_check": "SELECT c_custkey AS account_id FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)",
+    "account_lookup": """
+        SELECT c_custkey AS account_id, c_custkey // 3 AS customer_id, c_mktsegment AS account_type
+        FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
+    "latest_account": f"SELECT account_id, customer_id, account_type FROM ({_VERSION.format(order='o_orderdate DESC, o_orderkey DESC')}) WHERE r = 1",
+    "first_match": f"SELECT account_id, customer_id, account_type FROM ({_VERSION.format(order='o_orderkey')}) WHERE r = 1",
     "account_ttl": f"""
-        SELECT account_id, customer_id FROM ({_VERSION.format(way='DESC')})
+        SELECT account_id, customer_id FROM ({_VERSION.format(order='o_orderdate DESC, o_orderkey DESC')})
         WHERE r = 1 AND seen > TIMESTAMP '2001-07-26 00:00:00'""",
     "first_row": 'SELECT MIN(o_orderkey) AS "offset" FROM orders',
     "show": "SELECT o_orderkey AS id, o_custkey AS account_id, o_totalprice AS amount FROM orders ORDER BY 1 LIMIT 20",
     "insert_if_absent": f"""
         SELECT * FROM ({_PAIRS}) WHERE status = 'F' UNION ALL
-        (SELECT * FROM ({_PAIRS}) WHERE status <> 'P' EXCEPT SELECT * FROM ({_PAIRS}) WHERE status = 'F')""",
+        (SELECT * FROM ({_PAIRS}) EXCEPT SELECT * FROM ({_PAIRS}) WHERE status = 'F')""",
     "subtract": f"""
-        SELECT customer_id, account_id FROM ({_PAIRS}) WHERE status = 'O'
+        SELECT customer_id, account_id FROM ({_PAIRS}) WHERE status <> 'P'
         EXCEPT SELECT customer_id, account_id FROM ({_PAIRS}) WHERE status = 'P'""",
-    "union_append": f"SELECT * FROM ({_PAIRS}) WHERE status = 'O' UNION ALL SELECT * FROM ({_PAIRS}) WHERE status = 'P'",
+    "union_append": f"SELECT * FROM ({_PAIRS}) WHERE status <> 'P' UNION ALL SELECT * FROM ({_PAIRS}) WHERE status = 'P'",
     "dedupe_txn": """
         SELECT event_id AS id, user_id AS account_id,
                CASE WHEN event_type = 'error' THEN value + 1 ELSE value END AS amount FROM events""",

@@ -47,7 +47,8 @@ def src_rows(spark, sf):
 def src_dicts(spark, sf):
     records = [{"op_type": "click", "weight": 1}, {"op_type": "purchase", "weight": 5}, {"op_type": "view", "weight": 2}]
     weights = spark.createDataFrame(records, "op_type string, weight int")
-    return inputs.events(spark, sf).join(weights, "op_type").groupBy("op_type").agg(F.sum("weight").cast("long").alias("total"))
+    weighed = inputs.events(spark, sf).join(weights, "op_type", "left").groupBy("op_type")
+    return weighed.agg(F.sum(F.coalesce("weight", F.lit(0))).cast("long").alias("total"))
 
 
 def parse_envelope(spark, sf):
@@ -265,8 +266,8 @@ ORACLE = {
         GROUP BY name""",
     "src_dicts": """
         SELECT event_type AS op_type,
-               CAST(SUM(CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 5 ELSE 2 END) AS BIGINT) AS total
-        FROM events WHERE event_type IN ('click', 'purchase', 'view') GROUP BY 1""",
+               CAST(SUM(CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 5 WHEN 'view' THEN 2 ELSE 0 END) AS BIGINT) AS total
+        FROM events GROUP BY 1""",
     "parse_envelope": """
         SELECT o_orderkey AS "offset", CASE WHEN o_orderstatus = 'P' THEN 'update' ELSE 'insert' END AS status,
                o_custkey AS account_id FROM orders""",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from registry import inputs
 from tellerscore.operators import features
-from tellerscore.schemas import HORIZONS, average_name, count_name
+from tellerscore.schemas import HORIZONS, KEYS, average_name, count_name
 
 CUT = "2024-01-16 12:00:00"
 
@@ -33,8 +33,8 @@ def _pit(source, keys, wanted):
 
 def join_history(spark, sf):
     rows = _rows(inputs.events(spark, sf))
-    joined = features.point_in_time(rows, keys=("account_id",), horizons={"1day": 1})
-    return joined.select("id", "account_id_count_1day", "account_id_avrge_amount_1day")
+    names = [c for k in KEYS for c in _averages(k) + _counts(k)]
+    return features.point_in_time(rows).select("id", *names)
 
 
 def feat_rollup(spark, sf):
@@ -63,11 +63,9 @@ def late_rows(spark, sf):
     """Every event scored against the last day: rows older than a horizon may find it empty."""
     rows = _rows(inputs.events(spark, sf))
     day = F.lit("2024-01-30").cast("date")
-    scored = features.as_of_features(rows, rows, day, keys=("account_id",), horizons={"1day": 1, "1week": 7})
-    names = [average_name("account_id", h) for h in ("1day", "1week")]
-    return scored.select(
-        "id", *names, "account_id_count_1day", "account_id_count_1week", features.incomplete(names).alias("incomplete")
-    )
+    scored = features.as_of_features(rows, rows, day)
+    averages, counts = ([c for k in KEYS for c in names(k)] for names in (_averages, _counts))
+    return scored.select("id", *averages, *counts, features.incomplete(averages).alias("incomplete"))
 
 
 def calendar_flags(spark, sf):
@@ -92,6 +90,8 @@ QUERIES = {
 
 _SOURCES = {
     "orders": "SELECT o_orderkey AS id, o_custkey AS account_id, o_custkey // 3 AS customer_id, CAST(o_totalprice AS DECIMAL(25,6)) AS amount, o_orderdate AS ts FROM orders",
+    "inserts": "SELECT o_orderkey AS id, o_custkey AS account_id, o_custkey // 3 AS customer_id, CAST(o_totalprice AS DECIMAL(25,6)) AS amount, o_orderdate AS ts FROM orders WHERE o_orderstatus <> 'P'",
+    "known_events": "SELECT event_id AS id, 'U' || user_id AS account_id, c_custkey // 3 AS customer_id, CAST(value AS DECIMAL(25,6)) AS amount, ts FROM events JOIN customer ON user_id = c_custkey",
     "events": "SELECT event_id AS id, user_id AS account_id, user_id // 3 AS customer_id, CAST(value AS DECIMAL(25,6)) AS amount, ts FROM events",
 }
 
@@ -119,6 +119,24 @@ def pit_sql(source, key, horizons=HORIZONS, averages=True, counts=True):
         GROUP BY a.id"""
 
 
+def _late_sql():
+    """Every event against 2024-01-30, with the horizons of both keys."""
+    ctes, joins, columns, averages = [], [], [], []
+    for key in KEYS:
+        sums = []
+        for name, days in HORIZONS.items():
+            inside = f"FILTER (WHERE d >= DATE '2024-01-30' - {days})"
+            sums.append(f"COUNT(*) {inside} AS n_{name}, CAST(SUM(amount) {inside} AS DOUBLE) AS s_{name}")
+            columns.append(f"{key}_t.s_{name} / NULLIF({key}_t.n_{name}, 0) AS {average_name(key, name)}")
+            columns.append(f"CAST({key}_t.n_{name} AS INT) AS {count_name(key, name)}")
+            averages.append(f"{key}_t.n_{name} = 0")
+        ctes.append(f"{key}_t AS (SELECT {key}, {', '.join(sums)} FROM e GROUP BY 1)")
+        joins.append(f"JOIN {key}_t ON e.{key} = {key}_t.{key}")
+    return f"""
+        WITH e AS (SELECT *, CAST(ts AS DATE) AS d FROM ({_SOURCES['events']})), {', '.join(ctes)}
+        SELECT id, {', '.join(columns)}, {' OR '.join(averages)} AS incomplete FROM e {' '.join(joins)}"""
+
+
 ORACLE = {
     "feat_customer_avg": pit_sql("orders", "customer_id", counts=False),
     "feat_customer_count": pit_sql("orders", "customer_id", averages=False),
@@ -126,7 +144,8 @@ ORACLE = {
     "feat_account_count": pit_sql("orders", "account_id", averages=False),
     "feat_customer_pit": pit_sql("events", "customer_id"),
     "feat_account_pit": pit_sql("events", "account_id"),
-    "join_history": pit_sql("events", "account_id", {"1day": 1}),
+    "join_history": f"""
+        SELECT * FROM ({pit_sql("events", "customer_id")}) JOIN ({pit_sql("events", "account_id")}) USING (id)""",
     "feat_rollup": f"""
         SELECT * FROM ({pit_sql("events", "customer_id")}) JOIN ({pit_sql("events", "account_id")}) USING (id)""",
     "feat_as_of": "SELECT customer_id, "
@@ -136,16 +155,18 @@ ORACLE = {
         for h, n in HORIZONS.items()
     )
     + f" FROM (SELECT *, CAST(ts AS DATE) AS d FROM ({_SOURCES['orders']})) GROUP BY customer_id",
-    "late_rows": f"""
-        WITH e AS (SELECT *, CAST(ts AS DATE) AS d FROM ({_SOURCES['events']})),
-             t AS (SELECT account_id, COUNT(*) FILTER (WHERE d >= DATE '2024-01-29') AS n1,
-                          COUNT(*) FILTER (WHERE d >= DATE '2024-01-23') AS n7,
-                          CAST(SUM(amount) FILTER (WHERE d >= DATE '2024-01-29') AS DOUBLE) AS s1,
-                          CAST(SUM(amount) FILTER (WHERE d >= DATE '2024-01-23') AS DOUBLE) AS s7 FROM e GROUP BY 1)
-        SELECT id, s1 / NULLIF(n1, 0) AS account_id_avrge_amount_1day, s7 / NULLIF(n7, 0) AS account_id_avrge_amount_1week,
-               CAST(n1 AS INT) AS account_id_count_1day, CAST(n7 AS INT) AS account_id_count_1week,
-               n1 = 0 OR n7 = 0 AS incomplete FROM e JOIN t USING (account_id)""",
+    "late_rows": _late_sql(),
     "calendar_flags": """
         SELECT event_id AS id, CAST(isodow(ts) >= 6 AS INT) AS transaction_in_weekend,
                CAST(hour(ts) >= 22 OR hour(ts) < 6 AS INT) AS transaction_at_night FROM events""",
 }
+
+
+def featured_sql(source):
+    """Every row of a source with all features of both keys and the calendar flags."""
+    return f"""
+        SELECT t.id, CAST(t.amount AS DOUBLE) AS amount, c.* EXCLUDE (id), a.* EXCLUDE (id),
+               CAST(isodow(t.ts) >= 6 AS INT) AS transaction_in_weekend,
+               CAST(hour(t.ts) >= 22 OR hour(t.ts) < 6 AS INT) AS transaction_at_night
+        FROM ({_SOURCES[source]}) t JOIN ({pit_sql(source, "customer_id")}) c ON t.id = c.id
+        JOIN ({pit_sql(source, "account_id")}) a ON t.id = a.id"""
