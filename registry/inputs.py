@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,30 @@ from tellerscore.session import materialize, new_path
 NULLS = {"ignoreNullFields": "false"}
 
 
+#: A rule that looks at averages and counts of both keys over all horizons, and at both flags; the same
+#: text is an expression for Spark and for the SQL counterpart.
+RULE = """(
+    amount > 1.5 * customer_id_avrge_amount_1week AND customer_id_count_1month >= 3
+    OR amount > 1.5 * account_id_avrge_amount_1day AND account_id_count_1day >= 2
+    OR amount > 1.9 * customer_id_avrge_amount_1day AND customer_id_count_1week >= 2
+    OR transaction_at_night = 1 AND amount > 1.8 * customer_id_avrge_amount_3month AND account_id_count_3month >= 2
+    OR transaction_in_weekend = 1 AND amount < 0.1 * account_id_avrge_amount_1month AND customer_id_count_3month >= 4
+    OR amount > 1.4 * account_id_avrge_amount_1week AND account_id_count_1week >= 2 AND customer_id_count_1day = 1
+    OR amount > 1.7 * account_id_avrge_amount_3month AND account_id_count_1month >= 2
+    OR amount < 0.2 * customer_id_avrge_amount_1month AND account_id_count_1month = 1)"""
+
+
+#: The rule behind the label of the training rows.
+LABELLED = """(
+    amount > 2.5 * customer_id_avrge_amount_3month AND customer_id_count_3month > 3
+    OR transaction_at_night = 1 AND amount > 150)"""
+
+
+def rule_model() -> SQLTransformer:
+    """A model that needs no training: it predicts 1 where the rule holds."""
+    return SQLTransformer(statement=f"SELECT *, CAST({RULE} AS DOUBLE) AS prediction FROM __THIS__")
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -113,20 +138,8 @@ def files(records: DataFrame, name: str) -> str:
     return path
 
 
-_featured: dict[tuple[str, str], DataFrame] = {}
-
-
 def featured_events(spark: SparkSession, sf: str) -> DataFrame:
-    """Events with all features and a rule-made label; computed once per session and folder."""
-    at = (spark.sparkContext.applicationId, sf)
-    if at not in _featured:
-        rows = events(spark, sf).select("id", "account_id", "customer_id", "amount", "ts")
-        with_features = features.calendar_flags(features.point_in_time(rows))
-        suspicious = (F.col("amount") > 2.5 * F.col("customer_id_avrge_amount_3month")) & (
-            F.col("customer_id_count_3month") > 3
-        )
-        night = (F.col("transaction_at_night") == 1) & (F.col("amount") > 150)
-        _featured[at] = materialize(
-            with_features.withColumn("is_fraud", (suspicious | night).cast("int")), "featured-events"
-        )
-    return _featured[at]
+    """Events with all features and a rule-made label, written."""
+    rows = events(spark, sf).select("id", "account_id", "customer_id", "amount", "ts")
+    with_features = features.calendar_flags(features.point_in_time(rows))
+    return materialize(with_features.withColumn("is_fraud", F.expr(LABELLED).cast("int")), "featured-events")

@@ -7,7 +7,9 @@ of columns with many values.
 
 from __future__ import annotations
 
-from pyspark.ml import Model, Pipeline
+from dataclasses import dataclass
+
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     LinearSVC,
     LinearSVCModel,
@@ -16,15 +18,15 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
 )
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerscore.functions.fields import label_text
 from tellerscore.operators.running import SPLIT_ROWS, GroupSizes, running_totals
 from tellerscore.schemas import FEATURES, LABEL
-from tellerscore.session import materialize_measured
+from tellerscore.session import materialize, materialize_measured
 
 MODELS = {
     "lr": LogisticRegressionModel,
@@ -95,34 +97,6 @@ def load(kind: str, path: str) -> Model:
     return MODELS[kind].load(path)
 
 
-def count_categories(df: DataFrame, columns: list[str]) -> DataFrame:
-    """About how many distinct values each column has, in one pass."""
-    return df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
-
-
-def indexed_pipeline(
-    df: DataFrame, classifier=None, columns: list[str] = FEATURES, label: str = LABEL, max_categories: int = 100_000
-) -> Pipeline:
-    """Indexers for the label and every feature, assembler, classifier.
-
-    Spark's indexer keeps all values of a column on the driver. Columns with more than
-    ``max_categories`` values are refused; use :func:`index_values` for them.
-    """
-    sizes = count_categories(df, columns).first()
-    large = [c for c in columns if sizes[c] > max_categories]
-    if large:
-        raise ValueError(f"too many values for an in-memory index: {', '.join(large)}")
-    names = [f"{c}_index" for c in columns]
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCol=label, outputCol="label"),
-            StringIndexer(inputCols=columns, outputCols=names, handleInvalid="keep"),
-            assembler(names),
-            classifier or perceptron((len(columns), 10, 5, 2), 42, "label"),
-        ]
-    )
-
-
 def index_values(df: DataFrame, columns: list[str], split_rows: int = SPLIT_ROWS) -> DataFrame:
     """The index of every value: (column, value, frequency, position), most frequent first.
 
@@ -166,3 +140,45 @@ def apply_index(df: DataFrame, index: DataFrame, columns: list[str]) -> DataFram
             .drop("_value", "_position")
         )
     return result
+
+
+@dataclass(frozen=True)
+class IndexedModel:
+    """A classifier of value indexes: the indexes of the label and the features, and the model itself."""
+
+    index: DataFrame
+    model: Model
+    columns: tuple[str, ...]
+    label: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``label``, the index of the label column where there is one, and ``prediction``."""
+        columns = [*self.columns, self.label] if self.label in df.columns else list(self.columns)
+        indexed = apply_index(df, self.index, columns)
+        names = [f"{c}_index" for c in self.columns]
+        predicted = self.model.transform(assembler(names).transform(indexed))
+        kept = [F.col(f"{self.label}_index").alias("label")] if self.label in df.columns else []
+        return predicted.select(*df.columns, *kept, "prediction")
+
+    def save(self, path: str) -> None:
+        save(self.model, f"{path}/model")
+        self.index.write.mode("overwrite").parquet(f"{path}/index")
+
+
+def load_indexed(spark: SparkSession, kind: str, path: str, columns: list[str] = FEATURES, label: str = LABEL) -> IndexedModel:
+    return IndexedModel(spark.read.parquet(f"{path}/index"), load(kind, f"{path}/model"), tuple(columns), label)
+
+
+def fit_indexed(
+    df: DataFrame, classifier: Estimator | None = None, columns: list[str] = FEATURES, label: str = LABEL
+) -> IndexedModel:
+    """Index the label and every feature, and fit a classifier to the indexes.
+
+    The index is a table, whatever the number of values; none of it passes through the driver.
+    """
+    every = [*columns, label]
+    index = materialize(index_values(df, every), "index")
+    indexed = assembler([f"{c}_index" for c in columns]).transform(apply_index(df, index, every))
+    table = materialize(indexed.select("features", F.col(f"{label}_index").alias("label")), "indexed")
+    model = (classifier or perceptron((len(columns), 10, 5, 2), 42, "label")).fit(table)
+    return IndexedModel(index, model, tuple(columns), label)
