@@ -18,6 +18,9 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 NIGHT_FROM, NIGHT_TO = 22, 6
 
+# Seconds of 0002-01-01 and 9998-12-31: a year inside the calendar, so that no horizon leaves it.
+FIRST_SECOND, LAST_SECOND = -62_104_060_800, 253_370_678_400
+
 
 def _hex_to_number(digits: Column) -> Column:
     """Value of the last 24 hex digits as decimal(38,0). ``conv`` alone stops at 64 bits."""
@@ -53,12 +56,15 @@ def encode_amount(amount: Column) -> Column:
 
 
 def epoch_ms_to_ts(ms: Column) -> Column:
-    return F.timestamp_millis(ms)
+    """Null outside the years that a trailing horizon can reach back from, and dates can name."""
+    return F.when(ms.between(FIRST_SECOND * 1000, LAST_SECOND * 1000), F.timestamp_millis(ms))
 
 
 def epoch_us_to_ts(us: Column, shift_hours: int = 1) -> Column:
-    """Epoch microseconds moved back by the source's fixed clock shift."""
-    return F.timestamp_micros(us - F.lit(shift_hours * 3_600_000_000))
+    """Epoch microseconds moved back by the source's fixed clock shift; null outside the same years."""
+    shift = shift_hours * 3_600_000_000
+    usable = us.between(FIRST_SECOND * 1_000_000 + shift, LAST_SECOND * 1_000_000 + shift)
+    return F.when(usable, F.timestamp_micros(us - F.lit(shift)))
 
 
 def time_text(ts: Column) -> Column:

@@ -32,11 +32,16 @@ class Tenant:
     scored_names: dict[str, str]
 
 
+def _summable(amount: Column) -> Column:
+    """Null for a double too large for exact sums, which puts its record into quarantine."""
+    return F.when(amount.try_cast(schemas.AMOUNT).isNotNull(), amount)
+
+
 def _transaction_a(after: Column) -> dict[str, Column]:
     return {
         "id": after["id"],
         "account_id": after["savings_account_id"],
-        "amount": fields.decode_amount(after["amount"]).cast("double"),
+        "amount": _summable(fields.decode_amount(after["amount"]).cast("double")),
         "ts": fields.epoch_ms_to_ts(after["created_date"]),
         "op_type": fields.op_type(after["transaction_type_enum"]),
         "description": F.lit(None).cast("string"),
@@ -44,12 +49,10 @@ def _transaction_a(after: Column) -> dict[str, Column]:
 
 
 def _transaction_b(after: Column) -> dict[str, Column]:
-    # An amount too large for exact sums is quarantined, as in the encoded layout.
-    usable = after["amount"].try_cast(schemas.AMOUNT).isNotNull()
     return {
         "id": after["id"],
         "account_id": after["bank_account_id"],
-        "amount": F.when(usable, after["amount"]),
+        "amount": _summable(after["amount"]),
         "ts": fields.epoch_us_to_ts(after["operation_date"]),
         "op_type": after["type"],
         "description": after["description"],

@@ -18,9 +18,6 @@ from tellerscore.session import materialize
 
 # Rows of one group that a single task may sort; above it the group is split.
 SPLIT_ROWS = 4_000_000
-# Groups holding more than 1/MAX_PARTS of all rows are split, so there are fewer than MAX_PARTS
-# of them and their list, like the list of pieces, is small enough to broadcast at any data size.
-MAX_PARTS = 10_000
 
 
 @dataclass(frozen=True)
@@ -54,20 +51,21 @@ def running_totals(
     if sizes.largest <= split_rows:
         return _attach_by_merge(_window_totals(rows, group, order), attach, group)
 
-    limit = max(split_rows, sizes.rows // MAX_PARTS)
-    hot = sizes.frame.where(F.col("n") > limit).select(*group, "n")
+    hot = sizes.frame.where(F.col("n") > split_rows).select(*group, "n")
     hot_rows = hot.agg(F.sum("n")).first()[0]
     if not hot_rows:
         return _attach_by_merge(_window_totals(rows, group, order), attach, group)
-    hot_groups = F.broadcast(hot.select(*group))
-    parts = max(2, min(MAX_PARTS, math.ceil(hot_rows / split_rows)))
+    # There are at most rows / split_rows of them: their list is mostly small enough for adaptive
+    # execution to send to every task, and otherwise a merge join whose hot keys it splits.
+    hot_groups = hot.select(*group)
+    parts = max(2, math.ceil(hot_rows / split_rows))
     common = rows.join(hot_groups, group, "left_anti")
     split = rows.join(hot_groups, group, "left_semi")
     small = _attach_by_merge(_window_totals(common, group, order), attach, group)
     large = _piecewise_totals(split, group, order, parts)
     if attach is not None:
         few = attach.join(hot_groups, group, "left_semi")
-        large = large.join(F.broadcast(few), group, "left")
+        large = large.join(few, group, "left")
     return small.unionByName(large)
 
 
@@ -115,7 +113,7 @@ def _piecewise_totals(rows: DataFrame, group: list[str], order: list[str], parts
     inside = _window_totals(cut, [*group, "_piece"], order)
     kind = inside.schema["run_s"].dataType
     return (
-        inside.join(F.broadcast(carried), [*group, "_piece"])
+        inside.join(carried, [*group, "_piece"])
         .withColumn("run_n", F.col("run_n") + F.col("_n"))
         .withColumn("run_s", _null_safe_sum(F.col("run_s"), F.col("_s")).cast(kind))
         .drop("_piece", "_n", "_s")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DateType,
     DecimalType,
     DoubleType,
@@ -141,12 +142,17 @@ SCORED_B = _struct(
 )
 
 
+def featured() -> StructType:
+    """What the model saw of each scored transaction, and what it said."""
+    columns = [(n, _training_type(n)) for n in FEATURES]
+    return _struct(("id", LongType()), *columns, ("incomplete", BooleanType()), (LABEL, StringType()))
+
+
 def _training_type(name: str):
     return DoubleType() if name == "amount" or "_avrge_" in name else IntegerType()
 
 
 TRAINING = StructType([StructField(n, _training_type(n), True) for n in [*FEATURES, LABEL]])
-TRAINING_TEXT = StructType([StructField(n, StringType(), True) for n in [*FEATURES, LABEL]])
 
 CHAT_PAYLOAD = _struct(
     ("icon_emoji", StringType()),

@@ -4,10 +4,11 @@ import decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tellerscore.functions import alerts, fields
 from tellerscore.functions.text import cast_columns
-from tellerscore.schemas import TRAINING, TRAINING_TEXT
+from tellerscore.schemas import TRAINING
 
 
 def encode(value: int, size: int | None = None, signed: bool = False) -> str:
@@ -124,7 +125,8 @@ def test_alert_text(spark):
 def test_bad_text_casts_to_null(spark):
     good = ["1.5" if "_avrge_" in n or n == "amount" else "2" for n in TRAINING.names]
     bad = ["x"] * len(good)
-    rows = cast_columns(spark.createDataFrame([good, bad], TRAINING_TEXT), TRAINING)
+    text = StructType([StructField(n, StringType()) for n in TRAINING.names])
+    rows = cast_columns(spark.createDataFrame([good, bad], text), TRAINING)
     assert rows.schema == TRAINING
     first, second = rows.collect()
     assert first.amount == 1.5 and first.is_fraud == 2
