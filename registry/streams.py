@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry import inputs
-from registry.trailing import pit_columns
+from registry.trailing import featured_sql
 from tellerscore import schemas
 from tellerscore.operators import accounts, dedupe, parse
 from tellerscore.plans.scoring import label, score_backfill
 from tellerscore.session import materialize, new_path
 from tellerscore.sinks import notify
-from tellerscore.sinks.index import conform, create_target
+from tellerscore.sinks.index import conform, create_target, write_index
 from tellerscore.sources.cdc import cdc_stream, multi_stream
 from tellerscore.streaming.jobs import AccountJob, ScoringJob, Tables
 from tellerscore.streaming.tables import EpochTable
 
 
+#: Files that carry one micro-batch of the scoring stream.
+FILES = 2
+
+
 def _drain(stream, name):
     """Run a stream over all its input into a table and return the table."""
     spark = stream.sparkSession
@@ -96,12 +100,21 @@ def sink_index(spark, sf):
     resolved, _ = accounts.join_account(inserts, accounts.latest_accounts(known))
     rows = parse.project_scored(label(resolved, None), parse.TENANT_A)
     table = EpochTable(new_path(spark, "scored"), parse.TENANT_A.scored)
-    table.write(rows.where("type = 'DEBIT'"), 0)
+    write_index(rows.where("type = 'DEBIT'"), None, table.schema, table, 0)
     for _ in range(2):
-        table.write(rows.where("type = 'CREDIT'"), 1)
+        write_index(rows.where("type = 'CREDIT'"), None, table.schema, table, 1)
     return table.read(spark)
 
 
+def sink_console(spark, sf):
+    """How many records a stream printed."""
+    folder = inputs.files(inputs.order_records(spark, sf), "order-records")
+    query = notify.show_stream(cdc_stream(spark, "json", folder), f"{folder}-checkpoint", availableNow=True)
+    query.awaitTermination()
+    n = sum(p["numInputRows"] for p in query.recentProgress)
+    return spark.createDataFrame([(n,)], "n long")
+
+
 def sink_schema(spark, sf):
     path = new_path(spark, "typed")
     target = "id bigint, amount double, day date"
@@ -136,7 +149,7 @@ def history_upsert(spark, sf):
 
 
 def account_upsert(spark, sf):
-    """Versions arrive by date in three micro-batches, one of them twice; the last offset wins."""
+    """Versions arrive by date in three micro-batches, one of them twice; the last seen wins."""
     versions = inputs.account_versions(spark, sf)
     table = EpochTable(new_path(spark, "accounts"), schemas.account_dimension())
     year = F.year("seen_at")
@@ -148,12 +161,12 @@ def account_upsert(spark, sf):
 
 def score_batch(spark, sf):
     """All orders scored at once; each row carries the features the model would see."""
-    outcome = score_backfill(inputs.order_records(spark, sf), inputs.account_records_a(spark, sf), parse.TENANT_A)
-    columns = [c for c in schemas.FEATURES if c.startswith("account_id_count") or c.startswith("customer_id_count")]
-    return outcome.scored.select("id", "amount", "is_fraud", *columns)
+    records = inputs.order_records(spark, sf), inputs.account_records_a(spark, sf)
+    outcome = score_backfill(*records, parse.TENANT_A, inputs.rule_model())
+    return outcome.scored.select("id", "is_fraud", *schemas.FEATURES)
 
 
-def stream_equals_batch(spark, sf):
+def _scored_stream(spark, sf):
     """Events as tenant B in four micro-batches that follow event order, after their accounts."""
     tables = Tables(new_path(spark, "deployment"), parse.TENANT_B)
     folder = inputs.files(inputs.account_records_b(spark, sf), "account-records")
@@ -166,11 +179,25 @@ def stream_equals_batch(spark, sf):
     part = sum((F.col("ts") >= b).cast("int") for b in borders)
     folder = new_path(spark, "event-records")
     for i in range(4):
-        stamped.where(part == i).select("value", "partition", "offset").coalesce(1).write.mode("append").json(folder)
-    job = ScoringJob(tables, parse.TENANT_B)
-    stream = cdc_stream(spark, "json", folder, maxFilesPerTrigger="1")
+        rows = stamped.where(part == i).select("value", "partition", "offset")
+        rows.repartition(FILES).write.mode("append").json(folder)
+    job = ScoringJob(tables, parse.TENANT_B, inputs.rule_model(), recipient="desk@example.org", signature="The bank")
+    stream = cdc_stream(spark, "json", folder, maxFilesPerTrigger=str(FILES))
     job.start(stream, availableNow=True).awaitTermination()
-    return tables.scored.read(spark)
+    return tables
+
+
+def stream_equals_batch(spark, sf):
+    """The output rows of the streaming job."""
+    return _scored_stream(spark, sf).scored.read(spark)
+
+
+def score_stream(spark, sf):
+    """What the streaming job's model saw of every event, its label, and whether an alert was written."""
+    tables = _scored_stream(spark, sf)
+    alerts = tables.alerts.read(spark).select("id", F.lit(True).alias("alerted"))
+    rows = tables.features.read(spark).join(alerts, "id", "left")
+    return rows.withColumn("alerted", F.coalesce("alerted", F.lit(False)))
 
 
 QUERIES = {
@@ -179,24 +206,17 @@ QUERIES = {
     "micro_batch": micro_batch,
     "foreach_batch": foreach_batch,
     "sink_index": sink_index,
+    "sink_console": sink_console,
     "sink_schema": sink_schema,
     "sink_notify": sink_notify,
     "history_upsert": history_upsert,
     "account_upsert": account_upsert,
     "score_batch": score_batch,
     "stream_equals_batch": stream_equals_batch,
+    "score_stream": score_stream,
 }
 
-_INSERTS = """
-    SELECT o_orderkey AS id, o_custkey AS account_id, o_custkey // 3 AS customer_id, o_orderdate AS ts,
-           CAST(o_totalprice AS DECIMAL(25,6)) AS amount FROM orders WHERE o_orderstatus <> 'P'"""
-
-
-def _counts_sql(key):
-    return f"""
-        SELECT a.id, {pit_columns(key, schemas.HORIZONS, averages=False)} FROM ({_INSERTS}) a
-        JOIN ({_INSERTS}) b ON a.{key} = b.{key} AND (b.ts < a.ts OR (b.ts = a.ts AND b.id <= a.id)) GROUP BY a.id"""
-
+_LABEL = f"CASE WHEN {inputs.RULE} THEN 'fraudulent' ELSE 'valid' END"
 
 ORACLE = {
     "src_cdc_stream": """
@@ -215,6 +235,7 @@ ORACLE = {
                CASE WHEN o_orderstatus = 'F' THEN 'DEBIT' ELSE 'CREDIT' END AS type,
                strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS "@timestamp"
         FROM orders WHERE o_orderstatus <> 'P'""",
+    "sink_console": "SELECT COUNT(*) AS n FROM orders",
     "sink_schema": "SELECT o_orderkey AS id, o_totalprice AS amount, CAST(o_orderdate AS DATE) AS day FROM orders",
     "sink_notify": """
         SELECT '{"message":"order ' || o_orderkey || ' is ' || o_orderstatus || '"}' AS value FROM orders""",
@@ -222,16 +243,15 @@ ORACLE = {
     "account_upsert": """
         SELECT account_id, customer_id, account_type FROM (
             SELECT o_custkey AS account_id, o_orderkey // 7 AS customer_id, o_orderpriority AS account_type,
-                   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r FROM orders) WHERE r = 1""",
-    "score_batch": f"""
-        SELECT o_orderkey AS id, o_totalprice AS amount, 'valid' AS is_fraud, c.* EXCLUDE (id), d.* EXCLUDE (id)
-        FROM orders JOIN ({_counts_sql("customer_id")}) c ON o_orderkey = c.id
-        JOIN ({_counts_sql("account_id")}) d ON o_orderkey = d.id""",
-    "stream_equals_batch": """
+                   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1""",
+    "score_batch": f"SELECT *, {_LABEL} AS is_fraud FROM ({featured_sql('inserts')})",
+    "score_stream": f"""
+        SELECT *, FALSE AS incomplete, {_LABEL} AS is_fraud, {inputs.RULE} AS alerted FROM ({featured_sql('known_events')})""",
+    "stream_equals_batch": f"""
         SELECT 'U' || user_id AS "account-id", value AS amount, c_custkey // 3 AS "Customer-id",
-               strftime(ts, '%Y-%m-%d %H:%M:%S') AS "operation-date", 'valid' AS is_fraud,
+               strftime(ts, '%Y-%m-%d %H:%M:%S') AS "operation-date", {_LABEL} AS is_fraud,
                event_id AS "transaction-id", event_type AS type, props AS "transaction-description",
                CASE WHEN c_mktsegment = 'BUILDING' THEN 'Saving Account' ELSE 'Current Account' END AS account_type,
                strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "@timestamp"
-        FROM events JOIN customer ON user_id = c_custkey""",
+        FROM events JOIN customer ON user_id = c_custkey JOIN ({featured_sql("known_events")}) ON event_id = id""",
 }

@@ -11,8 +11,13 @@ ORDER = ["offset", "partition"]
 
 
 def latest_accounts(versions: DataFrame) -> DataFrame:
-    """The last version of each account."""
-    return last_by(versions, ["account_id"], ORDER)
+    """The last version of each account.
+
+    Offsets only order the records of one topic's life, so the time a version was seen comes first where
+    it is known: a later micro-batch wins, whatever its offsets.
+    """
+    seen = ["seen_at"] if "seen_at" in versions.columns else []
+    return last_by(versions, ["account_id"], [*seen, *ORDER])
 
 
 def first_accounts(versions: DataFrame) -> DataFrame:

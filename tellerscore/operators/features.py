@@ -214,6 +214,22 @@ def as_of_totals(
     return recent.groupBy(key).agg(*columns)
 
 
+def as_of_from_days(
+    totals: DataFrame, key: str, as_of: datetime.date | Column, horizons: dict[str, int] = HORIZONS
+) -> DataFrame:
+    """:func:`as_of_totals` from day totals (key, day, n, s) instead of raw rows: horizons are whole days."""
+    anchor = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    first = {name: F.date_sub(anchor, days) for name, days in horizons.items()}
+    recent = totals.where(F.col("day") >= F.date_sub(anchor, max(horizons.values())))
+    averages, counts = [], []
+    for name in horizons:
+        n = F.coalesce(F.sum(F.when(F.col("day") >= first[name], F.col("n"))), F.lit(0))
+        s = F.sum(F.when(F.col("day") >= first[name], F.col("s"))).cast("double")
+        averages.append((s / F.nullif(n, F.lit(0))).alias(average_name(key, name)))
+        counts.append(n.cast("int").alias(count_name(key, name)))
+    return recent.groupBy(F.col("key").alias(key)).agg(*averages, *counts)
+
+
 def as_of_features(
     rows: DataFrame,
     history: DataFrame,

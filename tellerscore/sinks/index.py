@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tellerscore.streaming.tables import EpochTable
+
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro", "xml")
+
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the declared columns, in order and typed; a column the target lacks is an error."""
@@ -21,10 +25,26 @@ def create_target(spark: SparkSession, schema: StructType, path: str, fmt: str =
     spark.createDataFrame([], schema).write.format(fmt).mode("ignore").save(path)
 
 
-def write_index(df: DataFrame, fmt: str, schema: StructType, id_column: str = "transaction-id", **options: str) -> None:
-    """Append to a search index through its connector.
-
-    The document id makes a repeated write replace the row it wrote before.
+def write_index(
+    df: DataFrame,
+    fmt: str | None,
+    schema: StructType,
+    table: EpochTable | None = None,
+    epoch: int = 0,
+    id_column: str = "transaction-id",
+    **options: str,
+) -> None:
+    """Write scored rows so that writing them again changes nothing.
+
+    Without a format they go to ``table`` as micro-batch ``epoch``, which a repeated write replaces. With
+    one they are appended through a search index's connector, where the document id does the same. File
+    formats know no ids, so they are refused.
     """
+    rows = conform(df, schema)
+    if fmt is None:
+        table.write(rows, epoch)
+        return
+    if fmt in FILE_FORMATS:
+        raise ValueError(f"{fmt} would repeat rows that are written again; write to a table instead")
     settings = {"es.mapping.id": id_column, **options}
-    conform(df, schema).write.format(fmt).options(**settings).mode("append").save()
+    rows.write.format(fmt).options(**settings).mode("append").save()

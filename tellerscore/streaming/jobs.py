@@ -9,9 +9,9 @@ from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from tellerscore import schemas
 from tellerscore.operators import features, parse
@@ -60,7 +60,9 @@ class Tables:
         }
         self.pending = EpochTable(f"{root}/pending", schemas.canonical(account))
         self.scored = EpochTable(f"{root}/scored", tenant.scored)
+        self.features = EpochTable(f"{root}/features", schemas.featured())
         self.alerts = EpochTable(f"{root}/alerts", ALERTS)
+        self.anchors = EpochTable(f"{root}/anchors", StructType([StructField("day", DateType())]))
         self.bad_transactions = EpochTable(f"{root}/quarantine_transactions", QUARANTINE)
         self.bad_accounts = EpochTable(f"{root}/quarantine_accounts", QUARANTINE)
 
@@ -83,8 +85,11 @@ class AccountJob:
 
     tables: Tables
     tenant: Tenant
+    compact_every: int = 100
 
     def process(self, batch: DataFrame, epoch: int) -> None:
+        if epoch and epoch % self.compact_every == 0:
+            self.tables.accounts.compact(batch.sparkSession, epoch, latest_accounts)
         read = parse.read_accounts(batch, self.tenant).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             latest = latest_accounts(parse.kept(read)).withColumn("seen_at", F.current_timestamp())
@@ -94,14 +99,19 @@ class AccountJob:
             read.unpersist()
 
     def start(self, records: DataFrame, **trigger):
-        return _start(records, self.process, f"{self.tables.root}/_checkpoint_accounts", trigger)
+        written = (self.tables.accounts, self.tables.bad_accounts)
+        return _start(records, self.process, self.tables.root, "accounts", written, trigger)
 
 
 @dataclass(frozen=True)
 class ScoringJob:
     """Scores each micro-batch as a whole.
 
-    ``as_of`` gives the features against one anchor day instead of each transaction's own day.
+    ``as_of`` gives the features against one anchor day instead of each transaction's own day. The text
+    ``today`` follows the clock: the day is written down once per micro-batch, so a retry sees the same.
+    ``compact_every`` micro-batches the day totals of all earlier ones are merged, without dropping days;
+    :meth:`Tables.compact` also lets go of days past retention.
+    ``send_alerts`` is off for tenants that want none.
     ``index_format`` sends scored rows to a connector; without it they go to a table.
     ``notify`` receives the alert rows of a micro-batch, for a broker or another channel.
     """
@@ -110,7 +120,9 @@ class ScoringJob:
     tenant: Tenant
     model: Model | None = None
     account_ttl: int | None = None
-    as_of: datetime.date | None = None
+    as_of: datetime.date | str | None = None
+    send_alerts: bool = True
+    compact_every: int = 100
     recipient: str = ""
     signature: str = ""
     index_format: str | None = None
@@ -118,6 +130,9 @@ class ScoringJob:
     notify: Callable[[DataFrame], None] | None = None
 
     def process(self, batch: DataFrame, epoch: int) -> None:
+        if epoch and epoch % self.compact_every == 0:
+            for table in self.tables.day_totals.values():
+                table.compact(batch.sparkSession, epoch, features.sum_by_day)
         read = parse.read_transactions(batch, self.tenant).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             with scratch_scope(batch.sparkSession):
@@ -129,13 +144,12 @@ class ScoringJob:
         spark, tables = read.sparkSession, self.tables
         bad = parse.quarantined(read)
         delivered = parse.kept(read).unionByName(tables.pending.read(spark, only=epoch - 1))
-        days = [r.day for r in delivered.select(F.to_date("ts").alias("day")).distinct().collect()]
-        if not days:
+        days = delivered.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+        if days[0] is None:
             tables.bad_transactions.write(bad, epoch)
             return
-        # A repeated insert carries the same time, so only the days of this batch can know its id.
-        known = tables.history.read(spark, before=epoch).where(_on(F.col("event_day"), days))
-        new = unseen(dedupe_transactions(delivered), known)
+        # An insert may come again with another time, so ids are looked up on every retained day.
+        new = unseen(dedupe_transactions(delivered), tables.history.read(spark, before=epoch))
         versions = tables.accounts.read(spark).join(
             new.select("account_id").distinct(), "account_id", "left_semi"
         )
@@ -149,31 +163,27 @@ class ScoringJob:
         featured = self._features(resolved, totals, epoch, days)
         scored = materialize(label(features.calendar_flags(featured), self.model), "scored")
         rows = project_scored(scored, self.tenant)
-        if self.index_format is None:
-            output = partial(tables.scored.write, rows, epoch)
-        else:
-            output = partial(write_index, rows, self.index_format, self.tenant.scored, **(self.index_options or {}))
+        options = self.index_options or {}
+        output = partial(write_index, rows, self.index_format, self.tenant.scored, tables.scored, epoch, **options)
+        alerts = alert_rows(scored if self.send_alerts else scored.limit(0), self.recipient, self.signature)
         concurrently(
             spark,
             output,
             partial(tables.bad_transactions.write, bad, epoch),
             partial(tables.pending.write, pending_only(joined), epoch),
             partial(tables.history.write, scored.withColumn("event_day", F.to_date("ts")), epoch),
-            partial(tables.alerts.write, alert_rows(scored, self.recipient, self.signature), epoch),
+            partial(tables.features.write, scored.withColumn("incomplete", features.incomplete()), epoch),
+            partial(tables.alerts.write, alerts, epoch),
             *[partial(table.write, totals[key].frame, epoch) for key, table in tables.day_totals.items()],
         )
-        if self.notify:
+        if self.notify and self.send_alerts:
             self.notify(tables.alerts.read(spark, only=epoch))
 
     def _features(self, resolved: DataFrame, totals: dict, epoch: int, days: list) -> DataFrame:
         spark, tables = resolved.sparkSession, self.tables
         longest = datetime.timedelta(days=max(schemas.HORIZONS.values()))
         if self.as_of is not None:
-            past = retained(tables.history.read(spark, before=epoch), self.as_of, longest.days)
-            both = past.drop("event_day").unionByName(
-                resolved.select("id", "account_id", "customer_id", "amount", "ts")
-            )
-            return features.as_of_features(resolved, both, self.as_of)
+            return self._against(self._anchor(spark, epoch), resolved, totals, epoch)
         past_totals = {}
         for key, table in tables.day_totals.items():
             recent = table.read(spark, before=epoch).where(
@@ -181,25 +191,59 @@ class ScoringJob:
             )
             keys = resolved.select(F.col(key).alias("key")).distinct()
             past_totals[key] = recent.join(keys, "key", "left_semi")
-        past_rows = tables.history.read(spark, before=epoch).where(_on(F.col("event_day"), days))
+        past_rows = _on_days(tables.history.read(spark, before=epoch), resolved, min(days), max(days))
         return features.point_in_time(
             resolved, past_totals=past_totals, past_rows=past_rows, totals=totals
         )
 
+    def _anchor(self, spark: SparkSession, epoch: int) -> datetime.date:
+        if self.as_of != "today":
+            return self.as_of
+        anchors = self.tables.anchors
+        if anchors.read(spark, only=epoch).isEmpty():
+            anchors.write(spark.range(1).select(F.current_date().alias("day")), epoch)
+        return anchors.read(spark, only=epoch).first()["day"]
+
+    def _against(self, day: datetime.date, resolved: DataFrame, totals: dict, epoch: int) -> DataFrame:
+        """Features against one day, from the day totals of the batch's keys."""
+        result = resolved
+        for key, table in self.tables.day_totals.items():
+            keys = resolved.select(F.col(key).alias("key")).distinct()
+            past = table.read(resolved.sparkSession, before=epoch).join(keys, "key", "left_semi")
+            both = past.unionByName(totals[key].frame)
+            result = result.join(features.as_of_from_days(both, key, day), key, "left")
+            result = result.fillna(0, [schemas.count_name(key, h) for h in schemas.HORIZONS])
+        return result
+
     def start(self, records: DataFrame, **trigger):
-        return _start(records, self.process, f"{self.tables.root}/_checkpoint_transactions", trigger)
+        t = self.tables
+        written = (t.history, t.pending, t.scored, t.alerts, t.features, t.bad_transactions, *t.day_totals.values())
+        return _start(records, self.process, t.root, "transactions", written, trigger)
 
 
-def _on(day: Column, days: list[datetime.date], most: int = 400) -> Column:
-    """Limits a partition column to the days of a batch, so that one late row costs one more day.
+def _on_days(history: DataFrame, batch: DataFrame, first: datetime.date, last: datetime.date) -> DataFrame:
+    """The history of a batch's days. Days are partitions: the join lets scans skip those between."""
+    days = batch.select(F.to_date("ts").alias("event_day")).distinct()
+    return history.where(F.col("event_day").between(F.lit(first), F.lit(last))).join(days, "event_day", "left_semi")
 
-    A batch of very many days, such as a backlog, gives the range between the outermost ones.
-    """
-    return day.isin(days) if len(days) <= most else day.between(F.lit(min(days)), F.lit(max(days)))
 
+def _start(records: DataFrame, process, root: str, name: str, written: tuple[EpochTable, ...], trigger: dict):
+    """Start a job whose micro-batches go on counting where the tables end.
 
-def _start(records: DataFrame, process, checkpoint: str, trigger: dict):
-    writer = records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    Spark counts the micro-batches of a checkpoint from 0. If the checkpoint was lost while the tables
+    were kept, a new one therefore starts behind the last stored micro-batch instead of replacing the
+    first ones; records that come again are known by their ids.
+    """
+    spark, checkpoint = records.sparkSession, f"{root}/_checkpoint_{name}"
+    first = EpochTable(f"{root}/_first_{name}", StructType([StructField("first", LongType())]))
+    fs, metadata = EpochTable._file(spark, f"{checkpoint}/metadata")
+    if not fs.exists(metadata):
+        stored = [n for n in (table.last(spark) for table in written) if n is not None]
+        first.write(spark.createDataFrame([(max(stored, default=-1) + 1,)], first.schema), 0)
+    kept = first.read(spark, only=0).first()
+    shift = kept["first"] if kept else 0
+    writer = records.writeStream.foreachBatch(lambda batch, epoch: process(batch, shift + epoch))
+    writer = writer.option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()

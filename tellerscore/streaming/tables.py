@@ -42,6 +42,12 @@ class EpochTable:
         if self._base(spark, before) != before:
             self._save(merge(rows) if merge else rows, target)
 
+    def last(self, spark: SparkSession) -> int | None:
+        """The highest micro-batch that was written or merged."""
+        written = [*self._numbers(spark, self.path).values()]
+        merged = [n - 1 for n in self._numbers(spark, f"{self.path}_base").values()]
+        return max(written + merged, default=None)
+
     def vacuum(self, spark: SparkSession) -> None:
         """Delete what the newest base replaces. Run it when no reader of older state is left."""
         newest = self._base(spark, None)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tellerscore.operators import parse
 from tellerscore.session import new_path, shared_folder
 from tellerscore.sinks import notify
-from tellerscore.sinks.index import conform
+from tellerscore.sinks.index import conform, write_index
 from tellerscore.sources.cdc import cdc_stream
 from tellerscore.streaming.jobs import AccountJob, ScoringJob, Tables
 from tests.records import account_a, account_b, records, transaction_a, transaction_b
@@ -84,6 +84,101 @@ def test_bad_records_are_set_aside(spark, tables):
     assert tables.bad_transactions.read(spark).count() == 3
 
 
+def encoded(millionths):
+    import base64
+
+    return base64.b64encode(millionths.to_bytes(11, "big")).decode()
+
+
+def test_no_record_stops_a_micro_batch(spark, tables):
+    """Times and amounts outside what dates and exact sums can hold."""
+    send_accounts(spark, tables, [account_a(10, 1)])
+    year_10000, year_1 = 253_402_300_800_000, -62_135_596_800_000
+    times = [T0 * 1000, 2**63 - 1, -(2**63), year_1, year_10000]
+    values = [transaction_a(100 + i, 10, 10**6, ms) for i, ms in enumerate(times)]
+    large = json.loads(transaction_a(200, 10, 10**6, T0))
+    large["payload"]["after"]["amount"] = encoded(10**25 - 1)
+    good = transaction_a(1, 10, 10**6, T0)
+    ScoringJob(tables, parse.TENANT_A).process(records(spark, [*values, json.dumps(large), good]), 0)
+    assert set(scored(spark, tables)) == {1}
+    assert [r.reason for r in tables.bad_transactions.read(spark).collect()] == ["unusable field"] * 6
+
+
+def test_no_record_of_the_other_tenant_stops_a_micro_batch(spark):
+    tables = Tables(new_path(spark, "deployment"), parse.TENANT_B)
+    AccountJob(tables, parse.TENANT_B).process(records(spark, [account_b("10", 1, "SA")]), 0)
+    times = [2**63 - 1, -(2**63), -62_135_596_800_000_000, 253_402_300_800_000_000]
+    values = [transaction_b(100 + i, "10", 1.0, us, "T", "d") for i, us in enumerate(times)]
+    values += [transaction_b(200 + i, "10", a, T0 * 1000, "T", "d") for i, a in enumerate([1e19, -1e300, 1e25])]
+    good = transaction_b(1, "10", 2.0, T0 * 1000, "T", "d")
+    ScoringJob(tables, parse.TENANT_B).process(records(spark, [*values, good]), 0)
+    assert [r["transaction-id"] for r in tables.scored.read(spark).collect()] == [1]
+    assert [r.reason for r in tables.bad_transactions.read(spark).collect()] == ["unusable field"] * 7
+
+
+def test_a_known_id_with_another_day_is_skipped(spark, tables):
+    send_accounts(spark, tables, [account_a(10, 1)])
+    job = ScoringJob(tables, parse.TENANT_A)
+    job.process(records(spark, [transaction_a(1, 10, 10**6, T0)]), 0)
+    job.process(records(spark, [transaction_a(1, 10, 10**6, T0 + 3 * DAY), transaction_a(2, 10, 10**6, T0 + 3 * DAY)], 1), 1)
+    assert tables.scored.read(spark).count() == 2 and tables.history.read(spark).count() == 2
+
+
+def test_a_later_version_wins_whatever_its_offset(spark, tables):
+    send_accounts(spark, tables, [account_a(10, 1)], 0, start=1000)
+    send_accounts(spark, tables, [account_a(10, 2)], 1, start=0)
+    ScoringJob(tables, parse.TENANT_A).process(records(spark, [transaction_a(1, 10, 10**6, T0)]), 0)
+    assert scored(spark, tables)[1]["customer-id"] == 2
+
+
+def test_a_lost_checkpoint_loses_nothing(spark, tables):
+    send_accounts(spark, tables, [account_a(10, 1)])
+    for n in (1, 2):  # the second run has no checkpoint, and numbers its micro-batches from 0 again
+        folder = new_path(spark, "records")
+        values = [transaction_a(i, 10, 10**6, T0 + i) for i in range(1, n + 1)]
+        records(spark, values).write.json(folder)
+        job = ScoringJob(tables, parse.TENANT_A)
+        job.start(cdc_stream(spark, "json", folder), availableNow=True).awaitTermination()
+        fs, checkpoint = tables.scored._file(spark, f"{tables.root}/_checkpoint_transactions")
+        fs.delete(checkpoint, True)
+    assert set(scored(spark, tables)) == {1, 2} and tables.history.read(spark).count() == 2
+
+
+def test_the_anchor_day_is_fixed_once_per_micro_batch(spark, tables):
+    send_accounts(spark, tables, [account_a(10, 1)])
+    tables.anchors.write(spark.createDataFrame([(datetime.date(2024, 1, 3),)], tables.anchors.schema), 0)
+    job = ScoringJob(tables, parse.TENANT_A, as_of="today", send_alerts=False)
+    values = [transaction_a(1, 10, 10**6, T0), transaction_a(2, 10, 3 * 10**6, T0 + 2 * DAY)]
+    for _ in range(2):
+        job.process(records(spark, values), 0)
+        rows = {r.id: r for r in tables.features.read(spark).collect()}
+        assert {r.account_id_count_1day for r in rows.values()} == {1}
+        assert {r.customer_id_avrge_amount_1week for r in rows.values()} == {2.0}
+    assert not rows[1].incomplete and tables.alerts.read(spark).count() == 0
+    job.process(records(spark, [transaction_a(3, 10, 10**6, T0)], 5), 1)
+    row = tables.features.read(spark, only=1).first()
+    assert row.incomplete and row.account_id_count_3month == 0
+
+
+def test_file_formats_are_refused_as_an_index(spark, tables):
+    rows = spark.createDataFrame([], tables.scored.schema)
+    with pytest.raises(ValueError, match="parquet"):
+        write_index(rows, "parquet", tables.scored.schema, path="anywhere")
+
+
+def test_jobs_merge_their_tables(spark, tables):
+    accounts = AccountJob(tables, parse.TENANT_A, compact_every=2)
+    job = ScoringJob(tables, parse.TENANT_A, CountRule(), compact_every=2)
+    for i in range(5):
+        accounts.process(records(spark, [account_a(10, i)], i), i)
+        job.process(records(spark, [transaction_a(i, 10, 10**6, T0 + i)], i), i)
+    assert tables.day_totals["account_id"]._base(spark, None) == tables.accounts._base(spark, None) == 4
+    counts = {r.id: r.account_id_count_1day for r in tables.features.read(spark).collect()}
+    assert counts == {i: i + 1 for i in range(5)}
+    labels = {r.id: r.is_fraud for r in tables.features.read(spark).collect()}
+    assert [labels[i] for i in range(5)] == ["valid", "valid", "fraudulent", "fraudulent", "fraudulent"]
+
+
 def test_repeated_ids(spark, tables):
     send_accounts(spark, tables, [account_a(10, 1)])
     job = ScoringJob(tables, parse.TENANT_A)
