@@ -31,6 +31,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def carried(df: DataFrame, *without: str) -> Column:
+    """All columns but some as one struct ``_in``, so that none clashes with what an operator works with."""
+    return F.struct(*[df[c] for c in df.columns if c not in without]).alias("_in")
+
+
 def fresh_names(df: DataFrame, names: list[str]) -> DataFrame:
     """Drop columns that clash with the names an operator adds; the operator's own win."""
     taken = {name.lower() for name in names}

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerscore.llm.common import SPACE_CLASS, fresh_names, shuffle_partitions
+from tellerscore.llm.common import SPACE_CLASS, carried, fresh_names, shuffle_partitions
 from tellerscore.session import materialize, new_path
 
 _OUT = ["digest", "keep_id", "group_size", "kept", "indexed_before"]
@@ -62,18 +62,18 @@ def dedupe(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col
     """
     wanted = fresh_names(docs, _OUT)
     rows = materialize(
-        wanted.withColumns(
-            {
-                "digest": F.sha2(normalised(F.col(text_col)), 256),
-                "_points": F.coalesce(F.length(text_col), F.lit(0)),
-            }
-        ).drop(text_col),
+        wanted.select(
+            carried(wanted, text_col),
+            F.col(id_col).alias("_id"),
+            F.sha2(normalised(F.col(text_col)), 256).alias("digest"),
+            F.coalesce(F.length(text_col), F.lit(0)).alias("_points"),
+        ),
         "digests",
     )
     groups = materialize(
         rows.groupBy("digest")
         .agg(
-            F.min(F.struct((-F.col("_points")).alias("points"), F.col(id_col).alias("id"))).alias("first"),
+            F.min(F.struct((-F.col("_points")).alias("points"), F.col("_id").alias("id"))).alias("first"),
             F.count(F.lit(1)).alias("n_rows"),
         )
         .select("digest", F.col("first.id").alias("keep_id"), "n_rows"),
@@ -91,11 +91,11 @@ def dedupe(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col
     )
     index.append(groups.join(index.read().hint("merge"), "digest", "left_anti"))
     return rows.join(resolved, "digest").select(
-        *[c for c in wanted.columns if c != text_col],
+        "_in.*",
         "digest",
         "keep_id",
         "group_size",
-        (F.col(id_col).eqNullSafe(F.col("keep_id")) & ~F.col("indexed_before")).alias("kept"),
+        (F.col("_id").eqNullSafe(F.col("keep_id")) & ~F.col("indexed_before")).alias("kept"),
         "indexed_before",
     )
 

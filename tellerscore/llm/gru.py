@@ -76,7 +76,7 @@ def _log_of(state: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.nda
     States lie between -1 and 1, so small weights need no shift against overflow.
     """
     reach = np.abs(weights).sum(axis=0) + np.maximum(bias, -50)
-    out = np.empty(len(state), dtype=np.float32)
+    out = np.empty(len(state), dtype=np.result_type(state, weights))
     for start in range(0, len(state), rows):
         stop = start + rows
         logits = state[start:stop] @ weights

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerscore.llm.common import SPACE, fresh_names, lower_ascii
+from tellerscore.llm.common import SPACE, carried, fresh_names, lower_ascii
 from tellerscore.session import materialize
 
 _OUT = ["n_lines", "n_dropped"]
@@ -40,9 +40,14 @@ def dedupe_lines(
     wanted = fresh_names(docs, _OUT)
     text = F.coalesce(text_col, F.lit(""))
     # The lines go through the join as an array, so that the projection above it only picks elements.
-    rows = wanted.withColumns({"_row": F.xxhash64(text), "_lines": F.split(text, "\n", -1)}).drop(text_col)
+    rows = wanted.select(
+        carried(wanted, text_col),
+        F.col(id_col).alias("_doc"),
+        F.xxhash64(text).alias("_row"),
+        F.split(text, "\n", -1).alias("_lines"),
+    )
     exploded = rows.select(
-        F.col(id_col).alias("id"), F.col("_row").alias("row"), F.posexplode("_lines").alias("pos", "line")
+        F.col("_doc").alias("id"), F.col("_row").alias("row"), F.posexplode("_lines").alias("pos", "line")
     ).select("id", "row", "pos", line_key(F.col("line")).alias("key"))
     hashed = materialize(
         exploded.where(F.length("key") >= min_chars).select(
@@ -68,14 +73,14 @@ def dedupe_lines(
         .select(F.col("id").alias("_id"), F.col("row").alias("_gone_row"), "_gone")
     )
     joined = rows.join(
-        dropped, rows[id_col].eqNullSafe(dropped["_id"]) & (rows["_row"] == dropped["_gone_row"]), "left"
+        dropped, rows["_doc"].eqNullSafe(dropped["_id"]) & (rows["_row"] == dropped["_gone_row"]), "left"
     )
     places = F.array_except(
         F.sequence(F.lit(0), F.size("_lines") - 1), F.coalesce("_gone", F.array().cast("array<int>"))
     )
     kept = F.array_join(F.transform(places, lambda i: F.get("_lines", i)), "\n")
     return joined.select(
-        *[kept.alias(text_col) if c == text_col else F.col(c) for c in wanted.columns],
+        *[kept.alias(c) if c == text_col else F.col(f"_in.`{c}`").alias(c) for c in wanted.columns],
         F.size("_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )

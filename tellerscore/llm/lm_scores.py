@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerscore.llm import gru
-from tellerscore.llm.common import fresh_names
+from tellerscore.llm.common import carried, fresh_names
 from tellerscore.session import materialize
 
 #: The key of the end token among the words, which are never empty.
@@ -252,13 +252,10 @@ def score(
     outside_words = counts.distinct - len(vocab.ids) - (counts.ends > 0)
     share = float(np.log10(outside_tokens + 0.5 * (outside_words + 1)))
     shared = docs.sparkSession.sparkContext.broadcast((params, Lookup.of(counts, vocab)))
-    carried = [c for c in wanted.columns if c != text_col]
-    rows = materialize(
-        wanted.withColumns({"_row": F.monotonically_increasing_id(), "_s": _score_udf(shared)(text)}).select(
-            *carried, "_row", "_s.*"
-        ),
-        "lm-rows",
+    scored = wanted.select(
+        carried(wanted, text_col), F.monotonically_increasing_id().alias("_row"), _score_udf(shared)(text).alias("_s")
     )
+    rows = materialize(scored.select("_in", "_row", "_s.*"), "lm-rows")
     rest = rows.select("_row", F.explode(F.arrays_zip("words", "times")).alias("r")).select(
         "_row", F.col("r.words").alias("word"), F.col("r.times").alias("times")
     )
@@ -277,7 +274,7 @@ def score(
         rows.drop("words", "times")
         .join(rare, "_row", "left")
         .select(
-            *carried,
+            "_in.*",
             "n_tokens",
             (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
             F.lit(int(counts.tokens)).cast("long").alias("train_tokens"),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tellerscore.llm.common import SPACE_CLASS, fresh_names
+from tellerscore.llm.common import SPACE_CLASS, carried, fresh_names
 from tellerscore.session import materialize
 
 LEVELS = ("domain", "lang", "source")
@@ -157,25 +157,23 @@ def mix(
         ),
         "leaf-cuts",
     )
-    out = wanted.withColumns(
-        {
-            "_domain_": F.coalesce(domain.cast("string"), F.lit("")),
-            "_lang_": F.coalesce(level["lang"].cast("string"), F.lit("")),
-            "_source_": F.coalesce(level["source"].cast("string"), F.lit("")),
-        }
-    )
-    joined = out.join(
-        plan, [F.col(f"_{name}_") == F.col(f"_{name}") for name in LEVELS]
+    names = {name: F.coalesce(level[name].cast("string"), F.lit("")).alias(f"_{name}_") for name in LEVELS}
+    out = docs.select(
+        carried(docs, *[c for c in docs.columns if c not in wanted.columns]),
+        F.col(id_col).alias("_id"),
+        word_count(F.col(text_col)).alias("n_tokens"),
+        *names.values(),
     )
+    joined = out.join(plan, [F.col(f"_{name}_") == F.col(f"_{name}") for name in LEVELS])
     whole = F.when(F.col("passes") > 0, F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)).otherwise(
         F.array().cast("array<bigint>")
     )
     part = F.when(
-        _order(seed, F.col("passes"), F.col(id_col)) <= F.col("cut"), F.array(F.col("passes"))
+        _order(seed, F.col("passes"), F.col("_id")) <= F.col("cut"), F.array(F.col("passes"))
     ).otherwise(F.array().cast("array<bigint>"))
     return joined.select(
-        *wanted.columns,
+        "_in.*",
         F.col("_domain_").alias("domain"),
-        word_count(F.col(text_col)).alias("n_tokens"),
+        "n_tokens",
         F.explode(F.concat(whole, part)).alias("epoch"),
     )

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerscore.llm.common import fresh_names
+from tellerscore.llm.common import carried, fresh_names
 from tellerscore.llm.components import components
 from tellerscore.session import materialize
 
@@ -245,11 +245,8 @@ def near_duplicates(
     """
     wanted = fresh_names(docs, _OUT)
     ident, text = F.col(id_col).cast("long"), F.coalesce(text_col, F.lit("")).cast("binary")
-    carried = [c for c in wanted.columns if c != text_col]
-    rows = materialize(
-        wanted.withColumns({"_id": ident, "_signed": _signed(words)(text)}).select(*carried, "_id", "_signed.*"),
-        "signatures",
-    )
+    signed = wanted.select(carried(wanted, text_col), ident.alias("_id"), _signed(words)(text).alias("_signed"))
+    rows = materialize(signed.select("_in", "_id", "_signed.*"), "signatures")
     sets = materialize(rows.where("n_shingles > 0").groupBy("set_key").agg(F.min("_id").alias("rep")), "sets")
     own = rows.select("set_key", "_id", "signature").join(
         sets, (rows["set_key"] == sets["set_key"]) & (rows["_id"] == sets["rep"])
@@ -271,5 +268,5 @@ def near_duplicates(
     return (
         rows.drop("signature")
         .join(labels, "set_key", "left")
-        .select(*carried, "n_shingles", component, F.col("_id").eqNullSafe(component).alias("kept"))
+        .select("_in.*", "n_shingles", component, F.col("_id").eqNullSafe(component).alias("kept"))
     )

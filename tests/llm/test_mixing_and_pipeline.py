@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -91,8 +92,8 @@ def test_query(spark, con, name):
 
 
 def test_every_number_is_registered_once():
-    names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    numbers = [int(m[1]) for n in entry.queries() if (m := re.match(r"op(\d+)_", n))]
+    assert sorted(numbers) == list(range(1, 11))
     assert "pipeline" in entry.queries() and "pipeline" not in entry.oracle_sql()
 
 
