@@ -91,6 +91,11 @@ def canonical(account: type = LongType) -> StructType:
     )
 
 
+def pending(account: type = LongType) -> StructType:
+    """A parsed insert that waits for its account, and since when."""
+    return StructType([*canonical(account).fields, StructField("since", TimestampType(), True)])
+
+
 def account_dimension(account: type = LongType) -> StructType:
     return _struct(
         ("customer_id", LongType()),

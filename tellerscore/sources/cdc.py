@@ -28,14 +28,6 @@ def cdc_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
     return _record_columns(reader.load(path) if path else reader.load())
 
 
-def cdc_batch(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
-    """The same records read once, for backfills."""
-    reader = spark.read.format(fmt).options(**options)
-    if fmt != "kafka":
-        reader = reader.schema(CDC_RECORD)
-    return _record_columns(reader.load(path) if path else reader.load())
-
-
 def _record_columns(records: DataFrame) -> DataFrame:
     return decode_value(records).select("value", "partition", "offset")
 

@@ -58,7 +58,7 @@ class Tables:
             key: EpochTable(f"{root}/day_totals_{key}", schemas.day_totals(kind), ("day",))
             for key, kind in kinds.items()
         }
-        self.pending = EpochTable(f"{root}/pending", schemas.canonical(account))
+        self.pending = EpochTable(f"{root}/pending", schemas.pending(account))
         self.scored = EpochTable(f"{root}/scored", tenant.scored)
         self.features = EpochTable(f"{root}/features", schemas.featured())
         self.alerts = EpochTable(f"{root}/alerts", ALERTS)
@@ -111,6 +111,7 @@ class ScoringJob:
     ``today`` follows the clock: the day is written down once per micro-batch, so a retry sees the same.
     ``compact_every`` micro-batches the day totals of all earlier ones are merged, without dropping days;
     :meth:`Tables.compact` also lets go of days past retention.
+    A transaction whose account does not come for ``pending_days`` goes to quarantine.
     ``send_alerts`` is off for tenants that want none.
     ``index_format`` sends scored rows to a connector; without it they go to a table.
     ``notify`` receives the alert rows of a micro-batch, for a broker or another channel.
@@ -120,6 +121,7 @@ class ScoringJob:
     tenant: Tenant
     model: Model | None = None
     account_ttl: int | None = None
+    pending_days: int = 30
     as_of: datetime.date | str | None = None
     send_alerts: bool = True
     compact_every: int = 100
@@ -143,7 +145,8 @@ class ScoringJob:
     def _process(self, read: DataFrame, epoch: int) -> None:
         spark, tables = read.sparkSession, self.tables
         bad = parse.quarantined(read)
-        delivered = parse.kept(read).unionByName(tables.pending.read(spark, only=epoch - 1))
+        arrived = parse.kept(read).withColumn("since", F.current_timestamp())
+        delivered = arrived.unionByName(tables.pending.read(spark, only=epoch - 1))
         days = delivered.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
         if days[0] is None:
             tables.bad_transactions.write(bad, epoch)
@@ -156,8 +159,13 @@ class ScoringJob:
         dimension = live_accounts(versions, F.current_timestamp(), self.account_ttl)
         # Accounts may arrive meanwhile: what this batch saw of them is written down once, so every
         # transaction is either resolved or pending.
-        joined = materialize(with_account(new, dimension), "batch")
-        resolved = resolved_only(joined)
+        overdue = F.col("since") < F.current_timestamp() - F.make_dt_interval(days=F.lit(self.pending_days))
+        joined = materialize(with_account(new, dimension).withColumn("overdue", overdue), "batch")
+        resolved = resolved_only(joined).drop("since", "overdue")
+        # Written with the batch, so both outputs below agree on who has waited too long.
+        waiting = pending_only(joined)
+        bad = bad.unionByName(_given_up(waiting.where("overdue")))
+        waiting = waiting.where("NOT overdue").drop("overdue")
         totals = features.day_totals(resolved)
 
         featured = self._features(resolved, totals, epoch, days)
@@ -170,7 +178,7 @@ class ScoringJob:
             spark,
             output,
             partial(tables.bad_transactions.write, bad, epoch),
-            partial(tables.pending.write, pending_only(joined), epoch),
+            partial(tables.pending.write, waiting, epoch),
             partial(tables.history.write, scored.withColumn("event_day", F.to_date("ts")), epoch),
             partial(tables.features.write, scored.withColumn("incomplete", features.incomplete()), epoch),
             partial(tables.alerts.write, alerts, epoch),
@@ -221,6 +229,12 @@ class ScoringJob:
         return _start(records, self.process, t.root, "transactions", written, trigger)
 
 
+def _given_up(rows: DataFrame) -> DataFrame:
+    """Transactions without an account, as quarantine rows: their fields as JSON, and why."""
+    fields = F.to_json(F.struct("id", "account_id", "amount", "ts", "op_type", "description"))
+    return rows.select(fields.alias("value"), "partition", "offset", F.lit("account never came").alias("reason"))
+
+
 def _on_days(history: DataFrame, batch: DataFrame, first: datetime.date, last: datetime.date) -> DataFrame:
     """The history of a batch's days. Days are partitions: the join lets scans skip those between."""
     days = batch.select(F.to_date("ts").alias("event_day")).distinct()

@@ -119,6 +119,16 @@ def test_alert_text(spark):
     body = df.select(
         alerts.alert_text(F.col("t"), F.col("i"), F.col("c"), F.col("a"), fields.number_text(F.col("v"))).alias("b")
     ).first().b
+    lines = body.split("\n")
+    named = dict(line.split(": ", 1) for line in lines if ": " in line)
+    assert list(named.items()) == [
+        ("Transaction ID", "7"),
+        ("Customer ID", "8"),
+        ("Account ID", "U9"),
+        ("Amount", "$1500.5"),
+        ("Date", "2024-01-05 05:59:59."),
+    ]
+    assert len(lines) == 12 and lines[0].endswith("on 2024-01-05 05:59:59.")
     assert body == alerts.BODY.format(datetime="2024-01-05 05:59:59", id=7, customer_id=8, account_id="U9", amount=1500.5)
 
 

@@ -160,6 +160,20 @@ def test_the_anchor_day_is_fixed_once_per_micro_batch(spark, tables):
     assert row.incomplete and row.account_id_count_3month == 0
 
 
+def test_waiting_ends_in_quarantine(spark, tables):
+    job = ScoringJob(tables, parse.TENANT_A, pending_days=2)
+    job.process(records(spark, [transaction_a(1, 10, 10**6, T0), transaction_a(2, 20, 10**6, T0)]), 0)
+    old = F.when(F.col("id") == 1, F.col("since") - F.expr("INTERVAL 3 DAYS")).otherwise(F.col("since"))
+    tables.pending.write(tables.pending.read(spark, only=0).withColumn("since", old), 1)
+    job.process(records(spark, [transaction_a(3, 30, 10**6, T0)], 2), 2)
+    assert {r.id for r in tables.pending.read(spark, only=2).collect()} == {2, 3}
+    bad = tables.bad_transactions.read(spark).collect()
+    assert [(json.loads(r.value)["id"], r.reason) for r in bad] == [(1, "account never came")]
+    send_accounts(spark, tables, [account_a(20, 2)])
+    job.process(records(spark, [transaction_a(4, 20, 10**6, T0)], 3), 3)
+    assert set(scored(spark, tables)) == {2, 4}
+
+
 def test_file_formats_are_refused_as_an_index(spark, tables):
     rows = spark.createDataFrame([], tables.scored.schema)
     with pytest.raises(ValueError, match="parquet"):
