@@ -25,7 +25,7 @@ from tellerscore.session import materialize
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 #: Members of a cluster that one block holds; a cell compares two blocks.
-BLOCK = 256
+BLOCK = 128
 _OUT = ["n_shingles", "component_id", "kept"]
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64
