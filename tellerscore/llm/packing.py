@@ -28,7 +28,7 @@ from tokenizers import Tokenizer
 from tellerscore.session import materialize
 
 #: Pieces of one length that are ranked together.
-RANKED_ROWS = 1000
+RANKED_ROWS = 250
 
 
 # --- pieces ---------------------------------------------------------------------------------------
