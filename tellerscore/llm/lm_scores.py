@@ -25,7 +25,7 @@ from tellerscore.session import materialize
 END = b""
 #: Most words that a counting task gathers before it hands them on.
 COUNTED = 300_000
-_CHUNK = 1 << 15
+_CHUNK = 1 << 12
 _OUT = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
 
