@@ -25,7 +25,7 @@ from tellerscore.session import materialize
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 #: Members of a cluster that one block holds; a cell compares two blocks.
-BLOCK = 128
+BLOCK = 256
 _OUT = ["n_shingles", "component_id", "kept"]
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64
@@ -178,9 +178,8 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
     to one connected part.
     """
     compare, schema = _compare(percent), "a long, b long"
-    sizes = materialize(members.groupBy("cluster").count(), "cluster-sizes")
     blocks = F.ceil(F.coalesce("count", F.lit(1)) / BLOCK)
-    large = materialize(sizes.where(F.col("count") > BLOCK), "large-clusters")
+    large = materialize(members.groupBy("cluster").count().where(F.col("count") > BLOCK), "large-clusters")
     dealt = members.join(large, "cluster", "left").withColumn("block", F.pmod(F.xxhash64("node"), blocks))
     within = materialize(
         dealt.withColumn("label", F.col("node")).groupBy("cluster", "block").applyInPandas(compare, schema), "links"
