@@ -246,11 +246,9 @@ def near_duplicates(
     ident, text = F.col(id_col).cast("long"), F.coalesce(text_col, F.lit("")).cast("binary")
     signed = wanted.select(carried(wanted, text_col), ident.alias("_id"), _signed(words)(text).alias("_signed"))
     rows = materialize(signed.select("_in", "_id", "_signed.*"), "signatures")
-    sets = materialize(rows.where("n_shingles > 0").groupBy("set_key").agg(F.min("_id").alias("rep")), "sets")
-    own = rows.select("set_key", "_id", "signature").join(
-        sets, (rows["set_key"] == sets["set_key"]) & (rows["_id"] == sets["rep"])
-    )
-    clusters = materialize(_clusters(materialize(own.select("rep", "signature"), "classes")), "clusters")
+    sets = rows.where("n_shingles > 0").groupBy("set_key").agg(F.min("_id").alias("rep"))
+    own = rows.select("set_key", F.col("_id").alias("rep"), "signature").join(sets, ["set_key", "rep"])
+    clusters = _clusters(materialize(own.select("rep", "signature"), "classes"))
     members = materialize(
         docs.select(ident.alias("id"), text.alias("text"))
         .join(clusters.hint("merge"), F.col("id") == F.col("node"))  # one plan at every size
@@ -259,10 +257,7 @@ def near_duplicates(
         "members",
     )
     joined = components(_links(members, percent)).withColumnRenamed("node", "rep")
-    labels = materialize(
-        sets.join(joined, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id")),
-        "labels",
-    )
+    labels = sets.join(joined, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     component = F.coalesce("component_id", "_id").alias("component_id")
     return (
         rows.drop("signature")
