@@ -257,7 +257,11 @@ def near_duplicates(
         "members",
     )
     joined = components(_links(members, percent)).withColumnRenamed("node", "rep")
-    labels = sets.join(joined, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
+    # Written, so that the join with it is one of plain exchanges, in which the copies of one set can be split.
+    labels = materialize(
+        sets.join(joined, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id")),
+        "labels",
+    )
     component = F.coalesce("component_id", "_id").alias("component_id")
     return (
         rows.drop("signature")
