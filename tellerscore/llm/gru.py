@@ -113,22 +113,29 @@ def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params |
         d_state = d @ p["class_out"].T
     order = np.argsort(cls, kind="stable")
     found, starts = np.unique(cls[order], return_index=True)
-    for c, start, stop in zip(found, starts, [*starts[1:], len(order)]):
-        own = order[start:stop]
-        h = state[own]
-        if grads is None:
-            out[own] += _log_of(h, p["token_out"][c], p["token_bias"][c], within[own])
-            continue
-        logs = _log_softmax(h @ p["token_out"][c] + p["token_bias"][c])
-        at = np.arange(len(own))
-        out[own] += logs[at, within[own]]
-        d = np.exp(logs)
-        d[at, within[own]] -= 1
-        d *= scale
-        grads["token_out"][c] += h.T @ d
-        grads["token_bias"][c] += d.sum(axis=0)
-        d_state[own] += d @ p["token_out"][c].T
-    return out if grads is None else (out, d_state)
+    cuts = list(zip(found.tolist(), starts.tolist(), [*starts[1:].tolist(), len(order)]))
+    if grads is None:
+        for c, start, stop in cuts:
+            own = order[start:stop]
+            out[own] += _log_of(state[own], p["token_out"][c], p["token_bias"][c], within[own])
+        return out
+    h, at = state[order], within[order]
+    logits = np.empty((len(h), per_class), dtype=np.result_type(h, p["token_out"]))
+    for c, start, stop in cuts:
+        np.matmul(h[start:stop], p["token_out"][c], out=logits[start:stop])
+    logits += p["token_bias"][cls[order]]
+    logs = _log_softmax(logits)
+    out[order] += logs[rows, at]
+    d = np.exp(logs)
+    d[rows, at] -= 1
+    d *= scale
+    d_h = np.empty_like(h)
+    for c, start, stop in cuts:
+        grads["token_out"][c] += h[start:stop].T @ d[start:stop]
+        np.matmul(d[start:stop], p["token_out"][c].T, out=d_h[start:stop])
+    grads["token_bias"][found] += np.add.reduceat(d, starts, axis=0)
+    d_state[order] += d_h
+    return out, d_state
 
 
 def _backward(p: Params, tokens: np.ndarray, kept: list, d_states: np.ndarray, grads: Params) -> None:
@@ -136,17 +143,19 @@ def _backward(p: Params, tokens: np.ndarray, kept: list, d_states: np.ndarray, g
     hidden = d_states.shape[2]
     d_next = np.zeros_like(d_states[0])
     d_inputs = np.empty((*tokens.shape, 3 * hidden), dtype=np.float32)
+    d_all = np.empty((*tokens.shape, 3 * hidden), dtype=d_states.dtype)
     for t in range(len(tokens) - 1, -1, -1):
         before, update, reset, new, candidate = kept[t]
         d = d_states[t] + d_next
         d_new = d * (1 - update) * (1 - new * new)
         d_update = d * (before - new) * update * (1 - update)
         d_reset = d_new * candidate * reset * (1 - reset)
-        d_inputs[t] = np.concatenate([d_update, d_reset, d_new], axis=1)
-        d_gates = np.concatenate([d_update, d_reset, d_new * reset], axis=1)
-        grads["recurrent"] += before.T @ d_gates
-        grads["bias"] += d_gates.sum(axis=0)
+        np.concatenate([d_update, d_reset, d_new], axis=1, out=d_inputs[t], casting="same_kind")
+        d_gates = np.concatenate([d_update, d_reset, d_new * reset], axis=1, out=d_all[t])
         d_next = d * update + d_gates @ p["recurrent"].T
+    d_all = d_all.reshape(-1, 3 * hidden)
+    grads["recurrent"] += np.concatenate([k[0] for k in kept]).T @ d_all
+    grads["bias"] += d_all.sum(axis=0)
     order = np.argsort(tokens, axis=None, kind="stable")
     found, starts = np.unique(tokens.ravel()[order], return_index=True)
     grads["inputs"][found] += np.add.reduceat(d_inputs.reshape(-1, 3 * hidden)[order], starts, axis=0)
@@ -162,17 +171,15 @@ def _windows(ids: list[np.ndarray], batch: int, window: int) -> Iterator[tuple[n
         rows = order[start : start + batch]
         lengths = np.array([len(ids[r]) for r in rows])
         longest = lengths[0]
+        flat_ids = np.concatenate([ids[r] for r in rows])
+        firsts = np.cumsum(lengths) - lengths
         for at in range(0, longest, window):
             running = int((lengths > at).sum())
-            steps = min(window, longest - at)
-            targets = np.full((steps, running), -1, dtype=np.int64)
-            inputs = np.full((steps, running), END, dtype=np.int64)
-            for k in range(running):
-                part = ids[rows[k]][at : at + steps]
-                targets[: len(part), k] = part
-                inputs[1 : len(part), k] = part[:-1]
-                if at:
-                    inputs[0, k] = ids[rows[k]][at - 1]
+            place = np.arange(at, min(at + window, longest))[:, None]
+            real = place < lengths[:running]
+            where = np.minimum(firsts[:running] + place, len(flat_ids) - 1)
+            targets = np.where(real, flat_ids[where], -1)
+            inputs = np.where(real & (place > 0), flat_ids[where - 1], END)
             yield rows[:running], inputs, targets, at == 0
 
 
@@ -213,10 +220,10 @@ class Trainer:
     """Adam over truncated backpropagation; the state is carried, gradients stop at the window's start."""
 
     def __init__(self, params: Params, rate: float):
-        self.p = {k: v.copy() for k, v in params.items()}
+        self.weights = flat(params)
+        self.gradient, self.mean, self.square, self.work = (np.zeros_like(self.weights) for _ in range(4))
+        self.p, self.grads = views(self.weights, params), views(self.gradient, params)
         self.rate, self.steps, self.tokens = rate, 0, 0
-        self.mean = {k: np.zeros_like(v) for k, v in params.items()}
-        self.square = {k: np.zeros_like(v) for k, v in params.items()}
 
     def learn(self, ids: list[np.ndarray], batch: int = 256, window: int = 16) -> None:
         hidden = len(self.p["recurrent"])
@@ -226,29 +233,43 @@ class Trainer:
             after, kept = states(self.p, inputs, state, keep=True)
             state = after[-1]
             real = targets >= 0
-            grads = {k: np.zeros_like(v) for k, v in self.p.items()}
+            self.gradient.fill(0)
             d_states = np.zeros_like(after)
-            _, d_states[real] = log_probs(self.p, after[real], targets[real], grads)
-            _backward(self.p, inputs, kept, d_states, grads)
-            self._update(grads)
+            _, d_states[real] = log_probs(self.p, after[real], targets[real], self.grads)
+            _backward(self.p, inputs, kept, d_states, self.grads)
+            self._update()
             self.tokens += int(real.sum())
 
-    def _update(self, grads: Params) -> None:
+    def _update(self) -> None:
+        """All weights at once and in place."""
         self.steps += 1
-        rate = self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-        for k, g in grads.items():
-            self.mean[k] += 0.1 * (g - self.mean[k])
-            self.square[k] += 0.01 * (g * g - self.square[k])
-            self.p[k] -= (rate * self.mean[k] / (np.sqrt(self.square[k]) + 1e-6)).astype(np.float32)
+        rate = float(self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
+        g, work = self.gradient, self.work
+        self.mean *= 0.9
+        self.mean += np.multiply(g, 0.1, out=work)
+        self.square *= 0.99
+        np.multiply(g, g, out=work)
+        work *= 0.01
+        self.square += work
+        np.sqrt(self.square, out=work)
+        work += 1e-6
+        np.divide(self.mean, work, out=work)
+        work *= rate
+        self.weights -= work
 
 
 def flat(p: Params) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in sorted(p)])
 
 
-def shaped(values: np.ndarray, like: Params) -> Params:
+def views(values: np.ndarray, like: Params) -> Params:
+    """The parts of ``values`` in the shapes of ``like``, without copying."""
     out, at = {}, 0
     for k in sorted(like):
-        out[k] = values[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
+        out[k] = values[at : at + like[k].size].reshape(like[k].shape)
         at += like[k].size
     return out
+
+
+def shaped(values: np.ndarray, like: Params) -> Params:
+    return {k: v.astype(np.float32) for k, v in views(values, like).items()}

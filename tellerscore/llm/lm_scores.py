@@ -109,22 +109,14 @@ def vocabulary(counts: Counts, size: int) -> Vocabulary:
     return Vocabulary({w: i + 2 for i, w in enumerate(words)}, np.array([outside, counts.ends, *own], dtype=float))
 
 
-def _train_task(shared, rate: float, turn: int, turns: int, part: int):
-    """Train on one stretch of every document of a partition, and hand on the weights in chunks."""
+def _train_task(shared, rate: float, turn: int, turns: int):
+    """Train on a turn's whole documents of a partition, and hand on the weights in chunks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab, params = shared.value
         trainer = gru.Trainer(params, rate)
         for batch in batches:
-            stretches = []
-            for text in batch["text"]:
-                mark = zlib.crc32(text)
-                if mark % turns == turn:
-                    ids = vocab.encode(words_of(text))
-                    length = -(-len(ids) // part)
-                    start = mark // turns % (len(ids) - length + 1)
-                    stretches.append(ids[start : start + length])
-            trainer.learn(stretches)
+            trainer.learn([vocab.encode(words_of(t)) for t in batch["text"] if zlib.crc32(t) % turns == turn])
         if trainer.tokens:
             values = gru.flat(trainer.p)
             chunks = [values[i : i + _CHUNK].tobytes() for i in range(0, len(values), _CHUNK)]
@@ -143,19 +135,19 @@ def _average(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def train(
-    texts: DataFrame, vocab: Vocabulary, hidden: int = 16, per_class: int = 48, part: int = 8, turns: int = 2
+    texts: DataFrame, vocab: Vocabulary, hidden: int = 16, per_class: int = 48, turns: int = 2
 ) -> gru.Params:
     """Weights averaged over the partitions, ``turns`` times, each on other documents.
 
-    Every document of ``text`` (binary) gives one contiguous stretch, a ``part``-th of its tokens, at a
-    place that its hash chooses: what is learned from grows with the corpus. The weights are bounded by the
-    vocabulary; they are averaged by tokens, in two steps, so no task holds many partitions' copies.
+    Every document of ``text`` (binary) is learned from once, from its first token to its end; its hash
+    chooses the turn. The weights are bounded by the vocabulary; they are averaged by tokens, in two steps, so
+    no task holds many partitions' copies.
     """
     params = gru.initial(vocab.counts, hidden, per_class)
     schema = "chunk int, weights binary, tokens long"
     for turn in range(turns):
         shared = texts.sparkSession.sparkContext.broadcast((vocab, params))
-        trained = texts.mapInPandas(_train_task(shared, 0.01 / (turn + 1), turn, turns, part), schema)
+        trained = texts.mapInPandas(_train_task(shared, 0.01 / (turn + 1), turn, turns), schema)
         trained = materialize(trained.withColumn("group", F.spark_partition_id() % 64), "weights")
         some = trained.groupBy("chunk", "group").applyInPandas(lambda rows: _average(rows), schema)
         means = some.groupBy("chunk").applyInPandas(lambda rows: _average(rows), schema).orderBy("chunk").collect()

@@ -85,6 +85,21 @@ def test_model_beats_base_on_held_out_text(spark):
     assert r[0] > r[1]
 
 
+def test_model_learns_from_every_token(spark, monkeypatch):
+    texts = D.frame(spark, D.rows()).select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    counts = lm_scores.count_words(texts, 100)
+    seen = []
+
+    def counting(rows, name, materialize=lm_scores.materialize):
+        rows = materialize(rows, name)
+        seen.append(rows.where("chunk = 0").agg(F.sum("tokens")).first()[0])
+        return rows
+
+    monkeypatch.setattr(lm_scores, "materialize", counting)
+    lm_scores.train(texts, lm_scores.vocabulary(counts, 50))
+    assert sum(seen) == counts.tokens and min(seen) > 0
+
+
 def test_model_without_training_and_without_rows(spark):
     assert lm_scores.score(D.frame(spark, []), F.lit(True)).count() == 0
     found = lm_scores.score(D.frame(spark, D.rows(5)), F.lit(False)).collect()
