@@ -135,7 +135,7 @@ def _average(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def train(
-    texts: DataFrame, vocab: Vocabulary, hidden: int = 16, per_class: int = 48, turns: int = 2
+    texts: DataFrame, vocab: Vocabulary, hidden: int = 16, per_class: int = 64, turns: int = 2
 ) -> gru.Params:
     """Weights averaged over the partitions, ``turns`` times, each on other documents.
 
@@ -218,7 +218,7 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     frequent_words: int = 100_000,
-    vocabulary_size: int = 2048,
+    vocabulary_size: int = 4096,
 ) -> DataFrame:
     """Score all rows with what the rows marked by ``training`` teach.
 

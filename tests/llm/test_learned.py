@@ -100,6 +100,25 @@ def test_model_learns_from_every_token(spark, monkeypatch):
     assert sum(seen) == counts.tokens and min(seen) > 0
 
 
+def test_model_knows_four_thousand_words(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 40 + k) % 4000}" for k in range(80))) for i in range(200)], "doc_id long, text string")
+    sizes = []
+
+    def sized(*args, vocabulary=lm_scores.vocabulary):
+        sizes.append(len((found := vocabulary(*args)).ids))
+        return found
+
+    monkeypatch.setattr(lm_scores, "vocabulary", sized)
+    assert lm_scores.score(docs, F.lit(True)).count() == 200
+    assert sizes == [4000]
+
+
+def test_weights_are_updated_every_64_documents():
+    trainer = gru.Trainer(gru.initial(np.arange(11, 0, -1).astype(float), 5, 4), 0.01)
+    trainer.learn([np.array([3, 2, gru.END])] * 256)
+    assert (trainer.steps, trainer.tokens) == (4, 768)
+
+
 def test_model_without_training_and_without_rows(spark):
     assert lm_scores.score(D.frame(spark, []), F.lit(True)).count() == 0
     found = lm_scores.score(D.frame(spark, D.rows(5)), F.lit(False)).collect()
