@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellerscore.llm.common import fresh_names
@@ -115,6 +115,15 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from flush()
 
 
+def _shares(rows: dict[str, int], total: int) -> dict[str, float]:
+    """The rate of each language at which ``total`` is shared evenly; what a small one leaves goes to the others."""
+    rates, left = {}, total
+    for i, (lang, n) in enumerate(sorted(rows.items(), key=lambda r: (r[1], r[0]))):
+        own = min(float(n), left / (len(rows) - i))
+        rates[lang], left = own / n, left - own
+    return rates
+
+
 def fit(
     docs: DataFrame,
     text_col: str = "text",
@@ -122,33 +131,41 @@ def fit(
     max_docs: int = 10_000,
     max_words: int = 150_000,
     max_grams: int = 100_000,
+    id_col: str = "doc_id",
 ) -> Model:
     """Learn from labelled rows; rows without text or language teach nothing.
 
-    ``max_docs`` bounds the sample on average, chosen by hash of the text. ``max_words`` and ``max_grams``
-    bound the model: the most frequent units stay, ties in the order of language and unit. No labelled row
-    gives a model without languages.
+    ``max_docs`` bounds the sample on average, chosen by hash of the text and, if there is one, the id.
+    ``max_words`` and ``max_grams`` bound the model: the most frequent units of each language stay, ties in the
+    order of the unit. Languages share all three bounds evenly; what one does not need goes to the others. No
+    labelled row gives a model without languages.
     """
-    labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull()
-    )
-    rows = docs.where(F.col(lang_col).isNotNull()).count()
+    keys = [text_col, *([id_col] if id_col in docs.columns else [])]
+    labelled = docs.select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(*keys).alias("mark")
+    ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = dict(docs.where(F.col(lang_col).isNotNull()).groupBy(lang_col).count().collect())
     if not rows:
         return Model([], {}, {}, np.zeros((0, 0)))
     parts = 1 << 30
-    sample = labelled.where(
-        F.pmod(F.xxhash64("text"), F.lit(parts)) < int(parts * min(1.0, max_docs / rows))
-    )
+    limits = [(F.lit(lang), F.lit(int(parts * rate))) for lang, rate in _shares(rows, max_docs).items() if rate < 1]
+    sample = labelled
+    if limits:
+        limit = F.create_map(*[c for pair in limits for c in pair])[F.col("lang")]
+        sample = labelled.where(F.pmod("mark", F.lit(parts)) < F.coalesce(limit, F.lit(parts)))
+    sample = sample.select("lang", "text")
     counts = (
         sample.mapInPandas(_count, "lang string, n int, unit string, count long")
         .groupBy("n", "unit", "lang")
         .agg(F.sum("count").alias("count"))
     )
-    order = [F.desc("count"), F.col("lang"), F.col("n"), F.col("unit")]
-    kept = [
-        counts.where("n = 0").orderBy(*order).limit(max_words).toPandas(),
-        counts.where("n > 0").orderBy(*order).limit(max_grams).toPandas(),
-    ]
+    own = Window.partitionBy("lang").orderBy(F.desc("count"), "n", "unit")
+
+    def most(units: DataFrame, bound: int) -> pd.DataFrame:
+        ranked = units.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= bound)
+        return ranked.orderBy("rank", F.desc("count"), "lang").limit(bound).drop("rank").toPandas()
+
+    kept = [most(counts.where("n = 0"), max_words), most(counts.where("n > 0"), max_grams)]
     table = pd.concat(kept)
     langs = sorted(table["lang"].unique())
     column = {lang: i for i, lang in enumerate(langs)}

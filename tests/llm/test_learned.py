@@ -49,6 +49,16 @@ def test_nothing_to_learn(spark):
     assert language_id.predict(D.frame(spark, []), model).count() == 0
 
 
+def test_rare_languages_are_learned(spark):
+    data = [(i, f"hot{i} der und", "de", None, None) for i in range(3000)]
+    data += [(3000 + i, f"rare{i} zwei", "zz", None, None) for i in range(5)]
+    data += [(4000 + i, "one text in many rows", "en", None, None) for i in range(3000)]
+    model = language_id.fit(D.frame(spark, data), max_docs=300, max_words=20, max_grams=60)
+    assert model.langs == ["de", "en", "zz"]
+    assert {"zwei", "rare", "der", "many"} <= model.words.keys()
+    assert language_id._shares({"de": 3000, "en": 100, "zz": 5}, 300) == {"zz": 1.0, "en": 1.0, "de": 195 / 3000}
+
+
 # --- language-model scores ------------------------------------------------------------------------
 
 
