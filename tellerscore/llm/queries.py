@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerscore.llm import exact_dedup, language_id, line_dedup, lm_scores, mixing, near_dedup, neighbours, packing, secrets, token_counts
+from tellerscore.llm import (
+    exact_dedup,
+    language_id,
+    lexical_search,
+    line_dedup,
+    lm_scores,
+    mixing,
+    near_dedup,
+    neighbours,
+    packing,
+    quality_rules,
+    secrets,
+    token_counts,
+    whitening,
+)
 from tellerscore.llm.common import documents, fold
 
 
@@ -97,6 +111,40 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable vectors on their first eight components."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    numbered = F.posexplode("whitened").alias("at", "value")
+    found = whitening.whiten(vectors, model).select("vec_id", "deviation", numbered)
+    explained = F.array(*[F.lit(float(e)) for e in model.explained]) if len(model.explained) else F.array(F.lit(0.0))
+    return found.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(int(model.centre.n)).cast("long").alias("n"),
+        "deviation",
+        F.col("value").alias("whitened"),
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(float(model.identity_error)).alias("identity_error"),
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best of all documents for each benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return lexical_search.search(documents(spark, sf_dir).select("doc_id", "text"), items)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn quality from two folds of the labels, score all documents."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = quality_rules.fit(docs, labels, training=~held_out)
+    found = quality_rules.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_mixing": op2_mixing,
@@ -108,6 +156,9 @@ QUERIES = {
     "op8_lm_scores": op8_lm_scores,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_whitening": op11_whitening,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -159,7 +210,23 @@ _MIX = rf"""
                unnest(range(0, CAST(CASE WHEN rest > 0 AND drawn <= rest THEN passes + 1 ELSE passes END AS BIGINT))) AS epoch
         FROM c"""
 
+_TERMS = """unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"""
+
 ORACLE = {
+    "op12_lexical_search": rf"""
+        WITH t AS (SELECT doc_id, {_TERMS} AS term FROM documents),
+        q AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+        l AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+        s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM l),
+        m AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM l, s),
+        f AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term),
+        r AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+              FROM q JOIN f USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL HAVING score > 0)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM r QUALIFY rank <= 50""",
     "op2_mixing": _MIX,
     "op6_exact_dedup": r"""
         WITH d AS (
