@@ -12,6 +12,7 @@ from __future__ import annotations
 import bisect
 import functools
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,6 +40,12 @@ WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 
+#: Runs of more white space than this go through the file's own library: the other one keeps a stack
+#: entry for each character of a run, and stops between 700,000 and 1,000,000 of them.
+LONG_SPACE = 100_000
+_SPACE_RUN = re.compile(r"\s+")
+
+
 def _bytes_of_characters() -> dict[str, int]:
     others = [b for b in range(256) if b not in PLAIN_BYTES]
     return {chr(b): b for b in PLAIN_BYTES} | {chr(256 + i): b for i, b in enumerate(others)}
@@ -59,12 +66,16 @@ class Encoder:
         self.fast = _byte_level(spec)
 
     def encode(self, text: str) -> bytes:
-        if self.fast is not None:
+        if self.fast is not None and not _has_long_space(text):
             return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
 
+def _has_long_space(text: str) -> bool:
+    return len(text) > LONG_SPACE and any(m.end() - m.start() > LONG_SPACE for m in _SPACE_RUN.finditer(text))
+
+
 def _byte_level(spec: dict) -> tiktoken.Encoding | None:
     model, cut = spec["model"], spec.get("pre_tokenizer") or {}
     odd = [model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")]
@@ -384,6 +395,7 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int
 
     Returns one row per piece: ``doc_id, piece, start, length, ids_crc32`` (and ``ids``), ``sequence_id,
     offset``. Null text is empty: one piece that holds the end id. A null id stays null. Other columns
-    are not carried.
+    are not carried. A very long text is encoded whole, in one task, and then cut; long runs of white space
+    take a slower library, with equal ids.
     """
     return pack(pieces(docs, path, capacity, end_id, **options), capacity)

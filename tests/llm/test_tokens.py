@@ -53,6 +53,27 @@ def test_ids_of_every_character_equal_the_library():
         assert encoder.encode(text) == np.array(found.ids, dtype="<u4").tobytes(), text
 
 
+@pytest.mark.parametrize("run", [" ", "\t", "\n", "\u3000", " \n", "é", "a", "-", "1"])
+def test_ids_of_very_long_runs_equal_the_library(run):
+    """Alone, between words, and one on the way to being too long for the fast library."""
+    encoder, library = packing.Encoder(BYTE), Tokenizer.from_file(BYTE)
+    space = run.isspace()
+    for n in (packing.LONG_SPACE, 1_000_000, 3_000_000) if space else (200_000,):
+        for text in (run * n, f"one {run * n}two", f"x{run * (n // 2)}y z{run * (n // 2)}"):
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert encoder.encode(text) == np.array(ids, dtype="<u4").tobytes()
+
+
+def test_very_long_white_space_is_packed_and_counted(spark):
+    library, counter = Tokenizer.from_file(BYTE), Tokenizer.from_file(WORD)
+    texts = [" " * 1_200_000, "a" + "\n" * 1_500_000 + "b", "\t " * 600_000]
+    docs = D.frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])
+    found = packing.pack_documents(docs, BYTE).groupBy("doc_id").sum("length").collect()
+    assert dict(map(tuple, found)) == {i: len(library.encode(t).ids) + 1 for i, t in enumerate(texts)}
+    found = token_counts.count_tokens(docs, WORD).collect()
+    assert {r.doc_id: r.n_tokens for r in found} == {i: len(counter.encode(t).ids) for i, t in enumerate(texts)}
+
+
 def test_other_files_go_through_their_library():
     encoder, library = packing.Encoder(WORD), Tokenizer.from_file(WORD)
     assert encoder.fast is None
