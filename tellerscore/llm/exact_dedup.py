@@ -1,12 +1,14 @@
 """Exact dedup against a persistent digest index.
 
-The index is a table bucketed and sorted by digest. A batch of documents is reduced to one row per
-digest (combined map-side, so a hot digest is no hot task), kept apart from what the index knows by a
-sort-merge anti-join that reads the index without a shuffle, and appended.
+The index is a table bucketed and sorted by digest, with a partition per batch. A batch of documents is
+reduced to one row per digest (combined map-side, so a hot digest is no hot task), kept apart from what
+other batches brought by a sort-merge anti-join that reads the index without a shuffle, and appended. A
+retry under the same batch name replaces its partition and decides as the first try did.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +21,7 @@ _OUT = ["digest", "keep_id", "group_size", "kept", "indexed_before"]
 
 
 class DigestIndex:
-    """Digests seen so far: ``digest, keep_id, n_rows``, bucketed and sorted by ``digest``.
+    """Digests seen so far: ``digest, keep_id, n_rows, batch``, bucketed and sorted by ``digest``.
 
     ``path`` belongs to the index for good; a later session opens it again with the same number of
     buckets. ``n_rows`` counts the copies in the batch that brought the digest in.
@@ -29,18 +31,34 @@ class DigestIndex:
         self.spark, self.path, self.buckets = spark, path, buckets
         self.table = f"digest_index_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.table} (digest STRING, keep_id BIGINT, n_rows BIGINT) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {self.table} (digest STRING, keep_id BIGINT, n_rows BIGINT, batch STRING) "
+            f"USING parquet PARTITIONED BY (batch) "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+        spark.catalog.recoverPartitions(self.table)  # another session may have added batches
+
+    def read(self, without: str | None = None) -> DataFrame:
+        """All digests, or those that other batches than one brought."""
+        rows = self.spark.table(self.table)
+        return rows if without is None else rows.where(F.col("batch") != without)
+
+    def append(self, rows: DataFrame, batch: str) -> None:
+        """Add what a batch brings, which must be written already; one file per bucket.
+
+        Whatever an earlier try of the batch has left is replaced.
+        """
+        laid_out = rows.select("digest", "keep_id", "n_rows").repartition(self.buckets, "digest").sortWithinPartitions("digest")
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {self.table} PARTITION (batch = :batch) SELECT digest, keep_id, n_rows FROM {{rows}}",
+            args={"batch": batch},
+            rows=laid_out,
+        )
 
-    def read(self) -> DataFrame:
-        return self.spark.table(self.table)
-
-    def append(self, rows: DataFrame) -> None:
-        """Add digests that the index does not hold; one file per bucket."""
-        rows.select("digest", "keep_id", "n_rows").repartition(self.buckets, "digest").sortWithinPartitions(
-            "digest"
-        ).write.insertInto(self.table)
+    def forget(self) -> None:
+        """Take the table out of the session's catalog. Its files stay, and can be opened again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
 def normalised(text: Column) -> Column:
@@ -48,7 +66,9 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), f"{SPACE_CLASS}+", "")
 
 
-def dedupe(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedupe(
+    docs: DataFrame, index: DigestIndex, batch: str | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Deduplicate ``docs`` against ``index`` and among themselves, and append their new digests.
 
     Returns every input row without its text, with ``digest`` (sha256 of the normalised text),
@@ -58,7 +78,11 @@ def dedupe(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col
 
     Null text equals empty text. A null id sorts before all others. Rows that repeat both id and text
     agree in every column. No rows give no rows. Input columns named like an output are replaced.
-    Running the same batch again appends nothing.
+
+    ``batch`` names these documents (letters, digits, dots, lines). The index is written before the result is
+    read, so whoever has to run a batch again, because its output was lost, must name it as before: its own
+    digests then count as new, and the result is the first one. Without a name every call is a batch of its
+    own; running such a batch twice appends nothing, and keeps nothing the second time.
     """
     wanted = fresh_names(docs, _OUT)
     rows = materialize(
@@ -79,7 +103,8 @@ def dedupe(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col
         .select("digest", F.col("first.id").alias("keep_id"), "n_rows"),
         "digest-groups",
     )
-    known = index.read().select("digest", F.col("keep_id").alias("old_id"), F.col("n_rows").alias("old_rows"))
+    batch = _named(batch)
+    known = index.read(without=batch).select("digest", F.col("keep_id").alias("old_id"), F.col("n_rows").alias("old_rows"))
     resolved = materialize(
         groups.join(known.hint("merge"), "digest", "left").select(
             "digest",
@@ -89,7 +114,7 @@ def dedupe(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col
         ),
         "digest-resolved",
     )
-    index.append(groups.join(index.read().hint("merge"), "digest", "left_anti"))
+    index.append(materialize(groups.join(known.hint("merge"), "digest", "left_anti"), "digests-new"), batch)
     return rows.join(resolved, "digest").select(
         "_in.*",
         "digest",
@@ -100,6 +125,14 @@ def dedupe(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col
     )
 
 
+def _named(batch: str | None) -> str:
+    if batch is None:
+        return uuid.uuid4().hex
+    if not re.fullmatch(r"[\w.-]+", batch, re.ASCII):
+        raise ValueError(f"a batch's name is made of letters, digits, dots and lines: {batch!r}")
+    return batch
+
+
 def new_index(spark: SparkSession) -> DigestIndex:
     """An empty index in the shared folder."""
     return DigestIndex(spark, new_path(spark, "digest-index"), shuffle_partitions(spark))

@@ -44,7 +44,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through a new digest index."""
-    found = exact_dedup.dedupe(documents(spark, sf_dir).select("doc_id", "text"), exact_dedup.new_index(spark))
+    index = exact_dedup.new_index(spark)
+    found = exact_dedup.dedupe(documents(spark, sf_dir).select("doc_id", "text"), index, batch="documents")
+    index.forget()  # all that the result needs of it is written
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 

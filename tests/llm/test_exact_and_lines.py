@@ -42,6 +42,24 @@ def test_index_is_kept_and_appended(spark):
     assert "Exchange" not in plan  # the buckets serve as the partitioning
 
 
+def test_a_batch_that_runs_again_keeps_its_documents(spark):
+    index = exact_dedup.new_index(spark)
+    exact_dedup.dedupe(D.frame(spark, [(1, "a b", "en", "s", 3)]), index, batch="monday").collect()
+    second = [(3, "ab        ", "en", "s", 3), (4, "d", "en", "s", 1), (0, "d", "en", "s", 1), (5, None, "en", "s", 0)]
+    expected = {3: (1, 2, False), 4: (0, 2, False), 0: (0, 2, True), 5: (5, 1, True)}
+    exact_dedup.dedupe(D.frame(spark, second[:2]), index, batch="tuesday")  # fails before its output is written
+    index.forget()
+    index = exact_dedup.DigestIndex(spark, index.path, index.buckets)
+    for _ in range(3):
+        found = exact_dedup.dedupe(D.frame(spark, second), index, batch="tuesday").collect()
+        assert {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in found} == expected
+    assert sorted(r.keep_id for r in index.read().collect()) == [0, 1, 5]
+    found = exact_dedup.dedupe(D.frame(spark, second), index, batch="wednesday").collect()
+    assert not any(r.kept for r in found) and index.read().count() == 3
+    with pytest.raises(ValueError):
+        exact_dedup.dedupe(D.frame(spark, second), index, batch="a/b")
+
+
 @pytest.mark.parametrize("operator", ["exact", "lines"])
 def test_no_rows(spark, operator):
     empty = D.frame(spark, [])
