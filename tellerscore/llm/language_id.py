@@ -129,16 +129,16 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     max_docs: int = 10_000,
-    max_words: int = 150_000,
-    max_grams: int = 100_000,
+    max_words: int | None = None,
+    max_grams: int | None = None,
     id_col: str = "doc_id",
 ) -> Model:
     """Learn from labelled rows; rows without text or language teach nothing.
 
     ``max_docs`` bounds the sample on average, chosen by hash of the text and, if there is one, the id.
-    ``max_words`` and ``max_grams`` bound the model: the most frequent units of each language stay, ties in the
-    order of the unit. Languages share all three bounds evenly; what one does not need goes to the others. No
-    labelled row gives a model without languages.
+    The model keeps every word and n-gram of the sample. ``max_words`` and ``max_grams``, where given, keep the
+    most frequent units of each language, ties in the order of the unit. Languages share the bounds evenly; what
+    one does not need goes to the others. No labelled row gives a model without languages.
     """
     keys = [text_col, *([id_col] if id_col in docs.columns else [])]
     labelled = docs.select(
@@ -161,7 +161,9 @@ def fit(
     )
     own = Window.partitionBy("lang").orderBy(F.desc("count"), "n", "unit")
 
-    def most(units: DataFrame, bound: int) -> pd.DataFrame:
+    def most(units: DataFrame, bound: int | None) -> pd.DataFrame:
+        if bound is None:
+            return units.orderBy("n", "unit", "lang").toPandas()
         ranked = units.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= bound)
         return ranked.orderBy("rank", F.desc("count"), "lang").limit(bound).drop("rank").toPandas()
 
@@ -180,6 +182,8 @@ def fit(
     logs = np.empty_like(found)
     for n in (0, *ORDERS):
         own = order_of == n
+        if not own.any():
+            continue
         smoothed = found[own] + 0.5
         logs[own] = np.log(smoothed) - np.log(smoothed.sum(axis=0, keepdims=True))
     return Model(langs, index[0], index[1], logs)
