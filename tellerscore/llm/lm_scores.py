@@ -66,8 +66,9 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def count_words(texts: DataFrame, frequent: int) -> Counts:
     """Counts over all rows of ``text`` (binary).
 
-    Only sums by size and at most ``frequent`` words come to the driver: all words of the largest sizes
-    that fit, where a size is a sixteenth of a power of two.
+    Only sums by size and the most frequent words come to the driver, about ``frequent`` of them. A size is a
+    sixteenth of a power of two; in the size that does not fit as a whole, exact counts decide, and among
+    words of one count a hash of the word.
     """
     table = materialize(
         texts.mapInPandas(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts"
@@ -75,19 +76,28 @@ def count_words(texts: DataFrame, frequent: int) -> Counts:
     size = F.floor(F.log2("n") * 16)
     found = sorted(table.groupBy(size.alias("size")).agg(F.sum("n"), F.count(F.lit(1))).collect(), reverse=True)
     ends = table.where(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0
-    least, room = None, frequent
+    room, wanted = frequent, F.lit(False)
     for size_, _, words in found:  # a few hundred sizes, the largest first
-        room -= words
-        if room < 0:
+        if words > room:
+            wanted |= (size == size_) & _most(table.where(size == size_), room)
             break
-        least = size_
-    most = {}
-    if least is not None:
-        kept = table.where(size >= least).toPandas()
-        most = {bytes(w): -n for n, w in sorted(zip((-kept["n"]).tolist(), map(bytes, kept["word"])))}
+        room -= words
+        wanted |= size == size_
+    kept = table.where(wanted).toPandas()
+    most = {bytes(w): -n for n, w in sorted(zip((-kept["n"]).tolist(), map(bytes, kept["word"])))}
     return Counts(table, sum(f[1] for f in found), sum(f[2] for f in found), most, ends)
 
 
+def _most(words: DataFrame, room: int) -> Column:
+    """A condition that about ``room`` of ``words`` meet, the most frequent ones, and of equals by hash."""
+    for n, equals in words.groupBy("n").count().orderBy(F.desc("n")).collect():  # counts of one size
+        if equals > room:
+            share = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(room / equals * (1 << 30))
+            return (F.col("n") > n) | ((F.col("n") == n) & share)
+        room -= equals
+    return F.lit(True)
+
+
 @dataclass
 class Vocabulary:
     """Ids of the words that the recurrent model knows; ``counts`` by id."""
