@@ -40,34 +40,49 @@ def initial(counts: np.ndarray, hidden: int, per_class: int, seed: int = 3) -> P
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.tanh(x * 0.5) * 0.5 + 0.5
-
-
-def states(p: Params, tokens: np.ndarray, state: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
-    """States after each of ``tokens`` (time, batch), and what backpropagation needs of each step."""
+def states(p: Params, tokens: np.ndarray, state: np.ndarray, keep: bool = False) -> tuple[np.ndarray, tuple]:
+    """States after each of ``tokens`` (time, batch), and what backpropagation needs of all steps."""
     hidden = state.shape[1]
     gathered = p["inputs"][tokens]
     out = np.empty((*tokens.shape, hidden), dtype=np.float32)
-    kept = []
+    kind = np.result_type(out, p["recurrent"])
+    kept = tuple(np.empty((*tokens.shape, width), dtype=kind) for width in (hidden, 2 * hidden, hidden, hidden)) if keep else ()
     for t in range(len(tokens)):
         from_input = gathered[t]
         from_state = state @ p["recurrent"]
         from_state += p["bias"]
-        gates = _sigmoid(from_input[:, : 2 * hidden] + from_state[:, : 2 * hidden])
+        gates = from_input[:, : 2 * hidden] + from_state[:, : 2 * hidden]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
         update, reset = gates[:, :hidden], gates[:, hidden:]
-        new = np.tanh(from_input[:, 2 * hidden :] + reset * from_state[:, 2 * hidden :])
+        new = reset * from_state[:, 2 * hidden :]
+        new += from_input[:, 2 * hidden :]
+        np.tanh(new, out=new)
         if keep:
-            kept.append((state, update, reset, new, from_state[:, 2 * hidden :]))
-        state = new + update * (state - new)
+            for part, value in zip(kept, (state, gates, new, from_state[:, 2 * hidden :])):
+                part[t] = value
+        state = state - new
+        state *= update
+        state += new
         out[t] = state
     return out, kept
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+def _softmax(logits: np.ndarray, scale: np.float32, bounded: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shifted logits, ``scale`` times the probabilities, and log sums by row, from one evaluation of the exponential."""
+    if not bounded:
+        logits -= logits.max(axis=1, keepdims=True)
+    found = np.exp(logits)
+    sums = found.sum(axis=1)
+    found *= (scale / sums)[:, None]
+    return logits, found, np.log(sums)
+
+
+def _reach(weights: np.ndarray, bias: np.ndarray) -> float:
+    """No logit of a state, whose numbers lie between -1 and 1, is larger."""
+    return float((np.abs(weights).sum(axis=0) + np.maximum(bias, -50)).max())
 
 
 def _log_of(state: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, rows: int = 2048) -> np.ndarray:
@@ -75,13 +90,13 @@ def _log_of(state: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.nda
 
     States lie between -1 and 1, so small weights need no shift against overflow.
     """
-    reach = np.abs(weights).sum(axis=0) + np.maximum(bias, -50)
+    bounded = _reach(weights, bias) <= 60
     out = np.empty(len(state), dtype=np.result_type(state, weights))
     for start in range(0, len(state), rows):
         stop = start + rows
         logits = state[start:stop] @ weights
         logits += bias
-        if reach.max() > 60:
+        if not bounded:
             logits -= logits.max(axis=1, keepdims=True)
         wanted = logits[np.arange(len(logits)), at[start:stop]]
         np.exp(logits, out=logits)
@@ -98,16 +113,15 @@ def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params |
     cls, within = targets // per_class, targets % per_class
     rows = np.arange(len(targets))
     d_state = None
+    scale = np.float32(1 / max(len(targets), 1))
     if grads is None:
         out = _log_of(state, p["class_out"], p["class_bias"], cls)
     else:
-        logs = _log_softmax(state @ p["class_out"] + p["class_bias"])
-        out = logs[rows, cls]
-    scale = np.float32(1 / max(len(targets), 1))
-    if grads is not None:
-        d = np.exp(logs)
-        d[rows, cls] -= 1
-        d *= scale
+        logits = state @ p["class_out"]
+        logits += p["class_bias"]
+        logits, d, sums = _softmax(logits, scale, _reach(p["class_out"], p["class_bias"]) <= 60)
+        out = logits[rows, cls] - sums
+        d[rows, cls] -= scale
         grads["class_out"] += state.T @ d
         grads["class_bias"] += d.sum(axis=0)
         d_state = d @ p["class_out"].T
@@ -123,12 +137,11 @@ def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params |
     logits = np.empty((len(h), per_class), dtype=np.result_type(h, p["token_out"]))
     for c, start, stop in cuts:
         np.matmul(h[start:stop], p["token_out"][c], out=logits[start:stop])
-    logits += p["token_bias"][cls[order]]
-    logs = _log_softmax(logits)
-    out[order] += logs[rows, at]
-    d = np.exp(logs)
-    d[rows, at] -= 1
-    d *= scale
+    for c, start, stop in cuts:
+        logits[start:stop] += p["token_bias"][c]
+    logits, d, sums = _softmax(logits, scale)
+    out[order] += logits[rows, at] - sums
+    d[rows, at] -= scale
     d_h = np.empty_like(h)
     for c, start, stop in cuts:
         grads["token_out"][c] += h[start:stop].T @ d[start:stop]
@@ -138,23 +151,29 @@ def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params |
     return out, d_state
 
 
-def _backward(p: Params, tokens: np.ndarray, kept: list, d_states: np.ndarray, grads: Params) -> None:
+def _backward(p: Params, tokens: np.ndarray, kept: tuple, d_states: np.ndarray, grads: Params) -> None:
     """Gradients of the recurrent part over one window; nothing flows to the window before."""
     hidden = d_states.shape[2]
+    before, gates, new, candidate = kept
+    update, reset = gates[:, :, :hidden], gates[:, :, hidden:]
+    # What each step's gradient is multiplied with; only the recurrence itself goes step by step.
+    by_new = (1 - update) * (1 - new * new)
+    factors = np.concatenate([(before - new) * update * (1 - update), by_new * candidate * reset * (1 - reset), by_new], axis=2)
+    recurrent = np.ascontiguousarray(p["recurrent"].T)
+    through = factors.copy()
+    through[:, :, 2 * hidden :] *= reset
+    d_all = np.empty((*tokens.shape, 3, hidden), dtype=d_states.dtype)
+    through = through.reshape(d_all.shape)
+    d_total = np.empty_like(d_states)
     d_next = np.zeros_like(d_states[0])
-    d_inputs = np.empty((*tokens.shape, 3 * hidden), dtype=np.float32)
-    d_all = np.empty((*tokens.shape, 3 * hidden), dtype=d_states.dtype)
     for t in range(len(tokens) - 1, -1, -1):
-        before, update, reset, new, candidate = kept[t]
-        d = d_states[t] + d_next
-        d_new = d * (1 - update) * (1 - new * new)
-        d_update = d * (before - new) * update * (1 - update)
-        d_reset = d_new * candidate * reset * (1 - reset)
-        np.concatenate([d_update, d_reset, d_new], axis=1, out=d_inputs[t], casting="same_kind")
-        d_gates = np.concatenate([d_update, d_reset, d_new * reset], axis=1, out=d_all[t])
-        d_next = d * update + d_gates @ p["recurrent"].T
+        d = np.add(d_states[t], d_next, out=d_total[t])
+        np.multiply(d[:, None, :], through[t], out=d_all[t])
+        d_next = d_all[t].reshape(len(d), -1) @ recurrent
+        d_next += d * update[t]
+    d_inputs = d_total[:, :, None, :] * factors.reshape(d_all.shape)
     d_all = d_all.reshape(-1, 3 * hidden)
-    grads["recurrent"] += np.concatenate([k[0] for k in kept]).T @ d_all
+    grads["recurrent"] += before.reshape(-1, hidden).T @ d_all
     grads["bias"] += d_all.sum(axis=0)
     order = np.argsort(tokens, axis=None, kind="stable")
     found, starts = np.unique(tokens.ravel()[order], return_index=True)
@@ -217,45 +236,65 @@ def score(
 
 
 class Trainer:
-    """Adam over truncated backpropagation; the state is carried, gradients stop at the window's start."""
+    """Adam over truncated backpropagation; the state is carried, gradients stop at the window's start.
+
+    Input rows and outputs of classes that a window does not meet have no gradient: they rest, and their
+    moments' decay is made up when they are met again.
+    """
+
+    DENSE, BY_TOKEN, BY_CLASS = ("recurrent", "bias", "class_out", "class_bias"), ("inputs",), ("token_out", "token_bias")
 
     def __init__(self, params: Params, rate: float):
-        self.weights = flat(params)
-        self.gradient, self.mean, self.square, self.work = (np.zeros_like(self.weights) for _ in range(4))
-        self.p, self.grads = views(self.weights, params), views(self.gradient, params)
+        self.p = {k: v.copy() for k, v in params.items()}
+        self.grads, self.mean, self.square = ({k: np.zeros_like(v) for k, v in params.items()} for _ in range(3))
+        self.met = {k: np.zeros(len(params[k]), dtype=np.int64) for k in (*self.BY_TOKEN, *self.BY_CLASS)}
         self.rate, self.steps, self.tokens = rate, 0, 0
 
     def learn(self, ids: list[np.ndarray], batch: int = 64, window: int = 16) -> None:
-        hidden = len(self.p["recurrent"])
+        hidden, per_class = len(self.p["recurrent"]), self.p["token_bias"].shape[1]
         state = np.zeros((0, hidden), dtype=np.float32)
         for rows, inputs, targets, first in _windows(ids, batch, window):
             state = np.zeros((len(rows), hidden), dtype=np.float32) if first else state[: len(rows)]
             after, kept = states(self.p, inputs, state, keep=True)
             state = after[-1]
             real = targets >= 0
-            self.gradient.fill(0)
+            wanted = targets[real]
             d_states = np.zeros_like(after)
-            _, d_states[real] = log_probs(self.p, after[real], targets[real], self.grads)
+            _, d_states[real] = log_probs(self.p, after[real], wanted, self.grads)
             _backward(self.p, inputs, kept, d_states, self.grads)
-            self._update()
-            self.tokens += int(real.sum())
+            self._update(np.unique(inputs), np.unique(wanted // per_class))
+            self.tokens += len(wanted)
 
-    def _update(self) -> None:
-        """All weights at once and in place."""
+    def _update(self, tokens: np.ndarray, classes: np.ndarray) -> None:
         self.steps += 1
-        rate = float(self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
-        g, work = self.gradient, self.work
-        self.mean *= 0.9
-        self.mean += np.multiply(g, 0.1, out=work)
-        self.square *= 0.99
-        np.multiply(g, g, out=work)
-        work *= 0.01
-        self.square += work
-        np.sqrt(self.square, out=work)
-        work += 1e-6
-        np.divide(self.mean, work, out=work)
-        work *= rate
-        self.weights -= work
+        rate = np.float32(self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
+        for name in self.DENSE:
+            self._step(name, slice(None), 1, rate)
+        for names, rows in ((self.BY_TOKEN, tokens), (self.BY_CLASS, classes)):
+            for name in names:
+                rested = (self.steps - self.met[name][rows]).reshape(-1, *[1] * (self.p[name].ndim - 1))
+                self.met[name][rows] = self.steps
+                self._step(name, rows, rested, rate)
+
+    def _step(self, name: str, rows, rested, rate: np.float32) -> None:
+        """Move ``rows`` of a parameter, which rested for some steps, and clear their gradient.
+
+        The moments are kept ten and a hundred times as large as usual, which saves two products.
+        """
+        rested = np.asarray(rested, dtype=np.float32)
+        g = self.grads[name][rows].copy() if isinstance(rows, slice) else self.grads[name][rows]
+        mean = self.mean[name][rows] * np.float32(0.9) ** rested
+        square = self.square[name][rows] * np.float32(0.99) ** rested
+        self.grads[name][rows] = 0
+        mean += g
+        g *= g
+        square += g
+        self.mean[name][rows], self.square[name][rows] = mean, square
+        np.sqrt(square, out=square)
+        square += np.float32(1e-5)
+        mean /= square
+        mean *= rate
+        self.p[name][rows] -= mean
 
 
 def flat(p: Params) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Language ID, language-model scores and nearest neighbours."""
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -59,6 +60,50 @@ def test_rare_languages_are_learned(spark):
     assert language_id._shares({"de": 3000, "en": 100, "zz": 5}, 300) == {"zz": 1.0, "en": 1.0, "de": 195 / 3000}
 
 
+def plain_language(labelled, text):
+    """The method in plain Python: add-half shares of words, else the mean of the longest known n-grams."""
+    langs = sorted({lang for lang, t in labelled})
+    units = {n: {} for n in (0, 4, 3, 2, 1)}
+    split = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    grams = lambda w, n: [f"^{w}$"[i : i + n] for i in range(len(w) + 3 - n)]
+    for lang, t in labelled:
+        for word in split(t):
+            for n in units:
+                for unit in [word] if n == 0 else grams(word, n):
+                    units[n].setdefault(unit, Counter())[lang] += 1
+    sums = {n: {lang: sum(c[lang] + 0.5 for c in found.values()) for lang in langs} for n, found in units.items()}
+    log = lambda n, unit, lang: math.log((units[n][unit][lang] + 0.5) / sums[n][lang])
+    total = dict.fromkeys(langs, 0.0)
+    for word in split(text):
+        known = [(0, [word])] if word in units[0] else [(n, [g for g in grams(word, n) if g in units[n]]) for n in (4, 3, 2, 1)]
+        n, found = next(((n, own) for n, own in known if own), (0, []))
+        for lang in langs:
+            total[lang] += sum(log(n, unit, lang) for unit in found) / max(len(found), 1)
+    top = max(total.values())
+    weights = {lang: math.exp(v - top) for lang, v in total.items()}
+    best = max(langs, key=weights.get)
+    return best, weights[best] / sum(weights.values())
+
+
+def test_predictions_against_plain_version(spark):
+    """Learned texts, texts of another draw, and words that only n-grams know."""
+    learned = D.frame(spark, D.rows(150)).where("doc_id IS NOT NULL")
+    labelled = [(r.lang, r.text) for r in learned.collect() if r.lang is not None and r.text is not None]
+    texts = [r[1] for r in D.rows(40, seed=9)] + ["zwischenwater", "ÊTRENT penses hausing", "qqq ééé", "über2water_maison"]
+    docs = D.frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    for r in language_id.predict(docs, language_id.fit(learned)).collect():
+        if r.text and any(map(str.isalpha, r.text)):
+            lang, score = plain_language(labelled, r.text)
+            assert r.lang_pred == lang and r.score == pytest.approx(score, rel=1e-6), r.text
+
+
+def test_every_unit_of_the_sample_is_learned(spark):
+    words = [f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100 % 10]}{chr(97 + i // 1000 % 26)}{chr(97 + i // 26000)}" for i in range(200_000)]
+    rows = [(i, " ".join(words[i * 1000 : (i + 1) * 1000]), "en", None, None) for i in range(200)]
+    model = language_id.fit(D.frame(spark, rows))
+    assert len(model.words) == len(set(words)) > 150_000
+
+
 # --- language-model scores ------------------------------------------------------------------------
 
 
@@ -123,6 +168,41 @@ def test_model_knows_four_thousand_words(spark, monkeypatch):
     assert sizes == [4000]
 
 
+def test_frequent_words_of_one_count(spark):
+    """More words of one count than fit do not leave the model without words."""
+    docs = spark.createDataFrame([(" ".join(f"w{i}x{k}" for k in range(100)),) for i in range(300)], "text string")
+    docs = docs.unionByName(spark.createDataFrame([("top top top of of",)], "text string"))
+    counts = lm_scores.count_words(docs.select(F.col("text").cast("binary").alias("text")), 5000)
+    assert 4500 < len(counts.frequent) < 5500 and counts.distinct == 30_003 and counts.tokens == 30_005 + 301
+    assert [*counts.frequent.items()][:3] == [(lm_scores.END, 301), (b"top", 3), (b"of", 2)]
+    assert set([*counts.frequent.values()][3:]) == {1}
+
+
+def test_rested_weights_make_up_their_decay():
+    """Where every class and token is met in every step, the lazy form is plain Adam."""
+    rng = np.random.default_rng(5)
+    p = gru.initial(np.ones(8), 4, 4)
+    trainer = gru.Trainer(p, 0.01)
+    weights = {k: v.astype(np.float64) for k, v in p.items()}
+    mean, square = ({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(2))
+    for step in range(1, 6):
+        grads = {k: rng.normal(size=v.shape).astype(np.float32) for k, v in p.items()}
+        met = step not in (2, 3)  # the last class and token rest for two steps
+        for k in (*gru.Trainer.BY_TOKEN, *gru.Trainer.BY_CLASS):
+            grads[k][-1] *= met
+        for k, g in grads.items():
+            trainer.grads[k][:] = g
+            mean[k], square[k] = 0.9 * mean[k] + 0.1 * g, 0.99 * square[k] + 0.01 * g * g
+            move = 0.01 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step) * mean[k] / (np.sqrt(square[k]) + 1e-6)
+            if not met and k in trainer.met:
+                move[-1] = 0
+            weights[k] -= move
+        trainer._update(np.arange(8 if met else 7), np.arange(2 if met else 1))
+    for k, v in weights.items():
+        assert trainer.p[k] == pytest.approx(v, abs=1e-5), k
+        assert not trainer.grads[k].any()
+
+
 def test_weights_are_updated_every_64_documents():
     trainer = gru.Trainer(gru.initial(np.arange(11, 0, -1).astype(float), 5, 4), 0.01)
     trainer.learn([np.array([3, 2, gru.END])] * 256)
