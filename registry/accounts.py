@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from registry import inputs
 from tellerscore.operators import accounts, dedupe, history, metrics
+from tellerscore.session import new_path
+from tellerscore.streaming.buckets import BucketedTable
 
 
 def _building(spark, sf):
@@ -41,7 +43,9 @@ def account_lookup(spark, sf):
         F.expr("c_custkey div 3").alias("customer_id"),
         F.col("c_mktsegment").alias("account_type"),
     )
-    return accounts.account_lookup(inputs.orders(spark, sf), rows)
+    table = BucketedTable(new_path(spark, "accounts"), rows.schema, key="account_id", buckets=8)
+    table.write(rows, 0)
+    return table.lookup(inputs.orders(spark, sf))
 
 
 def latest_account(spark, sf):

@@ -13,7 +13,9 @@ from tellerscore.session import materialize, new_path
 from tellerscore.sinks import notify
 from tellerscore.sinks.index import conform, create_target, write_index
 from tellerscore.sources.cdc import cdc_stream, multi_stream
+from tellerscore.streaming.buckets import BucketedTable
 from tellerscore.streaming.jobs import AccountJob, ScoringJob, Tables
+from tellerscore.streaming.known import KnownIds
 from tellerscore.streaming.tables import EpochTable
 
 
@@ -141,24 +143,56 @@ def history_upsert(spark, sf):
     first = rows.where("ts < '2024-01-16'")
     second = rows.where("ts >= '2024-01-16'").unionByName(first.where("op_type = 'click'"))
     table = EpochTable(new_path(spark, "history"), schemas.history(), ("event_day",))
-    table.write(dedupe.dedupe_transactions(first), 0)
-    for _ in range(2):
-        batch = dedupe.dedupe_transactions(second)
-        table.write(dedupe.unseen(batch, table.read(spark, before=1)), 1)
+    known = KnownIds(new_path(spark, "known"))
+    for epoch, batch in ((0, first), (1, second), (1, second)):
+        table.write(known.unseen(dedupe.dedupe_transactions(batch), before=epoch), epoch)
+        known.add(table.read(spark, only=epoch), epoch)
     return table.read(spark).select("id", "account_id", "amount")
 
 
-def account_upsert(spark, sf):
-    """Versions arrive by date in three micro-batches, one of them twice; the last seen wins."""
+def known_ids(spark, sf):
+    """Every event asked for, after three micro-batches of which two are merged."""
+    rows = inputs.events(spark, sf).withColumn("event_day", F.to_date("ts"))
+    borders = [F.lit(d).cast("timestamp") for d in ("2024-01-06", "2024-01-11", "2024-01-16")]
+    part = materialize(rows.withColumn("part", sum((F.col("ts") >= b).cast("int") for b in borders)), "parts")
+    known = KnownIds(new_path(spark, "known"))
+    for epoch in range(3):
+        known.add(part.where(F.col("part") == epoch), epoch)
+        if epoch == 1:
+            known.compact(spark, 2)
+    unknown = known.unseen(rows.select("id")).withColumn("known", F.lit(False))
+    return rows.select("id").join(unknown, "id", "left").select("id", F.coalesce("known", F.lit(True)).alias("known"))
+
+
+def _versions_by_year(spark, sf):
     versions = inputs.account_versions(spark, sf)
-    table = EpochTable(new_path(spark, "accounts"), schemas.account_dimension())
     year = F.year("seen_at")
-    parts = [versions.where(c) for c in (year < 1997, year.between(1997, 1998), year > 1998)]
+    return [versions.where(c) for c in (year < 1997, year.between(1997, 1998), year > 1998)]
+
+
+def account_upsert(spark, sf):
+    """Versions arrive by date in three micro-batches, one of them twice; the last seen wins."""
+    parts = _versions_by_year(spark, sf)
+    table = BucketedTable(new_path(spark, "accounts"), schemas.account_dimension(), key="account_id", buckets=8)
     for epoch in (0, 1, 1, 2):
+        if epoch == 2:
+            table.compact(spark, 2, accounts.latest_accounts)
         table.write(accounts.latest_accounts(parts[epoch]), epoch)
     return accounts.latest_accounts(table.read(spark)).select("account_id", "customer_id", "account_type")
 
 
+def account_state(spark, sf):
+    """The accounts of finished orders, looked up in buckets that doubled and were merged again."""
+    table = BucketedTable(
+        new_path(spark, "accounts"), schemas.account_dimension(), key="account_id", buckets=2, bucket_rows=1000
+    )
+    for epoch, part in enumerate(_versions_by_year(spark, sf)):
+        table.write(accounts.latest_accounts(part), epoch)
+        table.compact(spark, epoch + 1, accounts.latest_accounts)
+    keys = inputs.orders(spark, sf).where("status = 'F'")
+    return accounts.latest_accounts(table.lookup(keys)).select("account_id", "customer_id", "account_type")
+
+
 def score_batch(spark, sf):
     """All orders scored at once; each row carries the features the model would see."""
     records = inputs.order_records(spark, sf), inputs.account_records_a(spark, sf)
@@ -211,6 +245,8 @@ QUERIES = {
     "sink_notify": sink_notify,
     "history_upsert": history_upsert,
     "account_upsert": account_upsert,
+    "account_state": account_state,
+    "known_ids": known_ids,
     "score_batch": score_batch,
     "stream_equals_batch": stream_equals_batch,
     "score_stream": score_stream,
@@ -244,6 +280,12 @@ ORACLE = {
         SELECT account_id, customer_id, account_type FROM (
             SELECT o_custkey AS account_id, o_orderkey // 7 AS customer_id, o_orderpriority AS account_type,
                    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1""",
+    "account_state": """
+        SELECT account_id, customer_id, account_type FROM (
+            SELECT o_custkey AS account_id, o_orderkey // 7 AS customer_id, o_orderpriority AS account_type,
+                   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders)
+        WHERE r = 1 AND account_id IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""",
+    "known_ids": "SELECT event_id AS id, ts < TIMESTAMP '2024-01-16' AS known FROM events",
     "score_batch": f"SELECT *, {_LABEL} AS is_fraud FROM ({featured_sql('inserts')})",
     "score_stream": f"""
         SELECT *, FALSE AS incomplete, {_LABEL} AS is_fraud, {inputs.RULE} AS alerted FROM ({featured_sql('known_events')})""",

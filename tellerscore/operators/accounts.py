@@ -67,8 +67,3 @@ def join_account(batch: DataFrame, accounts: DataFrame) -> tuple[DataFrame, Data
     """Transactions with their customer, and those whose account is not known yet."""
     joined = with_account(batch, accounts)
     return resolved_only(joined), pending_only(joined)
-
-
-def account_lookup(keys: DataFrame, accounts: DataFrame) -> DataFrame:
-    """The account rows of the given keys, each once."""
-    return accounts.join(keys.select("account_id"), "account_id", "left_semi")

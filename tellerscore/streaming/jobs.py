@@ -23,12 +23,14 @@ from tellerscore.operators.accounts import (
     with_account,
 )
 from tellerscore.operators.alerts import alert_rows
-from tellerscore.operators.dedupe import dedupe_transactions, unseen
+from tellerscore.operators.dedupe import dedupe_transactions
 from tellerscore.operators.history import HISTORY_DAYS, retained
 from tellerscore.operators.parse import Tenant, project_scored
 from tellerscore.plans.scoring import label
 from tellerscore.session import concurrently, materialize, scratch_scope
 from tellerscore.sinks.index import write_index
+from tellerscore.streaming.buckets import BucketedTable
+from tellerscore.streaming.known import KnownIds
 from tellerscore.streaming.tables import EpochTable
 
 QUARANTINE = StructType(
@@ -51,7 +53,8 @@ class Tables:
     def __init__(self, root: str, tenant: Tenant):
         account = type(tenant.account_id)
         self.root = root
-        self.accounts = EpochTable(f"{root}/accounts", schemas.account_dimension(account))
+        self.accounts = BucketedTable(f"{root}/accounts", schemas.account_dimension(account), key="account_id")
+        self.known = KnownIds(root)
         self.history = EpochTable(f"{root}/history", schemas.history(account), ("event_day",))
         kinds = {"customer_id": LongType(), "account_id": tenant.account_id}
         self.day_totals = {
@@ -74,6 +77,7 @@ class Tables:
         """
         self.accounts.compact(spark, account_epoch, latest_accounts)
         self.history.compact(spark, epoch, lambda rows: retained(rows, today))
+        self.known.compact(spark, epoch, today - datetime.timedelta(days=HISTORY_DAYS))
         oldest = F.date_sub(F.lit(today), HISTORY_DAYS)
         for table in self.day_totals.values():
             table.compact(spark, epoch, lambda rows: features.sum_by_day(rows.where(F.col("day") >= oldest)))
@@ -133,6 +137,7 @@ class ScoringJob:
 
     def process(self, batch: DataFrame, epoch: int) -> None:
         if epoch and epoch % self.compact_every == 0:
+            self.tables.known.compact(batch.sparkSession, epoch)
             for table in self.tables.day_totals.values():
                 table.compact(batch.sparkSession, epoch, features.sum_by_day)
         read = parse.read_transactions(batch, self.tenant).persist(StorageLevel.MEMORY_AND_DISK)
@@ -152,11 +157,8 @@ class ScoringJob:
             tables.bad_transactions.write(bad, epoch)
             return
         # An insert may come again with another time, so ids are looked up on every retained day.
-        new = unseen(dedupe_transactions(delivered), tables.history.read(spark, before=epoch))
-        versions = tables.accounts.read(spark).join(
-            new.select("account_id").distinct(), "account_id", "left_semi"
-        )
-        dimension = live_accounts(versions, F.current_timestamp(), self.account_ttl)
+        new = materialize(tables.known.unseen(dedupe_transactions(delivered), before=epoch), "new")
+        dimension = live_accounts(tables.accounts.lookup(new), F.current_timestamp(), self.account_ttl)
         # Accounts may arrive meanwhile: what this batch saw of them is written down once, so every
         # transaction is either resolved or pending.
         overdue = F.col("since") < F.current_timestamp() - F.make_dt_interval(days=F.lit(self.pending_days))
@@ -180,6 +182,7 @@ class ScoringJob:
             partial(tables.bad_transactions.write, bad, epoch),
             partial(tables.pending.write, waiting, epoch),
             partial(tables.history.write, scored.withColumn("event_day", F.to_date("ts")), epoch),
+            partial(tables.known.add, scored.select("id", F.to_date("ts").alias("event_day")), epoch),
             partial(tables.features.write, scored.withColumn("incomplete", features.incomplete()), epoch),
             partial(tables.alerts.write, alerts, epoch),
             *[partial(table.write, totals[key].frame, epoch) for key, table in tables.day_totals.items()],

@@ -23,6 +23,8 @@ class EpochTable:
     path: str
     schema: StructType
     partition_by: tuple[str, ...] = ()
+    #: Order of the rows inside a file, by which scans can skip row groups.
+    sort_by: tuple[str, ...] = ()
 
     def write(self, df: DataFrame, epoch: int) -> None:
         self._save(df, f"{self.path}/ep={epoch}")
@@ -64,6 +66,8 @@ class EpochTable:
         if self.partition_by:
             # Files of one partition value come from few tasks, and a large value still gets many.
             rows = rows.hint("rebalance", *self.partition_by)
+        if self.sort_by:
+            rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
         rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
 
     def _load(self, spark: SparkSession, path: str) -> DataFrame:
