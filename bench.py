@@ -65,6 +65,7 @@ QUERIES = {
     "score_stream": streams.score_stream,
     "ml_string_index": models.QUERIES["ml_string_index"],
     "ml_pipeline": models.QUERIES["ml_pipeline"],
+    "ml_pipeline_scaled": models.QUERIES["ml_pipeline_scaled"],
     "fit_score_lr": fit_and_score("lr"),
     "fit_score_svm": fit_and_score("svm"),
     "fit_score_mlp": fit_and_score("mlp"),
@@ -72,7 +73,7 @@ QUERIES = {
 
 
 #: Whole trainings and streams.
-ONCE = ("fit_score_lr", "fit_score_svm", "fit_score_mlp", "ml_pipeline", "score_stream")
+ONCE = ("fit_score_lr", "fit_score_svm", "fit_score_mlp", "ml_pipeline", "ml_pipeline_scaled", "score_stream")
 
 
 def run(query, spark, sf):

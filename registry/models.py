@@ -125,6 +125,20 @@ def ml_pipeline(spark, sf):
     return scored.select("id", part, "label", F.col("prediction").isin(0.0, 1.0).alias("usable"))
 
 
+def ml_pipeline_scaled(spark, sf):
+    """Columns that repeat indexed, the others scaled; whether either part is predicted better than by one label."""
+    rows = inputs.featured_events(spark, sf)
+    first = ml.in_first_part(["id"], 0.8, 42)
+    training = rows.where(first)
+    indexed = ml.repeating(training, FEATURES)
+    model = ml.fit_indexed(training, scaled=[c for c in FEATURES if c not in indexed])
+    part = F.when(first, "train").otherwise("test").alias("part")
+    share = lambda right: F.avg(right.cast("double"))
+    right, ones = share(F.col("prediction") == F.col("label")), share(F.col("label") == 1)
+    better = (right > F.greatest(ones, 1 - ones)).alias("better")
+    return model.transform(rows).groupBy(part).agg(F.count(F.lit(1)).alias("n"), better)
+
+
 def model_save(spark, sf):
     """What the saved files say, and how many events the saved weights can score."""
     path = new_path(spark, "model")
@@ -164,6 +178,7 @@ QUERIES = {
     "ml_summary": ml_summary,
     "ml_score": ml_score,
     "ml_pipeline": ml_pipeline,
+    "ml_pipeline_scaled": ml_pipeline_scaled,
     "model_save": model_save,
     "model_load": model_load,
 }
@@ -211,6 +226,7 @@ ORACLE = {
              i AS (SELECT y, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, CAST(y AS VARCHAR)) - 1 AS DOUBLE) AS label
                    FROM f WHERE part = 'train' GROUP BY y)
         SELECT id, part, label, TRUE AS usable FROM f JOIN i ON f.y = i.y""",
+    "ml_pipeline_scaled": f"SELECT {_part(0.8, 42)} AS part, COUNT(*) AS n, TRUE AS better FROM events GROUP BY 1",
     "model_save": """
         SELECT 'org.apache.spark.ml.classification.LogisticRegressionModel' AS class, 'is_fraud' AS label,
                CAST(100 AS BIGINT) AS iterations, CAST(19 AS INT) AS features, CAST(2 AS INT) AS classes,

@@ -127,58 +127,112 @@ def index_values(df: DataFrame, columns: list[str], split_rows: int = SPLIT_ROWS
 
 
 def apply_index(df: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
-    """Add ``<column>_index``; a value without an index gets the number of values."""
+    """Add ``<column>_index``; a null or a value without an index gets the number of values.
+
+    Rows are melted to (row, column, value), joined with the index once, and regrouped, so there are as many
+    shuffles for one column as for a hundred. A row's other columns travel with its first cell. Values that
+    many rows share are split by adaptive execution, like any skewed join key.
+    """
+    if not columns:
+        return df
     sizes = {r["column"]: r["n"] for r in index.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    result = df
-    for c in columns:
-        values = index.where(F.col("column") == c).select(
-            F.col("value").alias("_value"), F.col("position").alias("_position")
+    carried = F.struct(*[df[c] for c in df.columns if c not in {f"{c}_index" for c in columns}])
+    rows = materialize(df.select(F.monotonically_increasing_id().alias("_row"), carried.alias("_in")), "rows")
+    none = F.lit(None).cast(rows.schema["_in"].dataType)
+    cells = [
+        F.struct(
+            F.lit(at).alias("at"),
+            F.lit(c).alias("column"),
+            F.col("_in")[c].cast("string").alias("value"),
+            (none if at else F.col("_in")).alias("_in"),
         )
-        result = (
-            result.join(values, F.col(c).cast("string") == F.col("_value"), "left")
-            .withColumn(f"{c}_index", F.coalesce("_position", F.lit(float(sizes.get(c, 0)))))
-            .drop("_value", "_position")
-        )
-    return result
+        for at, c in enumerate(columns)
+    ]
+    melted = rows.select("_row", F.inline(F.array(*cells)))
+    joined = melted.join(index.select("column", "value", "position"), ["column", "value"], "left")
+    unseen = F.get(F.array(*[F.lit(float(sizes.get(c, 0))) for c in columns]), F.col("at"))
+    cell = F.struct("at", F.coalesce("position", unseen).alias("position"))
+    found = joined.groupBy("_row").agg(
+        F.first("_in", ignorenulls=True).alias("_in"), F.sort_array(F.collect_list(cell)).alias("_cells")
+    )
+    return found.select("_in.*", *[F.col("_cells")[at]["position"].alias(f"{c}_index") for at, c in enumerate(columns)])
+
+
+def repeating(df: DataFrame, columns: list[str], most: int = 100) -> list[str]:
+    """The columns of at most about ``most`` different values; positions of values that never come again say nothing."""
+    found = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in columns]).first()
+    return [c for c in columns if found[c] <= most]
+
+
+def scales_of(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
+    """Mean and standard deviation of each column; nulls do not count, a constant column is only shifted."""
+    if not columns:
+        return {}
+    found = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}_{f.__name__}") for c in columns for f in (F.avg, F.stddev_pop)]).first()
+    return {c: (found[f"{c}_avg"] or 0.0, found[f"{c}_stddev_pop"] or 1.0) for c in columns}
 
 
 @dataclass(frozen=True)
 class IndexedModel:
-    """A classifier of value indexes: the indexes of the label and the features, and the model itself."""
+    """A classifier of value indexes: the indexes of the label and the features, and the model itself.
+
+    Columns with a scale enter as standardised numbers instead, a missing one as the mean.
+    """
 
     index: DataFrame
     model: Model
     columns: tuple[str, ...]
     label: str
+    scales: dict[str, tuple[float, float]]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``label``, the index of the label column where there is one, and ``prediction``."""
-        columns = [*self.columns, self.label] if self.label in df.columns else list(self.columns)
-        indexed = apply_index(df, self.index, columns)
-        names = [f"{c}_index" for c in self.columns]
-        predicted = self.model.transform(assembler(names).transform(indexed))
+        predicted = self.model.transform(_vectors(df, self.index, self.columns, self.label, self.scales))
         kept = [F.col(f"{self.label}_index").alias("label")] if self.label in df.columns else []
         return predicted.select(*df.columns, *kept, "prediction")
 
     def save(self, path: str) -> None:
         save(self.model, f"{path}/model")
         self.index.write.mode("overwrite").parquet(f"{path}/index")
+        rows = [(c, *scale) for c, scale in self.scales.items()]
+        self.index.sparkSession.createDataFrame(rows, _SCALES).write.mode("overwrite").parquet(f"{path}/scales")
+
+
+_SCALES = "column string, mean double, deviation double"
+
+
+def _vectors(df: DataFrame, index: DataFrame, columns: tuple[str, ...], label: str, scales: dict) -> DataFrame:
+    """``df`` with the label's index, where it has the label, and the feature vector."""
+    indexed = [c for c in columns if c not in scales]
+    found = apply_index(df, index, [*indexed, label] if label in df.columns else indexed)
+    standard = {
+        f"{c}_index": F.coalesce((F.col(c).cast("double") - mean) / deviation, F.lit(0.0))
+        for c, (mean, deviation) in scales.items()
+    }
+    return assembler([f"{c}_index" for c in columns]).transform(found.withColumns(standard) if standard else found)
 
 
 def load_indexed(spark: SparkSession, kind: str, path: str, columns: list[str] = FEATURES, label: str = LABEL) -> IndexedModel:
-    return IndexedModel(spark.read.parquet(f"{path}/index"), load(kind, f"{path}/model"), tuple(columns), label)
+    scales = {r["column"]: (r["mean"], r["deviation"]) for r in spark.read.parquet(f"{path}/scales").collect()}
+    return IndexedModel(spark.read.parquet(f"{path}/index"), load(kind, f"{path}/model"), tuple(columns), label, scales)
 
 
 def fit_indexed(
-    df: DataFrame, classifier: Estimator | None = None, columns: list[str] = FEATURES, label: str = LABEL
+    df: DataFrame,
+    classifier: Estimator | None = None,
+    columns: list[str] = FEATURES,
+    label: str = LABEL,
+    scaled: list[str] = (),
 ) -> IndexedModel:
-    """Index the label and every feature, and fit a classifier to the indexes.
+    """Index the label and every feature but the ``scaled`` ones, and fit a classifier.
 
-    The index is a table, whatever the number of values; none of it passes through the driver.
+    The index is a table, whatever the number of values; none of it passes through the driver. With nothing
+    scaled, continuous columns are indexed too: such a model knows the rows it was trained on, and little of
+    others, whose values all count as unseen.
     """
-    every = [*columns, label]
-    index = materialize(index_values(df, every), "index")
-    indexed = assembler([f"{c}_index" for c in columns]).transform(apply_index(df, index, every))
-    table = materialize(indexed.select("features", F.col(f"{label}_index").alias("label")), "indexed")
+    scales = scales_of(df, [c for c in columns if c in scaled])
+    index = materialize(index_values(df, [c for c in [*columns, label] if c not in scales]), "index")
+    vectors = _vectors(df, index, tuple(columns), label, scales)
+    table = materialize(vectors.select("features", F.col(f"{label}_index").alias("label")), "indexed")
     model = (classifier or perceptron((len(columns), 10, 5, 2), 42, "label")).fit(table)
-    return IndexedModel(index, model, tuple(columns), label)
+    return IndexedModel(index, model, tuple(columns), label, scales)

@@ -81,17 +81,60 @@ def test_index_equals_the_in_memory_indexer(spark, split_rows):
     assert both.where("w_index <> w_want OR v_index <> v_want").count() == 0
 
 
-def test_pipeline(spark, table):
-    """All 19 columns, most of them continuous."""
+@pytest.mark.parametrize("columns", [1, 5, 19])
+def test_shuffles_do_not_grow_with_columns(spark, table, columns):
+    index = ml.index_values(table, FEATURES)
+    indexed = ml.apply_index(table, spark.createDataFrame(index.collect(), index.schema), FEATURES[:columns])
+    indexed.count()
+    plan = indexed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("Aggregate ") == 1
+
+
+def test_indexing_keeps_rows_and_columns(spark):
+    """Repeated rows, nulls, clashing names, a value that a third of the rows share, no rows."""
+    data = [(i % 50, "hot" if i % 3 else None, "old", float(i % 7)) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, w string, w_index string, `a b` double")
+    index = ml.index_values(df, ["w", "a b"])
+    got = ml.apply_index(df, index, ["w", "a b"])
+    assert got.columns == ["id", "w", "a b", "w_index", "a b_index"]
+    wanted = sorted((i, w or "", x, 0.0 if w else 1.0) for i, w, _, x in data)
+    assert sorted((r.id, r.w or "", r["a b"], r.w_index) for r in got.collect()) == wanted
+    assert ml.apply_index(df.limit(0), index, ["w"]).count() == 0 and ml.apply_index(df, index, []) is df
+
+
+def test_pipeline_equals_the_in_memory_pipeline(spark, table):
+    """All 19 columns indexed, most of them continuous: vectors and predictions are those of Spark's own stages."""
     training, test = ml.split(table, ["id"], 0.8, 42)
     model = ml.fit_indexed(training)
+    every = [*FEATURES, LABEL]
+    indexer = StringIndexer(inputCols=every, outputCols=[f"{c}_index" for c in every], handleInvalid="keep").fit(training)
+    own = ml._vectors(table, model.index, tuple(FEATURES), LABEL, {}).select("id", "features", f"{LABEL}_index")
+    wanted = ml.assembler([f"{c}_index" for c in FEATURES]).transform(indexer.transform(table))
+    text = lambda df: df.select("id", F.col("features").cast("string").alias("f"), f"{LABEL}_index")
+    assert text(own).exceptAll(text(wanted)).isEmpty()
+    predicted = model.transform(test)
+    expected = model.model.transform(wanted.join(test.select("id"), "id", "left_semi"))
+    assert predicted.select("id", "prediction").exceptAll(expected.select("id", "prediction")).isEmpty()
+    path = new_path(spark, "indexed")
+    model.save(path)
+    again = ml.load_indexed(spark, "mlp", path)
+    assert again.transform(test).exceptAll(predicted).isEmpty()
+    assert "label" not in again.transform(test.drop(LABEL)).columns
+
+
+def test_pipeline(spark, table):
+    """Columns that repeat are indexed, continuous ones scaled: this carries over to other rows."""
+    training, test = ml.split(table, ["id"], 0.8, 42)
+    indexed = ml.repeating(training, FEATURES)
+    assert {"transaction_at_night", "account_id_count_1day"} <= set(indexed) and "amount" not in indexed
+    model = ml.fit_indexed(training, scaled=[c for c in FEATURES if c not in indexed])
     path = new_path(spark, "indexed")
     model.save(path)
     again = ml.load_indexed(spark, "mlp", path)
     predicted = model.transform(test)
     assert predicted.where("prediction = label").count() > 0.75 * test.count()
     assert again.transform(test).exceptAll(predicted).isEmpty()
-    assert "label" not in again.transform(test.drop(LABEL)).columns
+    assert model.transform(test.withColumn("amount", F.lit(None).cast("double"))).where("prediction IS NULL").isEmpty()
 
 
 def test_training_csv(spark, table):
