@@ -76,13 +76,12 @@ def count_words(texts: DataFrame, frequent: int) -> Counts:
     size = F.floor(F.log2("n") * 16)
     found = sorted(table.groupBy(size.alias("size")).agg(F.sum("n"), F.count(F.lit(1))).collect(), reverse=True)
     ends = table.where(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0
-    room, wanted = frequent, F.lit(False)
+    room, wanted = frequent, F.lit(True)
     for size_, _, words in found:  # a few hundred sizes, the largest first
         if words > room:
-            wanted |= (size == size_) & _most(table.where(size == size_), room)
+            wanted = (size > size_) | ((size == size_) & _most(table.where(size == size_), room))
             break
         room -= words
-        wanted |= size == size_
     kept = table.where(wanted).toPandas()
     most = {bytes(w): -n for n, w in sorted(zip((-kept["n"]).tolist(), map(bytes, kept["word"])))}
     return Counts(table, sum(f[1] for f in found), sum(f[2] for f in found), most, ends)
