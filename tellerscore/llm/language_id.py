@@ -163,9 +163,9 @@ def fit(
 
     def most(units: DataFrame, bound: int | None) -> pd.DataFrame:
         if bound is None:
-            return units.orderBy("n", "unit", "lang").toPandas()
+            return units.orderBy("n", "unit", "lang").toArrow().to_pandas()
         ranked = units.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= bound)
-        return ranked.orderBy("rank", F.desc("count"), "lang").limit(bound).drop("rank").toPandas()
+        return ranked.orderBy("rank", F.desc("count"), "lang").limit(bound).drop("rank").toArrow().to_pandas()
 
     kept = [most(counts.where("n = 0"), max_words), most(counts.where("n > 0"), max_grams)]
     table = pd.concat(kept)
