@@ -60,6 +60,24 @@ def first_match(spark, sf):
     )
 
 
+def latest_by_time(spark, sf):
+    """Versions in four partitions whose offsets run against the broker's time, as after a topic was made anew."""
+    versions = inputs.account_versions(spark, sf).withColumns(
+        {"partition": (F.col("offset") % 4).cast("int"), "offset": 10**9 - F.col("offset"), "broker_time": F.col("seen_at")}
+    )
+    return accounts.latest_accounts(versions.drop("seen_at")).select("account_id", "customer_id", "account_type")
+
+
+def dedupe_by_time(spark, sf):
+    """Corrected copies that come later, in another partition and at a smaller offset."""
+    rows = inputs.events(spark, sf).select("id", "account_id", "amount", "op_type", F.col("ts").alias("broker_time"))
+    first = rows.withColumns({"partition": F.lit(0), "offset": F.col("id") + 10**9})
+    later = rows.where("op_type = 'error'").withColumns(
+        {"partition": F.lit(1), "offset": F.col("id"), "amount": F.col("amount") + 1, "broker_time": F.expr("broker_time + INTERVAL 1 HOUR")}
+    )
+    return dedupe.dedupe_transactions(first.unionByName(later)).select("id", "account_id", "amount")
+
+
 def account_ttl(spark, sf):
     now = F.lit("2001-08-02 00:00:00").cast("timestamp")
     live = accounts.live_accounts(inputs.account_versions(spark, sf), now, history.ACCOUNT_TTL)
@@ -140,6 +158,8 @@ QUERIES = {
     "account_lookup": account_lookup,
     "latest_account": latest_account,
     "first_match": first_match,
+    "latest_by_time": latest_by_time,
+    "dedupe_by_time": dedupe_by_time,
     "account_ttl": account_ttl,
     "first_row": first_row,
     "show": show,
@@ -170,6 +190,9 @@ ORACLE = {
         SELECT c_custkey AS account_id, c_custkey // 3 AS customer_id, c_mktsegment AS account_type
         FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
     "latest_account": f"SELECT account_id, customer_id, account_type FROM ({_VERSION.format(order='o_orderdate DESC, o_orderkey DESC')}) WHERE r = 1",
+    "latest_by_time": f"SELECT account_id, customer_id, account_type FROM ({_VERSION.format(order='o_orderdate DESC, o_orderkey')}) WHERE r = 1",
+    "dedupe_by_time": """
+        SELECT event_id AS id, user_id AS account_id, CASE WHEN event_type = 'error' THEN value + 1 ELSE value END AS amount FROM events""",
     "first_match": f"SELECT account_id, customer_id, account_type FROM ({_VERSION.format(order='o_orderkey')}) WHERE r = 1",
     "account_ttl": f"""
         SELECT account_id, customer_id FROM ({_VERSION.format(order='o_orderdate DESC, o_orderkey DESC')})

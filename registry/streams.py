@@ -19,8 +19,13 @@ from tellerscore.streaming.known import KnownIds
 from tellerscore.streaming.tables import EpochTable
 
 
-#: Files that carry one micro-batch of the scoring stream.
-FILES = 2
+#: Rows of a file that a stream reads: files, and with them the tasks of a micro-batch, grow with the table.
+FILE_ROWS = 20_000
+
+
+def _files(rows):
+    """How many files hold ``rows`` rows."""
+    return max(1, -(-rows // FILE_ROWS))
 
 
 def _drain(stream, name):
@@ -57,13 +62,14 @@ def src_multi_stream(spark, sf):
 def micro_batch(spark, sf):
     """Rows of each micro-batch, appended to a table as they come."""
     records = inputs.event_records(spark, sf)
-    folder = inputs.files(records.repartition(4, "offset"), "event-records")
+    width = _files(records.count() // 4)
+    folder = inputs.files(records.repartition(4 * width, "offset"), "event-records")
     table = EpochTable(new_path(spark, "micro-batches"), schemas.canonical(schemas.StringType))
 
     def write(batch, epoch):
         table.write(parse.transactions(batch, parse.TENANT_B)[0], epoch)
 
-    stream = cdc_stream(spark, "json", folder, maxFilesPerTrigger="1")
+    stream = cdc_stream(spark, "json", folder, maxFilesPerTrigger=str(width))
     query = (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{table.path}-checkpoint")
@@ -76,7 +82,9 @@ def micro_batch(spark, sf):
 
 def foreach_batch(spark, sf):
     """Each micro-batch adds its counts per account; the table sums to the counts of all events."""
-    folder = inputs.files(inputs.event_records(spark, sf).repartition(3, "offset"), "event-records")
+    records = inputs.event_records(spark, sf)
+    width = _files(records.count() // 3)
+    folder = inputs.files(records.repartition(3 * width, "offset"), "event-records")
     schema = spark.createDataFrame([], "account_id string, n long").schema
     table = EpochTable(new_path(spark, "counts"), schema)
 
@@ -85,7 +93,7 @@ def foreach_batch(spark, sf):
         table.write(rows.groupBy("account_id").agg(F.count(F.lit(1)).alias("n")), epoch)
 
     query = (
-        cdc_stream(spark, "json", folder, maxFilesPerTrigger="1")
+        cdc_stream(spark, "json", folder, maxFilesPerTrigger=str(width))
         .writeStream.foreachBatch(count)
         .option("checkpointLocation", f"{table.path}-checkpoint")
         .trigger(availableNow=True)
@@ -170,6 +178,21 @@ def _versions_by_year(spark, sf):
     return [versions.where(c) for c in (year < 1997, year.between(1997, 1998), year > 1998)]
 
 
+def dedupe_stream(spark, sf):
+    """Three micro-batches; the second repeats records of itself, and the third many of the first two."""
+    records = inputs.event_records(spark, sf).withColumn("topic", F.lit("events"))
+    part = F.pmod("offset", F.lit(3))
+    again = records.where("offset % 2 = 0").withColumn("offset", F.col("offset") + 10**9)
+    batches = [records.where(part == 0), records.where(part == 1), records.where(part == 2)]
+    batches = [batches[0], batches[1].unionByName(batches[1]), batches[2].unionByName(again)]
+    width = _files(records.count())
+    folder = new_path(spark, "event-records")
+    for rows in batches:
+        rows.repartition(width, "offset").write.mode("append").json(folder)
+    stream = dedupe.without_repeats(cdc_stream(spark, "json", folder, maxFilesPerTrigger=str(width)), "1 hour")
+    return _drain(parse.transactions(stream, parse.TENANT_B)[0].select("id", "account_id", "amount"), "single")
+
+
 def account_upsert(spark, sf):
     """Versions arrive by date in three micro-batches, one of them twice; the last seen wins."""
     parts = _versions_by_year(spark, sf)
@@ -212,11 +235,12 @@ def _scored_stream(spark, sf):
     stamped = materialize(stamped, "stamped")
     part = sum((F.col("ts") >= b).cast("int") for b in borders)
     folder = new_path(spark, "event-records")
+    width = _files(max(r[1] for r in stamped.groupBy(part).count().collect()))
     for i in range(4):
         rows = stamped.where(part == i).select("value", "partition", "offset")
-        rows.repartition(FILES).write.mode("append").json(folder)
+        rows.repartition(width, "offset").write.mode("append").json(folder)
     job = ScoringJob(tables, parse.TENANT_B, inputs.rule_model(), recipient="desk@example.org", signature="The bank")
-    stream = cdc_stream(spark, "json", folder, maxFilesPerTrigger=str(FILES))
+    stream = cdc_stream(spark, "json", folder, maxFilesPerTrigger=str(width))
     job.start(stream, availableNow=True).awaitTermination()
     return tables
 
@@ -246,6 +270,7 @@ QUERIES = {
     "history_upsert": history_upsert,
     "account_upsert": account_upsert,
     "account_state": account_state,
+    "dedupe_stream": dedupe_stream,
     "known_ids": known_ids,
     "score_batch": score_batch,
     "stream_equals_batch": stream_equals_batch,
@@ -285,6 +310,7 @@ ORACLE = {
             SELECT o_custkey AS account_id, o_orderkey // 7 AS customer_id, o_orderpriority AS account_type,
                    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders)
         WHERE r = 1 AND account_id IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""",
+    "dedupe_stream": "SELECT event_id AS id, 'U' || user_id AS account_id, value AS amount FROM events",
     "known_ids": "SELECT event_id AS id, ts < TIMESTAMP '2024-01-16' AS known FROM events",
     "score_batch": f"SELECT *, {_LABEL} AS is_fraud FROM ({featured_sql('inserts')})",
     "score_stream": f"""

@@ -5,24 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerscore.operators.dedupe import first_by, last_by
+from tellerscore.operators.dedupe import arrival, first_by, last_by
 
-ORDER = ["offset", "partition"]
 
 
 def latest_accounts(versions: DataFrame) -> DataFrame:
     """The last version of each account.
 
-    Offsets only order the records of one topic's life, so the time a version was seen comes first where
-    it is known: a later micro-batch wins, whatever its offsets.
+    Offsets only order the records of one partition's life, so the time a version was seen comes first where
+    it is known, and then the broker's: a later micro-batch wins, and inside one the later record.
     """
     seen = ["seen_at"] if "seen_at" in versions.columns else []
-    return last_by(versions, ["account_id"], [*seen, *ORDER])
+    return last_by(versions, ["account_id"], [*seen, *arrival(versions)])
 
 
 def first_accounts(versions: DataFrame) -> DataFrame:
     """The first version of each account, as an append-only table would answer."""
-    return first_by(versions, ["account_id"], ORDER)
+    return first_by(versions, ["account_id"], arrival(versions))
 
 
 def live_accounts(versions: DataFrame, now: Column, ttl_seconds: int | None) -> DataFrame:

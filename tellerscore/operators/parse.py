@@ -117,6 +117,8 @@ TENANT_B = Tenant(
 )
 
 POSITION = ("partition", "offset")
+#: What files may lack, and records made by hand: the feed, and when the broker took the record.
+ORIGIN = {"topic": "string", "broker_time": "timestamp"}
 
 
 def once(df: DataFrame, *keep: str, columns: Column) -> DataFrame:
@@ -189,9 +191,11 @@ def accounts(records: DataFrame, tenant: Tenant) -> tuple[DataFrame, DataFrame]:
 
 def _adapt(records, after, adapter, required, wanted):
     parsed = parse_envelope(records, after)
+    missing = {c: F.lit(None).cast(kind) for c, kind in ORIGIN.items() if c not in parsed.columns}
+    parsed = parsed.withColumns(missing) if missing else parsed
     columns = adapter(F.col("payload.after"))
     typed = once(
-        parsed, "value", "status", *POSITION, columns=F.struct(*[c.alias(n) for n, c in columns.items()])
+        parsed, "value", "status", *POSITION, *ORIGIN, columns=F.struct(*[c.alias(n) for n, c in columns.items()])
     )
     complete = F.lit(True)
     for name in required:
@@ -202,7 +206,7 @@ def _adapt(records, after, adapter, required, wanted):
         .otherwise("skip")
     )
     text = F.when(~fate.isin("keep", "skip"), F.col("value"))
-    return typed.select(*columns, *POSITION, text.alias("value"), fate.alias("fate"))
+    return typed.select(*columns, *POSITION, *ORIGIN, text.alias("value"), fate.alias("fate"))
 
 
 def project_scored(scored: DataFrame, tenant: Tenant) -> DataFrame:

@@ -75,6 +75,8 @@ def envelope(after: StructType) -> StructType:
 
 # One record of a change stream. Files carry the position columns that a broker supplies.
 CDC_RECORD = _struct(("value", StringType()), ("partition", IntegerType()), ("offset", LongType()))
+# What a broker also tells of a record: its feed, and when it took it.
+BROKER_RECORD = StructType([*CDC_RECORD.fields, StructField("topic", StringType()), StructField("timestamp", TimestampType())])
 
 
 def canonical(account: type = LongType) -> StructType:
@@ -88,6 +90,8 @@ def canonical(account: type = LongType) -> StructType:
         ("description", StringType()),
         ("partition", IntegerType()),
         ("offset", LongType()),
+        ("topic", StringType()),
+        ("broker_time", TimestampType()),
     )
 
 
@@ -103,6 +107,8 @@ def account_dimension(account: type = LongType) -> StructType:
         ("account_type", StringType()),
         ("partition", IntegerType()),
         ("offset", LongType()),
+        ("topic", StringType()),
+        ("broker_time", TimestampType()),
         ("seen_at", TimestampType()),
     )
 

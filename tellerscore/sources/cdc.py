@@ -1,7 +1,8 @@
 """Change-event sources.
 
-A broker and a folder of JSON-lines files give the same columns: ``value``, ``partition``,
-``offset``. The position columns decide which copy of a record is the last one.
+A broker and a folder of JSON-lines files give the same columns: ``value``, ``partition``, ``offset``, and
+``topic`` and ``broker_time``, which files may lack. Time, then position, decide which copy of a record is the
+last one.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerscore.functions.text import decode_value
-from tellerscore.schemas import CDC_RECORD
+from tellerscore.schemas import BROKER_RECORD
 
 
 def cdc_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
@@ -20,16 +21,17 @@ def cdc_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
 
     For ``kafka`` pass ``kafka.bootstrap.servers`` and ``subscribe`` (several topics, comma
     separated, make one stream). For files pass ``path``; their records carry the columns of
-    ``CDC_RECORD``.
+    ``CDC_RECORD``, or all of ``BROKER_RECORD``.
     """
     reader = spark.readStream.format(fmt).options(**options)
     if fmt != "kafka":
-        reader = reader.schema(CDC_RECORD)
+        reader = reader.schema(BROKER_RECORD)
     return _record_columns(reader.load(path) if path else reader.load())
 
 
 def _record_columns(records: DataFrame) -> DataFrame:
-    return decode_value(records).select("value", "partition", "offset")
+    named = decode_value(records).withColumnRenamed("timestamp", "broker_time")
+    return named.select("value", "partition", "offset", "topic", "broker_time")
 
 
 def multi_stream(streams: dict[str, DataFrame]) -> DataFrame:

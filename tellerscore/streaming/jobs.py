@@ -23,7 +23,7 @@ from tellerscore.operators.accounts import (
     with_account,
 )
 from tellerscore.operators.alerts import alert_rows
-from tellerscore.operators.dedupe import dedupe_transactions
+from tellerscore.operators.dedupe import dedupe_transactions, without_repeats
 from tellerscore.operators.history import HISTORY_DAYS, retained
 from tellerscore.operators.parse import Tenant, project_scored
 from tellerscore.plans.scoring import label
@@ -118,6 +118,8 @@ class ScoringJob:
     A transaction whose account does not come for ``pending_days`` goes to quarantine.
     ``send_alerts`` is off for tenants that want none.
     ``index_format`` sends scored rows to a connector; without it they go to a table.
+    ``repeat_delay`` (such as ``1 hour``) drops inserts that come again within that time before a micro-batch is
+    made of them; later repeats are known by their ids as always.
     ``notify`` receives the alert rows of a micro-batch, for a broker or another channel.
     """
 
@@ -133,6 +135,7 @@ class ScoringJob:
     signature: str = ""
     index_format: str | None = None
     index_options: dict[str, str] | None = None
+    repeat_delay: str | None = None
     notify: Callable[[DataFrame], None] | None = None
 
     def process(self, batch: DataFrame, epoch: int) -> None:
@@ -228,6 +231,8 @@ class ScoringJob:
 
     def start(self, records: DataFrame, **trigger):
         t = self.tables
+        if self.repeat_delay:
+            records = without_repeats(records, self.repeat_delay)
         written = (t.history, t.pending, t.scored, t.alerts, t.features, t.bad_transactions, *t.day_totals.values())
         return _start(records, self.process, t.root, "transactions", written, trigger)
 

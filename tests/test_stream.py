@@ -1,11 +1,13 @@
 import datetime
 import json
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tellerscore.operators import parse
+from tellerscore.operators.dedupe import without_repeats
 from tellerscore.session import new_path, shared_folder
 from tellerscore.sinks import notify
 from tellerscore.sinks.index import conform, write_index
@@ -312,3 +314,59 @@ def test_sink_refuses_other_columns(spark):
     with pytest.raises(ValueError, match="missing"):
         conform(spark.createDataFrame([(1,)], "a int"), schema)
     assert conform(spark.createDataFrame([("x", "1")], "b string, a string"), schema).schema == schema
+
+
+BROKER = "value string, partition int, offset long, topic string, timestamp timestamp"
+
+
+def arrivals(spark, folder, values, topic="t", start=0):
+    rows = [(v, 0, start + i, topic, datetime.datetime(2024, 1, 1)) for i, v in enumerate(values)]
+    spark.createDataFrame(rows, BROKER).coalesce(1).write.mode("append").json(folder)
+
+
+def test_repeats_are_dropped_across_micro_batches(spark):
+    """Inserts are told apart by feed and id; other records and broken ones all pass; the state lets go."""
+    folder, out = new_path(spark, "records"), new_path(spark, "single")
+    insert, update = transaction_a(1, 10, 10**6, T0), transaction_a(1, 10, 10**6, T0).replace('"before": null', '"before": {}')
+    arrivals(spark, folder, [insert, insert, update, update, "broken", "broken", transaction_a(2, 10, 10**6, T0)])
+    arrivals(spark, folder, [insert, transaction_a(3, 10, 10**6, T0)], start=7)
+    arrivals(spark, folder, [insert], topic="other")
+
+    def run():
+        stream = without_repeats(cdc_stream(spark, "json", folder, maxFilesPerTrigger="1"), "2 seconds")
+        assert stream.columns == ["value", "partition", "offset", "topic", "broker_time"]
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-c").trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    kept = run()
+    ids = sorted((r.topic, json.loads(r.value)["payload"]["after"]["id"]) for r in spark.read.parquet(out).collect() if r.value not in ("broken", update))
+    assert ids == [("other", 1), ("t", 1), ("t", 2), ("t", 3)]
+    assert spark.read.parquet(out).count() == 4 + 2 + 2
+    time.sleep(3)
+    for i in range(2):  # a watermark moves with the micro-batch after the one that passed it
+        arrivals(spark, folder, [transaction_a(50 + i, 10, 10**6, T0)], start=50 + i)
+        left = run()
+    assert left < kept
+
+
+def test_a_scoring_stream_without_repeats(spark, tables):
+    folder = new_path(spark, "records")
+    send_accounts(spark, tables, [account_a(10, 1)])
+    arrivals(spark, folder, [transaction_a(1, 10, 10**6, T0)] * 3 + [transaction_a(2, 10, 10**6, T0)])
+    ScoringJob(tables, parse.TENANT_A, repeat_delay="1 hour").start(cdc_stream(spark, "json", folder), availableNow=True).awaitTermination()
+    assert set(scored(spark, tables)) == {1, 2} and tables.history.read(spark).count() == 2
+
+
+def test_the_broker_s_time_decides_between_partitions(spark, tables):
+    """The later record has the smaller offset, in another partition and in the same one, made anew."""
+    noon = datetime.datetime(2024, 1, 1, 12)
+    rows = [(account_a(10, 1), 0, 900, "a", noon), (account_a(10, 2), 1, 5, "a", noon + datetime.timedelta(hours=1)), (account_a(20, 3), 0, 901, "a", noon), (account_a(20, 4), 0, 0, "a", noon + datetime.timedelta(hours=1))]
+    folder = new_path(spark, "records")
+    spark.createDataFrame(rows, BROKER).write.json(f"{folder}/accounts")
+    AccountJob(tables, parse.TENANT_A).start(cdc_stream(spark, "json", f"{folder}/accounts"), availableNow=True).awaitTermination()
+    values = [(transaction_a(1, 10, 10**6, T0), 0, 70, "t", noon), (transaction_a(1, 10, 4 * 10**6, T0), 2, 1, "t", noon + datetime.timedelta(hours=1)), (transaction_a(2, 20, 10**6, T0), 0, 71, "t", noon)]
+    spark.createDataFrame(values, BROKER).write.json(f"{folder}/transactions")
+    ScoringJob(tables, parse.TENANT_A).start(cdc_stream(spark, "json", f"{folder}/transactions"), availableNow=True).awaitTermination()
+    found = {i: (r["customer-id"], r["amount"]) for i, r in scored(spark, tables).items()}
+    assert found == {1: (2, 4.0), 2: (4, 1.0)}
