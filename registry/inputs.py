@@ -127,6 +127,8 @@ def account_versions(spark: SparkSession, sf: str) -> DataFrame:
         F.col("priority").alias("account_type"),
         F.lit(0).alias("partition"),
         F.col("id").alias("offset"),
+        F.lit("accounts").alias("topic"),
+        F.lit(None).cast("timestamp").alias("broker_time"),
         F.col("ts").alias("seen_at"),
     )
 
