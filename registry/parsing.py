@@ -223,32 +223,34 @@ QUERIES = {
 _ORDER_JSON = "'{\"id\":' || o_orderkey || ',\"account\":' || o_custkey || '}'"
 
 
-def _text(value: str) -> str:
-    """A Python string as a SQL literal."""
-    return "'" + value.replace("'", "''") + "'"
+# The wording of the alerts, written out once more, so that a changed word is noticed.
+_MOMENT = "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"
+_BODY = f"""'We have detected a suspicious transaction on a user''s account on ' || {_MOMENT} || '.
+Your immediate attention to this matter is required.
+Please review the details provided below:
 
+Transaction ID: ' || CAST(o_orderkey AS VARCHAR) || '
+Customer ID: ' || CAST((o_custkey // 3) AS VARCHAR) || '
+Account ID: ' || CAST(o_custkey AS VARCHAR) || '
+Amount: $' || CAST(o_totalprice AS VARCHAR) || '
+Date: ' || {_MOMENT} || '.
 
-def _body_sql(id: str, customer: str, account: str, amount: str, moment: str) -> str:
-    values = {"id": id, "customer_id": customer, "account_id": account, "amount": amount, "datetime": moment}
-    sql, rest = [], alerts.BODY
-    while "{" in rest:
-        text, rest = rest.split("{", 1)
-        name, rest = rest.split("}", 1)
-        sql += [_text(text), f"CAST({values[name]} AS VARCHAR)"]
-    return " || ".join([*sql, _text(rest)])
+We kindly request that you take immediate action to thoroughly investigate and address this issue to prevent any further fraudulent activity.
+Your prompt response is greatly appreciated.'"""
+_SUBJECT = "'Urgent: Potential Fraud Transaction Detected - Action Required'"
+_GREETING = """'Dear Admin,
 
+'"""
+_FAREWELL = """'
 
-_BODY = _body_sql(
-    "o_orderkey", "(o_custkey // 3)", "o_custkey", "o_totalprice", "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"
-)
+Best regards,
+The bank'"""
 
 
 def _chat_sql(title: str, body: str) -> str:
     quoted = f"""replace(replace({body}, '"', '\\"'), chr(10), '\\n')"""
-    return (
-        _text('{"icon_emoji":"%s","username":"%s","attachments":[{"title":"' % (alerts.ICON, alerts.SENDER))
-        + f" || {title} || " + _text('","text":"') + f" || {quoted} || " + _text('","color":"%s"}]}' % alerts.COLOR)
-    )
+    return f"""'{{"icon_emoji":":exclamation:","username":"AI Assistant Alert","attachments":[{{"title":"' || {title}
+        || '","text":"' || {quoted} || '","color":"danger"}}]}}'"""
 
 
 ORACLE = {
@@ -302,9 +304,9 @@ ORACLE = {
     "alert_text": f"SELECT o_orderkey AS id, {_BODY} AS body FROM orders",
     "alert_payload": "SELECT o_orderkey AS id, " + _chat_sql("'Order ' || o_orderkey", "o_orderpriority") + " AS chat FROM orders",
     "alert_rows": f"""
-        SELECT id, 'fraud' AS channel, 'desk@example.org' AS recipient, {_text(alerts.SUBJECT)} AS subject,
-               {_chat_sql(_text(alerts.SUBJECT), "body")} AS chat,
-               {_text(alerts.SALUTATION)} || body || {_text(alerts.CLOSING + "The bank")} AS mail
+        SELECT id, 'fraud' AS channel, 'desk@example.org' AS recipient, {_SUBJECT} AS subject,
+               {_chat_sql(_SUBJECT, "body")} AS chat,
+               {_GREETING} || body || {_FAREWELL} AS mail
         FROM (SELECT o_orderkey AS id, {_BODY} AS body FROM orders WHERE o_totalprice > 400000)""",
     "json_serialize": f"SELECT o_orderkey AS id, {_ORDER_JSON} AS value FROM orders",
     "json_deserialize": "SELECT o_orderkey AS id, o_custkey AS account FROM orders",
