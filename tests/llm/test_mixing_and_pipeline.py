@@ -93,7 +93,7 @@ def test_query(spark, con, name):
 
 def test_every_number_is_registered_once():
     numbers = [int(m[1]) for n in entry.queries() if (m := re.match(r"op(\d+)_", n))]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert "pipeline" in entry.queries() and "pipeline" not in entry.oracle_sql()
 
 
