@@ -38,7 +38,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that three or more share; ``n_chars`` follows where lines went."""
+    """All documents, without lines that three or more share; ``n_chars`` follows where lines went.
+
+    A null text counts as one empty line and comes out empty. Of the documents that share a line the largest id keeps
+    it, a null id being the smallest; rows that repeat an id count as one document. Any other column passes through.
+    """
     found = line_dedup.dedupe_lines(
         docs.select(F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("_doc"), "doc_id", "text")
     )
@@ -65,14 +69,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the target weights of domains, languages and sources."""
+    """Documents drawn to the target weights of domains, languages and sources.
+
+    Null languages and sources are groups of their own, of weight 1. Documents without words cost nothing. A leaf's
+    order is that of a hash of the id, so rows that repeat an id are drawn together. Documents are not cut: a leaf
+    ends before the first id that does not fit its budget. Any other column passes through.
+    """
     weights = {"domain": DOMAIN_WEIGHTS, "lang": LANGUAGE_WEIGHTS}
     wrapped = _wrapped(docs, "doc_id", "text", "lang", "source")
     return mixing.mix(wrapped, domain_of(), weights, share=MIX_SHARE, max_epochs=MIX_EPOCHS).select("_doc.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, each with its sequence and place there."""
+    """Pieces of all documents, each with its sequence and place there.
+
+    A null or empty text is one piece, the end; texts of any length are encoded whole and cut. Rows that repeat an id
+    are packed each. A null id stays null. Only the columns of pieces come out.
+    """
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), CAPACITY)
 
 
