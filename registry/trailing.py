@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry import inputs
-from tellerscore.operators import features
+from tellerscore.operators import corrections, features
 from tellerscore.schemas import HORIZONS, KEYS, average_name, count_name
+from tellerscore.session import materialize
 
 CUT = "2024-01-16 12:00:00"
 
@@ -68,6 +72,32 @@ def late_rows(spark, sf):
     return scored.select("id", *averages, *counts, features.incomplete(averages).alias("incomplete"))
 
 
+def _on_time(spark, sf):
+    """Events that came in time, and the clicks of the first half of the month, which came after all others."""
+    rows = _rows(inputs.events(spark, sf)).withColumn("event_day", F.to_date("ts"))
+    clicks = inputs.events(spark, sf).where("op_type = 'click'").select("id")
+    early = rows.where(F.col("ts") < F.lit(CUT).cast("timestamp"))
+    late = materialize(early.join(clicks, "id", "left_semi"), "late-rows")
+    return materialize(rows.join(late.select("id"), "id", "left_anti"), "history"), late
+
+
+def late_corrections(spark, sf):
+    """A first pass without the late events, then corrections of what they change."""
+    history, late = _on_time(spark, sf)
+    totals = features.day_totals(history)
+    names = [c for k in KEYS for c in _averages(k) + _counts(k)]
+    first = features.point_in_time(history, totals=totals).select("id", *names)
+    changes = corrections.corrections(late, history, {k: t.frame for k, t in totals.items()})
+    return corrections.corrected(first, changes).select("id", *names)
+
+
+def late_reach(spark, sf):
+    """Which events the late ones change, by key column."""
+    history, late = _on_time(spark, sf)
+    changes = corrections.corrections(late, history, {k: t.frame for k, t in features.day_totals(history).items()})
+    return reduce(DataFrame.unionByName, [c.select(F.lit(k).alias("key"), "id", "late") for k, c in changes.items()])
+
+
 def calendar_flags(spark, sf):
     return features.calendar_flags(inputs.events(spark, sf)).select(
         "id", "transaction_in_weekend", "transaction_at_night"
@@ -85,6 +115,8 @@ QUERIES = {
     "feat_rollup": feat_rollup,
     "feat_as_of": feat_as_of,
     "late_rows": late_rows,
+    "late_corrections": late_corrections,
+    "late_reach": late_reach,
     "calendar_flags": calendar_flags,
 }
 
@@ -96,6 +128,11 @@ _SOURCES = {
 }
 
 
+_LATE = f"""
+    SELECT event_id AS id, user_id AS account_id, user_id // 3 AS customer_id, ts,
+           event_type = 'click' AND ts < TIMESTAMP '{CUT}' AS came_late FROM events"""
+
+
 def pit_columns(key, horizons, averages=True, counts=True):
     """SQL of the trailing columns over a join of rows ``a`` with their history ``b``."""
     columns = []
@@ -156,6 +193,16 @@ ORACLE = {
     )
     + f" FROM (SELECT *, CAST(ts AS DATE) AS d FROM ({_SOURCES['orders']})) GROUP BY customer_id",
     "late_rows": _late_sql(),
+    "late_corrections": f"""
+        SELECT * FROM ({pit_sql("events", "customer_id")}) JOIN ({pit_sql("events", "account_id")}) USING (id)""",
+    "late_reach": f"WITH e AS ({_LATE})" + " UNION ALL ".join(
+        f"""
+        SELECT '{key}' AS key, id, came_late AS late FROM e
+        WHERE came_late OR EXISTS (
+            SELECT 1 FROM e l WHERE l.came_late AND l.{key} = e.{key} AND (l.ts < e.ts OR (l.ts = e.ts AND l.id < e.id))
+                AND CAST(l.ts AS DATE) >= CAST(e.ts AS DATE) - {max(HORIZONS.values())})"""
+        for key in KEYS
+    ),
     "calendar_flags": """
         SELECT event_id AS id, CAST(isodow(ts) >= 6 AS INT) AS transaction_in_weekend,
                CAST(hour(ts) >= 22 OR hour(ts) < 6 AS INT) AS transaction_at_night FROM events""",
