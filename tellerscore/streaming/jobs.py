@@ -82,6 +82,20 @@ class Tables:
         for table in self.day_totals.values():
             table.compact(spark, epoch, lambda rows: features.sum_by_day(rows.where(F.col("day") >= oldest)))
 
+    def retire(self, spark: SparkSession, epoch: int, today: datetime.date) -> None:
+        """Merge known ids and day totals of the micro-batches before ``epoch``, and let go of days past retention.
+
+        Retention counts back from the newest stored day, but from ``today`` at most: a backfill keeps what its own
+        rows need, and a row from the future retires nothing. History is retired by deleting folders of days.
+        """
+        totals = self.day_totals["customer_id"].read(spark, before=epoch)
+        newest = totals.where(F.col("day") <= F.lit(today)).agg(F.max("day")).first()[0] or today
+        oldest = newest - datetime.timedelta(days=HISTORY_DAYS)
+        self.known.compact(spark, epoch, oldest)
+        for table in self.day_totals.values():
+            table.compact(spark, epoch, lambda rows: features.sum_by_day(rows.where(F.col("day") >= F.lit(oldest))))
+        self.history.drop_days(spark, epoch, oldest)
+
 
 @dataclass(frozen=True)
 class AccountJob:
@@ -113,8 +127,8 @@ class ScoringJob:
 
     ``as_of`` gives the features against one anchor day instead of each transaction's own day. The text
     ``today`` follows the clock: the day is written down once per micro-batch, so a retry sees the same.
-    ``compact_every`` micro-batches the day totals of all earlier ones are merged, without dropping days;
-    :meth:`Tables.compact` also lets go of days past retention.
+    Every ``compact_every`` micro-batches :meth:`Tables.retire` merges known ids and day totals and lets go of days
+    past retention.
     A transaction whose account does not come for ``pending_days`` goes to quarantine.
     ``send_alerts`` is off for tenants that want none.
     ``index_format`` sends scored rows to a connector; without it they go to a table.
@@ -140,9 +154,7 @@ class ScoringJob:
 
     def process(self, batch: DataFrame, epoch: int) -> None:
         if epoch and epoch % self.compact_every == 0:
-            self.tables.known.compact(batch.sparkSession, epoch)
-            for table in self.tables.day_totals.values():
-                table.compact(batch.sparkSession, epoch, features.sum_by_day)
+            self.tables.retire(batch.sparkSession, epoch, datetime.datetime.now(datetime.UTC).date())
         read = parse.read_transactions(batch, self.tenant).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             with scratch_scope(batch.sparkSession):

@@ -10,6 +10,7 @@ finished base that is not ahead of them, and the micro-batches from there on.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -61,6 +62,20 @@ class EpochTable:
                     fs, target = self._file(spark, f"{folder}/{name}")
                     fs.delete(target, True)
 
+    def drop_days(self, spark: SparkSession, before: int, oldest: datetime.date) -> None:
+        """Delete the folders of days before ``oldest`` in what was written before micro-batch ``before``.
+
+        The first column of ``partition_by`` is the day. No file is read or rewritten. A reader that planned earlier may miss its files.
+        """
+        day = self.partition_by[0]
+        for folder, last in ((self.path, before - 1), (f"{self.path}_base", before)):
+            for name, number in self._numbers(spark, folder).items():
+                fs, epoch = self._file(spark, f"{folder}/{name}")
+                for part in fs.listStatus(epoch) if number <= last else []:
+                    key, _, value = part.getPath().getName().partition("=")
+                    if key == day and value[:1].isdigit() and datetime.date.fromisoformat(value) < oldest:
+                        fs.delete(part.getPath(), True)
+
     def _save(self, df: DataFrame, path: str) -> None:
         rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields])
         if self.partition_by:

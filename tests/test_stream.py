@@ -195,6 +195,27 @@ def test_jobs_merge_their_tables(spark, tables):
     assert [labels[i] for i in range(5)] == ["valid", "valid", "fraudulent", "fraudulent", "fraudulent"]
 
 
+def test_the_job_lets_go_of_days_past_retention(spark, tables):
+    """Days count back from the newest one that is not in the future; what they were scored as stays."""
+    job = ScoringJob(tables, parse.TENANT_A, CountRule(), compact_every=2)
+    send_accounts(spark, tables, [account_a(10, 1)])
+    future = 4_102_444_800_000  # 2100-01-01
+    times = [T0, T0 + 9 * DAY, T0 + 100 * DAY, future]
+    job.process(records(spark, [transaction_a(i, 10, 10**6, t) for i, t in enumerate(times)]), 0)
+    job.process(records(spark, [transaction_a(5, 10, 10**6, T0 + DAY)], 5), 1)
+    third = records(spark, [transaction_a(6, 10, 10**6, T0 + 100 * DAY + 1), transaction_a(2, 10, 1, T0)], 6)
+    for _ in range(2):
+        job.process(third, 2)
+    left = {str(r["event_day"]) for r in tables.history.read(spark).collect()}
+    assert left == {"2024-01-10", "2024-04-10", "2100-01-01"}
+    days = {str(r["day"]) for r in tables.day_totals["account_id"].read(spark, before=2).collect()}
+    assert days == left
+    assert {r["id"] for r in tables.known.ids.read(spark, before=2).collect()} == {1, 2, 3}
+    assert set(scored(spark, tables)) == {0, 1, 2, 3, 5, 6}
+    counts = {r["id"]: r["account_id_count_3month"] for r in tables.features.read(spark).collect()}
+    assert counts[6] == 2 and counts[2] == 1
+
+
 def test_repeated_ids(spark, tables):
     send_accounts(spark, tables, [account_a(10, 1)])
     job = ScoringJob(tables, parse.TENANT_A)
