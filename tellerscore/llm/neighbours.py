@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,6 +17,8 @@ from tellerscore.session import materialize
 
 #: Vectors and queries that one cell compares at most, on average.
 CELL_ROWS = 4096
+#: Vectors that a leaf holds at most, if k-means can tell them apart; a larger one gets a tree of its own.
+LEAF_ROWS = 512
 
 
 @dataclass
@@ -43,23 +46,28 @@ class Tree:
                     todo.append((child, own))
         return out
 
-    def visits(self, query: np.ndarray) -> Iterator[int]:
-        """Leaves in best-bin-first order: descend to a leaf, queue the branches passed by, take the nearest."""
+    def visits(self, query: np.ndarray, bound: float = 0.0) -> Iterator[tuple[int, float]]:
+        """Leaves in best-bin-first order: descend to a leaf, queue the branches passed by, take the nearest.
+
+        Beside each leaf goes the distance at which the queue came to it, which never falls. It starts from
+        ``bound``, so the queue of a tree goes on in the trees below its leaves.
+        """
         if not self.centres:
-            yield 0
+            yield 0, bound
             return
-        queue, order = [(0.0, 0, 0)], 1
+        queue, order = [(bound, 0.0, 0, 0)], 1
         while queue:
-            _, _, node = heapq.heappop(queue)
+            bound, _, _, node = heapq.heappop(queue)
             while node >= 0:
                 distances = ((self.centres[node] - query) ** 2).sum(axis=1)
                 best = int(distances.argmin())
                 for i, child in enumerate(self.children[node]):
                     if i != best:
-                        heapq.heappush(queue, (float(distances[i]), order, child))
+                        own = float(distances[i])
+                        heapq.heappush(queue, (max(bound, own), own, order, child))
                         order += 1
                 node = self.children[node][best]
-            yield -node - 1
+            yield -node - 1, bound
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -135,9 +143,12 @@ def search(
     With fewer candidates than ``k``, all are returned; no rows give no rows.
 
     The tree is grown from ``sample_rows`` distinct vectors on average, chosen by hash, and every row is
-    indexed. How many leaves a query visits is calibrated: about ``calibration_queries`` rows are compared
-    with all rows, in blocks, and visits widen until the given share of their true neighbours lies in
-    visited leaves. Equal vectors are indexed once with their ``k + 1`` smallest ids, which are all that
+    indexed. A leaf of more than ``LEAF_ROWS`` rows gets a tree of its own, grown in a task from about
+    ``sample_rows`` of its rows, and so on, so leaves stay as small when the table grows. How many leaves a
+    query visits at each level is calibrated: about ``calibration_queries`` rows are compared with all rows,
+    in blocks, and visits widen until the given share of their true neighbours lies in visited leaves; of
+    the share that may be lost, half is lost at the first of several levels and half of the rest at each
+    further one but the last. Equal vectors are indexed once with their ``k + 1`` smallest ids, which are all that
     can be among ``k`` neighbours; equal queries are searched once.
     """
     vector = F.col(vector_col).cast("array<double>")
@@ -178,11 +189,19 @@ def search(
                 yield batch.assign(leaf=tree.value.leaf_of(_matrix(batch["vector"])))
 
     index = materialize(
-        classes.mapInPandas(to_leaf, "key string, ids array<long>, vector array<double>, leaf long"), "index"
+        classes.mapInPandas(to_leaf, "key string, ids array<long>, vector array<double>, leaf long").withColumn(
+            "path", F.array("leaf")
+        ),
+        "index",
     )
-    judged = classes.where(about(calibration_queries, seed + 1)).orderBy("key").select("vector").toPandas()["vector"]
-    visits = _calibrate(index, tree.value, _matrix(judged), k, recall) if len(judged) else 1
-    tops = _search_cells(index, asked, tree, visits, k)
+    index, levels = _deepen(index, sample_rows, seed)
+    judged = index.where(about(calibration_queries, seed + 1)).select("key", "vector")
+    visits = _calibrate(index, judged, tree, levels, k, recall)
+    queries = index.join(asked.select("key").distinct(), "key", "left_semi").select("key", "vector")
+    visiting = materialize(_first_visits(queries, tree, visits[0]), "visits")
+    for trees, most in zip(levels, visits[1:]):
+        visiting = materialize(_next_visits(visiting, trees, most), "visits")
+    tops = _search_cells(index, visiting, k)
 
     found = (
         asked.join(tops, "key")
@@ -205,78 +224,180 @@ def _nearest(queries: np.ndarray, vectors: np.ndarray, first_ids: np.ndarray, n:
         yield q, near, distance[near]
 
 
-def _calibrate(index: DataFrame, tree: Tree, judged: np.ndarray, k: int, recall: float) -> int:
-    """Leaves to visit so that ``recall`` of the judged rows' true neighbours are met."""
-    shared = index.sparkSession.sparkContext.broadcast(judged)
+def _with_trees(rows: DataFrame, trees: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``run`` on the rows of each leaf that has a tree, with that tree, in parts of bounded size."""
+    sizes = materialize(
+        rows.groupBy("leaf").count().join(trees.select("leaf"), "leaf").select(
+            "leaf", F.ceil(F.col("count") / CELL_ROWS).alias("parts")
+        ),
+        "tree-parts",
+    )
+    left = rows.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts"))).drop("parts")
+    right = trees.join(sizes, "leaf").select(
+        "leaf", "tree", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    )
+
+    def both(own: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        return run(own.drop(columns="part"), pickle.loads(tree["tree"].iloc[0]))
+
+    cell = ["leaf", "part"]
+    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(both, schema)
+
+
+def _below() -> Column:
+    """The name of a leaf below another; two that got one name would be searched as one leaf."""
+    return F.xxhash64("leaf", "child")
+
+
+def _deepen(index: DataFrame, sample_rows: int, seed: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Split leaves of more than ``LEAF_ROWS`` rows until k-means finds nothing to split any more.
+
+    Returns the index, whose ``path`` holds each row's leaf by level, and the trees of each level, by leaf.
+    """
+    levels: list[DataFrame] = []
+
+    def grown(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("key")
+        share = len(rows) / rows["count"].iloc[0]
+        least = min(64, LEAF_ROWS)
+        tree = grow(_matrix(rows["vector"]), leaf_rows=max(least, int(LEAF_ROWS / 4 * share)), seed=seed)
+        found = [(rows["leaf"].iloc[0], pickle.dumps(tree))] if tree.leaves > 1 else []
+        return pd.DataFrame(found, columns=["leaf", "tree"]).astype({"leaf": "int64"})
+
+    def moved(rows: pd.DataFrame, tree: Tree) -> pd.DataFrame:
+        return rows.assign(child=tree.leaf_of(_matrix(rows["vector"])))
+
+    while True:
+        large = index.groupBy("leaf").count().where(F.col("count") > LEAF_ROWS)
+        dealt = F.pmod(F.xxhash64(F.lit(seed + 2 + len(levels)), "key"), F.lit(1 << 30)) / (1 << 30)
+        sampled = index.join(large, "leaf").where(dealt * F.col("count") < sample_rows)
+        trees = materialize(
+            sampled.select("leaf", "key", "vector", "count").groupBy("leaf").applyInPandas(grown, "leaf long, tree binary"),
+            "trees",
+        )
+        if trees.isEmpty():
+            return index, levels
+        columns = ["key", "ids", "vector", "leaf"]
+        schema = "key string, ids array<long>, vector array<double>, leaf long, path array<long>, child long"
+        below = _with_trees(index.select(*columns, "path"), trees, moved, schema)
+        same = index.join(trees.select("leaf"), "leaf", "left_anti").select(*columns, "path")
+        index = materialize(
+            below.withColumn("leaf", _below())
+            .select(*columns, "path")
+            .unionByName(same)
+            .withColumn("path", F.concat("path", F.array("leaf"))),
+            "index",
+        )
+        levels.append(trees)
+
+
+_VISITS = "key string, vector array<double>, leaf long, bound double, place long"
+
+
+def _first_visits(queries: DataFrame, tree, visits: int) -> DataFrame:
+    """The leaves of the first tree that each query visits."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, vector in zip(batch["key"], batch["vector"]):
+                order = tree.value.visits(np.asarray(vector, dtype=np.float64))
+                rows += [(key, vector, leaf, bound, n + 1) for n, (leaf, bound) in zip(range(visits), order)]
+            yield pd.DataFrame(rows, columns=["key", "vector", "leaf", "bound", "place"])
+
+    return queries.mapInPandas(run, _VISITS)
+
+
+def _next_visits(visiting: DataFrame, trees: DataFrame, visits: int | None) -> DataFrame:
+    """The queue of each query goes on in the trees below the leaves it visits; its nearest leaves are kept."""
+
+    def run(rows: pd.DataFrame, tree: Tree) -> pd.DataFrame:
+        out = []
+        for key, vector, leaf, bound in zip(rows["key"], rows["vector"], rows["leaf"], rows["bound"]):
+            for n, (child, at) in enumerate(tree.visits(np.asarray(vector, dtype=np.float64), bound)):
+                if visits is not None and n >= visits:
+                    break
+                out.append((key, vector, leaf, at, n, child))
+        return pd.DataFrame(out, columns=["key", "vector", "leaf", "bound", "place", "child"])
+
+    below = _with_trees(visiting, trees, run, _VISITS + ", child long").withColumn("leaf", _below()).drop("child")
+    same = visiting.join(trees.select("leaf"), "leaf", "left_anti").withColumn("place", F.lit(0).cast("long"))
+    order = Window.partitionBy("key").orderBy("bound", "place", "leaf")
+    placed = below.unionByName(same.select(*below.columns)).withColumn("place", F.row_number().over(order).cast("long"))
+    return placed if visits is None else placed.where(F.col("place") <= visits)
+
+
+def _calibrate(
+    index: DataFrame, judged: DataFrame, tree, levels: list[DataFrame], k: int, recall: float
+) -> list[int | None]:
+    """Leaves to visit at each level so that ``recall`` of the judged rows' true neighbours are met; None is all."""
+    spark = index.sparkSession
+    rows = judged.orderBy("key").toPandas()
+    if not len(rows):
+        return [tree.value.leaves or 1] + [None] * len(levels)
+    keys, table = rows["key"].tolist(), _matrix(rows["vector"])
+    shared = spark.sparkContext.broadcast(table)
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            ids, leaf = np.array([i[0] for i in batch["ids"]]), batch["leaf"].to_numpy()
+            ids, path = np.array([i[0] for i in batch["ids"]]), batch["path"].to_numpy()
             for q, near, distance in _nearest(shared.value, _matrix(batch["vector"]), ids, k + 1):
-                yield pd.DataFrame({"q": q, "id": ids[near], "distance": distance, "leaf": leaf[near]})
+                yield pd.DataFrame({"q": q, "id": ids[near], "distance": distance, "path": path[near]})
 
     closest = Window.partitionBy("q").orderBy("distance", "id")
     true = (
-        index.mapInPandas(nearest, "q int, id long, distance double, leaf long")
+        index.mapInPandas(nearest, "q int, id long, distance double, path array<long>")
         .withColumn("_n", F.row_number().over(closest))
         .where((F.col("_n") <= k + 1) & (F.col("distance") > 0))
-        .select("q", "leaf")
-        .toPandas()
+        .select("q", "path")
+        .collect()
     )
-    if not len(true):
-        return 1
-    needed = []
-    for q, leaves in true.groupby("q")["leaf"]:
-        place = {leaf: i for i, leaf in enumerate(tree.visits(judged[q]))}
-        needed += [place[leaf] + 1 for leaf in leaves]
-    visits = 1
-    while visits < max(tree.leaves, 1) and np.mean(np.array(needed) <= visits) < recall:
-        visits += 1
+    if not true:
+        return [1] * (len(levels) + 1)
+
+    def enough(needed: list[int], depth: int) -> int | None:
+        lost = 1 if depth == len(levels) else 1 - 0.5 ** (depth + 1)
+        places = sorted(needed)
+        at = int(np.ceil((1 - (1 - recall) * lost) * len(true) - 1e-9))
+        return places[max(at, 1) - 1] if at <= len(places) else None
+
+    order = {q: {leaf: n + 1 for n, (leaf, _) in enumerate(tree.value.visits(table[q]))} for q in {r.q for r in true}}
+    needed = [order[r.q][r.path[0]] for r in true]
+    visits: list[int | None] = [enough(needed, 0) or max(tree.value.leaves, 1)]
+    visiting = _first_visits(judged, tree, visits[0])
+    for depth, trees in enumerate(levels, 1):
+        placed = materialize(_next_visits(visiting, trees, None), "judged-visits")
+        wanted = spark.createDataFrame([(keys[r.q], r.path[depth]) for r in true], "key string, leaf long")
+        met = placed.join(wanted, ["key", "leaf"]).select("place").collect()
+        visits.append(enough([r.place for r in met], depth))
+        visiting = placed if visits[-1] is None else placed.where(F.col("place") <= visits[-1])
     return visits
 
 
-def _search_cells(index: DataFrame, asked: DataFrame, tree, visits: int, k: int) -> DataFrame:
-    """``key, vec_id, score``: the ``k + 1`` nearest ids of each asked vector in the leaves it visits.
+def _search_cells(index: DataFrame, visiting: DataFrame, k: int) -> DataFrame:
+    """``key, vec_id, score``: the ``k + 1`` nearest ids of each query in the leaves it visits.
 
     Leaves and the queries that visit them are cut into parts of bounded size; a cell compares two parts.
     """
-
-    def to_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for key, vector in zip(batch["key"], batch["vector"]):
-                order = tree.value.visits(np.asarray(vector, dtype=np.float64))
-                rows += [(key, vector, leaf) for leaf, _ in zip(order, range(visits))]
-            yield pd.DataFrame(rows, columns=["key", "vector", "leaf"])
-
-    queries = index.join(asked.select("key").distinct(), "key", "left_semi").select("key", "vector")
-    visiting = queries.mapInPandas(to_visits, "key string, vector array<double>, leaf long")
-    visiting = materialize(visiting, "visits")
-    rows_of = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}
-    queries_of = {r["leaf"]: r["count"] for r in visiting.groupBy("leaf").count().collect()}
-    leaves = range(max([0, *rows_of, *queries_of]) + 1)
-    # Two numbers per leaf of a tree of bounded size.
-    parts, query_parts = (
-        F.get(F.array(*[F.lit(-(-of.get(leaf, 1) // CELL_ROWS)) for leaf in leaves]), F.col("leaf").cast("int"))
-        for of in (rows_of, queries_of)
+    sizes = materialize(
+        index.groupBy("leaf")
+        .agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).alias("parts"))
+        .join(visiting.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).alias("query_parts")), "leaf"),
+        "leaf-parts",
     )
 
-    def dealt(table: DataFrame, own: Column, other: Column, own_name: str, other_name: str) -> DataFrame:
-        return table.withColumn(own_name, F.pmod(F.xxhash64("key"), own.cast("long"))).withColumn(
-            other_name, F.explode(F.sequence(F.lit(0).cast("long"), other.cast("long") - 1))
+    def dealt(table: DataFrame, own: str, other: str) -> DataFrame:
+        return (
+            table.join(sizes, "leaf")
+            .withColumn(own, F.pmod(F.xxhash64("key"), F.col(f"{own}s")))
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}s") - 1)))
         )
 
     cell = ["leaf", "part", "query_part"]
-    left = dealt(visiting, query_parts, parts, "query_part", "part").select(*cell, "key", "vector")
-    right = dealt(
-        index.where(F.col("leaf").isin(sorted(queries_of)) if queries_of else F.lit(False)),
-        parts,
-        query_parts,
-        "part",
-        "query_part",
-    ).select(*cell, "ids", "vector")
+    left = dealt(visiting, "query_part", "part").select(*cell, "key", "vector")
+    right = dealt(index, "part", "query_part").select(*cell, "ids", "vector")
 
     def compare(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []

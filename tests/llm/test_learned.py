@@ -325,6 +325,38 @@ def test_visiting_every_leaf_is_exact(spark):
     assert got == {(q, n + 1): pair for q, pairs in true.items() for n, pair in enumerate(pairs)}
 
 
+def test_trees_below_leaves(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 20)
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 50)
+    rows = vectors()
+    docs, is_query = spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 20 == 0
+    true = brute_neighbours(rows, 20, 10)
+    seen = []
+    calibrate = neighbours._calibrate
+
+    def calibrated(index, judged, tree, levels, k, recall):
+        sizes = [r["count"] for r in index.groupBy("leaf").count().collect()]
+        visits = calibrate(index, judged, tree, levels, k, recall)
+        seen.append((sizes, len(levels), visits))
+        return visits
+
+    monkeypatch.setattr(neighbours, "_calibrate", calibrated)
+    for recall in (0.97, 1.1):
+        found = neighbours.search(docs, is_query, recall=recall, sample_rows=150).collect()
+        got = {}
+        for r in found:
+            got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+        sizes, levels, visits = seen[-1]
+        assert levels >= 1 and max(sizes) <= 20 and len(visits) == levels + 1
+        if recall > 1:  # every leaf of every level
+            assert visits[1:] == [None] * levels
+            assert got == {q: {n + 1: pair for n, pair in enumerate(pairs)} for q, pairs in true.items()}
+        else:
+            assert visits[-1] is not None and visits[-1] < len(sizes)
+            hits = sum(len({i for i, _ in true[q]} & {i for i, _ in got[q].values()}) for q in true)
+            assert hits >= 0.93 * sum(map(len, true.values()))
+
+
 def test_few_and_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, None, 0)], VECTORS)
     assert [(r.query_id, r.vec_id) for r in neighbours.search(few, F.col("vec_id") == 0).collect()] == [(0, 1)]
@@ -335,5 +367,6 @@ def test_few_and_no_vectors(spark):
 def test_best_bin_first_visits_every_leaf_once():
     sample = np.random.default_rng(1).normal(0, 1, (500, 4))
     tree = neighbours.grow(sample, leaf_rows=20)
-    order = list(tree.visits(sample[0]))
+    order, bounds = zip(*tree.visits(sample[0]))
+    assert bounds[0] == 0 and list(bounds) == sorted(bounds)
     assert sorted(order) == list(range(tree.leaves)) and order[0] == tree.leaf_of(sample[:1])[0]
