@@ -10,7 +10,7 @@ from tellerscore import schemas
 from tellerscore.operators import accounts, dedupe, parse
 from tellerscore.plans.scoring import label, score_backfill
 from tellerscore.session import materialize, new_path
-from tellerscore.sinks import notify
+from tellerscore.sinks import committed, notify
 from tellerscore.sinks.index import conform, create_target, write_index
 from tellerscore.sources.cdc import cdc_stream, multi_stream
 from tellerscore.streaming.buckets import BucketedTable
@@ -143,6 +143,25 @@ def sink_notify(spark, sf):
     return spark.read.text(path)
 
 
+def sink_committed(spark, sf):
+    """Messages of four micro-batches; the last one is published, forgotten by the stream and tried again."""
+    records = inputs.order_records(spark, sf)
+    width = _files(records.count() // 4)
+    folder = inputs.files(records.repartition(4 * width, "offset"), "order-records")
+    path = new_path(spark, "messages")
+    rows = parse.transactions(cdc_stream(spark, "json", folder, maxFilesPerTrigger=str(width)), parse.TENANT_A)[0]
+    rows = rows.select("id", F.concat(F.lit("order "), F.col("id"), F.lit(" is "), F.col("op_type")).alias("text"))
+    for attempt in range(2):
+        query = notify.send_stream(rows, "id", "text", path, f"{path}-checkpoint", availableNow=True)
+        query.awaitTermination()
+        if not attempt:
+            last = query.lastProgress["batchId"]
+            fs, mark = EpochTable._file(spark, f"{path}-checkpoint/commits/{last}")
+            fs.delete(mark, False)
+    schema = spark.createDataFrame([], "id long, value string").schema
+    return committed.committed(spark, path, schema)
+
+
 def history_upsert(spark, sf):
     """The second micro-batch brings the later half and repeats part of the first, and is retried."""
     rows = inputs.events(spark, sf).withColumn("event_day", F.to_date("ts")).withColumns(
@@ -267,6 +286,7 @@ QUERIES = {
     "sink_console": sink_console,
     "sink_schema": sink_schema,
     "sink_notify": sink_notify,
+    "sink_committed": sink_committed,
     "history_upsert": history_upsert,
     "account_upsert": account_upsert,
     "account_state": account_state,
@@ -300,6 +320,10 @@ ORACLE = {
     "sink_schema": "SELECT o_orderkey AS id, o_totalprice AS amount, CAST(o_orderdate AS DATE) AS day FROM orders",
     "sink_notify": """
         SELECT '{"message":"order ' || o_orderkey || ' is ' || o_orderstatus || '"}' AS value FROM orders""",
+    "sink_committed": """
+        SELECT o_orderkey AS id, '{"message":"order ' || o_orderkey || ' is '
+               || CASE WHEN o_orderstatus = 'F' THEN 'DEBIT' ELSE 'CREDIT' END || '"}' AS value
+        FROM orders WHERE o_orderstatus <> 'P'""",
     "history_upsert": "SELECT event_id AS id, user_id AS account_id, value AS amount FROM events",
     "account_upsert": """
         SELECT account_id, customer_id, account_type FROM (

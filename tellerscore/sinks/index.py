@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tellerscore.sinks import committed
 from tellerscore.streaming.tables import EpochTable
 
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro", "xml")
@@ -37,8 +38,9 @@ def write_index(
     """Write scored rows so that writing them again changes nothing.
 
     Without a format they go to ``table`` as micro-batch ``epoch``, which a repeated write replaces. With
-    one they are appended through a search index's connector, where the document id does the same. File
-    formats know no ids, so they are refused.
+    one they are appended through a search index's connector, where the document id does the same, or
+    through the sink of :mod:`tellerscore.sinks.committed`, which keeps the first finished attempt of micro-batch
+    ``epoch``. File formats know neither, so they are refused.
     """
     rows = conform(df, schema)
     if fmt is None:
@@ -46,5 +48,9 @@ def write_index(
         return
     if fmt in FILE_FORMATS:
         raise ValueError(f"{fmt} would repeat rows that are written again; write to a table instead")
-    settings = {"es.mapping.id": id_column, **options}
+    if fmt == committed.NAME:
+        committed.register(rows.sparkSession)
+        settings = {"batch": str(epoch), **options}
+    else:
+        settings = {"es.mapping.id": id_column, **options}
     rows.write.format(fmt).options(**settings).mode("append").save()

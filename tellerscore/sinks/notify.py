@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerscore.functions.alerts import notification
+from tellerscore.sinks import committed
 
 
 def messages(df: DataFrame, text: str) -> DataFrame:
@@ -19,6 +20,18 @@ def send(df: DataFrame, text: str, fmt: str = "kafka", path: str | None = None,
     writer.save(path) if path else writer.save()
 
 
+def send_stream(df: DataFrame, ident: str, text: str, path: str, checkpoint: str, stream: str = "0", **trigger):
+    """Publish the messages of a stream, each once, as ``ident`` and ``value`` in a committed target.
+
+    A micro-batch that fails, or is tried again after it was published, adds nothing twice.
+    """
+    committed.register(df.sparkSession)
+    rows = df.select(ident, notification(F.col(text)).alias("value"))
+    writer = rows.writeStream.format(committed.NAME).option("path", path).option("stream", stream)
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
 def show_stream(df: DataFrame, checkpoint: str, **trigger):
     """Print each micro-batch."""
     writer = df.writeStream.format("console").option("checkpointLocation", checkpoint)
