@@ -12,6 +12,7 @@ from tellerscore.plans.scoring import label, score_backfill
 from tellerscore.session import materialize, new_path
 from tellerscore.sinks import committed, notify
 from tellerscore.sinks.index import conform, create_target, write_index
+from tellerscore.sources import segments
 from tellerscore.sources.cdc import cdc_stream, multi_stream
 from tellerscore.streaming.buckets import BucketedTable
 from tellerscore.streaming.jobs import AccountJob, ScoringJob, Tables
@@ -59,6 +60,38 @@ def src_multi_stream(spark, sf):
     return _drain(merged.select("product", "id", "account_id", "amount"), "multi")
 
 
+def src_segments(spark, sf):
+    """Two topics of three partitions as one stream of bounded micro-batches, stopped between two halves of the log."""
+    topics = {"orders": inputs.order_records(spark, sf), "events": inputs.event_records(spark, sf)}
+    records = [
+        rows.select("value", "offset", F.lit(name).alias("topic"), F.pmod("offset", F.lit(3)).alias("partition"))
+        for name, rows in topics.items()
+    ]
+    records = records[0].unionByName(records[1]).withColumn("timestamp", F.timestamp_seconds("offset"))
+    newest = {r["topic"]: r["newest"] for r in records.groupBy("topic").agg(F.max("offset").alias("newest")).collect()}
+    halves = [F.when(F.col("topic") == topic, newest.get(topic, 0) // 2) for topic in topics]
+    early = F.col("offset") < F.coalesce(*halves)
+    log, path = new_path(spark, "log"), new_path(spark, "from-log")
+    limit = str(max(1, sum(newest.values()) // 6))
+    for half in (early, ~early):
+        segments.write_segments(records.where(half), log)
+        stream = cdc_stream(spark, segments.NAME, log, maxOffsetsPerTrigger=limit)
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", f"{path}-checkpoint")
+            .trigger(processingTime="0 seconds")
+            .start()
+        )
+        query.processAllAvailable()
+        query.stop()
+    read = spark.read.schema(stream.schema).parquet(path)
+    a = parse.transactions(read.where("topic = 'orders'"), parse.TENANT_A)[0]
+    b = parse.transactions(read.where("topic = 'events'"), parse.TENANT_B)[0]
+    merged = multi_stream({"savings": a.withColumn("account_id", F.col("account_id").cast("string")), "current": b})
+    return merged.select("product", "id", "account_id", "amount", F.unix_seconds("broker_time").alias("broker_second"))
+
+
 def micro_batch(spark, sf):
     """Rows of each micro-batch, appended to a table as they come."""
     records = inputs.event_records(spark, sf)
@@ -280,6 +313,7 @@ def score_stream(spark, sf):
 QUERIES = {
     "src_cdc_stream": src_cdc_stream,
     "src_multi_stream": src_multi_stream,
+    "src_segments": src_segments,
     "micro_batch": micro_batch,
     "foreach_batch": foreach_batch,
     "sink_index": sink_index,
@@ -308,6 +342,11 @@ ORACLE = {
         SELECT 'savings' AS product, o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS account_id, o_totalprice AS amount
         FROM orders WHERE o_orderstatus <> 'P'
         UNION ALL SELECT 'current', event_id, 'U' || user_id, value FROM events""",
+    "src_segments": """
+        SELECT 'savings' AS product, o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS account_id, o_totalprice AS amount,
+               o_orderkey AS broker_second
+        FROM orders WHERE o_orderstatus <> 'P'
+        UNION ALL SELECT 'current', event_id, 'U' || user_id, value, event_id FROM events""",
     "micro_batch": "SELECT event_id AS id, 'U' || user_id AS account_id, value AS amount FROM events",
     "foreach_batch": "SELECT 'U' || user_id AS account_id, COUNT(*) AS n FROM events GROUP BY 1",
     "sink_index": """

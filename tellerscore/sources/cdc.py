@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tellerscore.functions.text import decode_value
 from tellerscore.schemas import BROKER_RECORD
+from tellerscore.sources import segments
 
 
 def cdc_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
@@ -21,8 +22,11 @@ def cdc_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
 
     For ``kafka`` pass ``kafka.bootstrap.servers`` and ``subscribe`` (several topics, comma
     separated, make one stream). For files pass ``path``; their records carry the columns of
-    ``CDC_RECORD``, or all of ``BROKER_RECORD``.
+    ``CDC_RECORD``, or all of ``BROKER_RECORD``. For ``segments`` pass ``path`` and the options of
+    :mod:`tellerscore.sources.segments`.
     """
+    if fmt == segments.NAME:
+        segments.register(spark)
     reader = spark.readStream.format(fmt).options(**options)
     if fmt != "kafka":
         reader = reader.schema(BROKER_RECORD)
