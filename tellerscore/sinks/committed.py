@@ -149,7 +149,9 @@ class Committed(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make the sink known, also to a thread that has no session of its own: formats are looked up in the active one."""
     spark.dataSource.register(Committed)
+    spark._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(spark._jsparkSession)
 
 
 def committed(spark: SparkSession, path: str, schema: StructType, id_column: str | None = None) -> DataFrame:

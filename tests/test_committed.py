@@ -3,10 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tellerscore.operators import parse
 from tellerscore.session import new_path
 from tellerscore.sinks import committed
 from tellerscore.sinks.index import write_index
+from tellerscore.streaming.jobs import AccountJob, ScoringJob, Tables
 from tellerscore.streaming.tables import EpochTable
+from tests.records import account_a, records, transaction_a
 
 ROWS = "id long, text string"
 
@@ -104,3 +107,14 @@ def test_nothing_published(spark):
     spark.createDataFrame([], ROWS).write.parquet(folder)
     run(spark, folder, path)
     assert stored(spark, path) == []
+
+
+def test_the_scoring_job_publishes_each_transaction_once(spark):
+    tables, path = Tables(new_path(spark, "deployment"), parse.TENANT_A), new_path(spark, "out")
+    AccountJob(tables, parse.TENANT_A).process(records(spark, [account_a(10, 1)]), 0)
+    job = ScoringJob(tables, parse.TENANT_A, index_format=committed.NAME, index_options={"path": path})
+    first = records(spark, [transaction_a(i, 10, 10**6, 1_704_067_200_000) for i in (1, 2)])
+    for batch, epoch in ((first, 0), (first, 0), (records(spark, [transaction_a(3, 10, 10**6, 1_704_067_200_000)], 2), 1)):
+        job.process(batch, epoch)
+    found = committed.committed(spark, path, parse.TENANT_A.scored)
+    assert sorted(r["transaction-id"] for r in found.collect()) == [1, 2, 3]
