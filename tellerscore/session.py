@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 
 T = TypeVar("T")
 
+#: More rows than this go through a merge join.
+BROADCAST_ROWS = 200_000
+
 _scope: ContextVar[list[str] | None] = ContextVar("tables of the running scope", default=None)
 _local_folder: tempfile.TemporaryDirectory | None = None
 
@@ -80,6 +83,15 @@ def materialize_measured(df: DataFrame, name: str, *measures: Column) -> tuple[D
     return written, written.agg(*measures).first()
 
 
+def joinable(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` as the side of a join, never broadcast if it has many ``rows``.
+
+    Broadcasts are planned by the size of files, where sorted or repeated values take a small part of their
+    size in the driver's memory.
+    """
+    return df.hint("merge") if rows > BROADCAST_ROWS else df
+
+
 def concurrently(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:
     """Run independent Spark jobs side by side, so that a small one does not wait for a large one."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerscore.operators.dedupe import unseen
-from tellerscore.session import materialize
+from tellerscore.session import joinable, materialize
 from tellerscore.streaming.tables import EpochTable
 
 #: Ids that share a block on average, and the most blocks of a filter, as a power of two.
@@ -39,9 +39,12 @@ def _block(level: Column) -> Column:
     return F.pmod(_hash(), _power(level))
 
 
-def _bits() -> list[Column]:
+def _second_hash() -> Column:
+    return F.xxhash64("id", F.lit(1))
+
+
+def _bits(more: Column) -> list[Column]:
     """Two bits in each of four words, from a second hash."""
-    more = F.xxhash64("id", F.lit(1))
     bit = lambda i: _power(F.shiftrightunsigned(more, 6 * i).bitwiseAND(63))
     return [bit(2 * i).bitwiseOR(bit(2 * i + 1)).alias(name) for i, name in enumerate(_WORDS)]
 
@@ -55,19 +58,22 @@ def filters(ids: DataFrame) -> DataFrame:
     """The filters of ``id, event_day, bucket``: a row per block that holds an id."""
     sizes = ids.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("n"))
     level = F.least(F.greatest(F.ceil(F.log2(F.col("n") / BLOCK_IDS)), F.lit(0)), F.lit(MOST_BLOCKS)).cast("int")
-    sized = ids.join(sizes.select(*_CELL, level.alias("level")), _CELL)
-    placed = sized.select(*_CELL, "level", _block(F.col("level")).alias("block"), *_bits())
+    sized = ids.join(F.broadcast(sizes.select(*_CELL, level.alias("level"))), _CELL)  # at most days times buckets
+    placed = sized.select(*_CELL, "level", _block(F.col("level")).alias("block"), *_bits(_second_hash()))
     return placed.groupBy(*_CELL, "level", "block").agg(*[F.bit_or(w).alias(w) for w in _WORDS])
 
 
 def let_through(ids: DataFrame, of: DataFrame) -> DataFrame:
-    """``id, event_day, bucket`` of those of ``ids`` that may be known, by what filters say."""
-    levels = F.explode(F.sequence(F.lit(0), F.lit(MOST_BLOCKS)))
-    asked = in_buckets(ids.select("id").distinct()).withColumn("level", levels)
-    asked = asked.select("id", "bucket", "level", _block(F.col("level")).alias("block"), F.struct(*_bits()).alias("own"))
+    """``id, event_day, bucket`` of those of ``ids`` that may be known, by what filters say.
+
+    An id is asked for once per level that the filters of its bucket have, which are few: days of like size share one.
+    """
+    levels = of.select("bucket", "level").distinct()
+    asked = in_buckets(ids.select("id").distinct()).join(levels, "bucket")
+    asked = asked.select("id", "bucket", "level", _block(F.col("level")).alias("block"), _second_hash().alias("_more"))
     found = asked.join(of, ["bucket", "level", "block"])
-    for w in _WORDS:
-        found = found.where(F.col(w).bitwiseAND(F.col(f"own.{w}")) == F.col(f"own.{w}"))
+    for w, bits in zip(_WORDS, _bits(F.col("_more"))):
+        found = found.where(F.col(w).bitwiseAND(bits) == bits)
     return found.select("id", *_CELL).distinct()
 
 
@@ -95,14 +101,17 @@ class KnownIds:
     def among(self, spark: SparkSession, passed: DataFrame, before: int | None = None) -> DataFrame | None:
         """The exact step: which of what the filters let through is stored. Only those days are opened, and of them the row groups with those buckets."""
         cells: dict[datetime.date, list[int]] = {}
-        for day, bucket in passed.select(*_CELL).distinct().collect():  # at most days times buckets
+        found = passed.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("n")).collect()  # at most days times buckets
+        for day, bucket, _ in found:
             cells.setdefault(day, []).append(bucket)
         if not cells:
             return None
         opened = F.lit(False)
         for day, buckets in sorted(cells.items()):
             opened |= (F.col("event_day") == F.lit(day)) & F.col("bucket").isin(buckets)
-        return self.ids.read(spark, before=before).where(opened).join(passed, ["id", *_CELL], "left_semi").select("id").distinct()
+        many = sum(cell["n"] for cell in found)
+        stored = self.ids.read(spark, before=before).where(opened)
+        return joinable(stored.join(joinable(passed, many), ["id", *_CELL], "left_semi").select("id").distinct(), many)
 
     def compact(self, spark: SparkSession, before: int, oldest: datetime.date | None = None) -> None:
         """Merge deltas, and let go of days before ``oldest``. Filters are made anew for what is left."""

@@ -152,3 +152,16 @@ def test_days_past_retention_are_forgotten(spark):
     ids.compact(spark, 1, DAY + datetime.timedelta(days=5))
     assert sorted(r[0] for r in ids.unseen(spark.range(100)).collect()) == [i for i in range(100) if i % 10 < 5]
     assert ids.filters.read(spark).where(F.col("event_day") < F.lit(DAY + datetime.timedelta(days=5))).count() == 0
+
+
+def test_an_id_is_asked_for_once_per_level_of_its_bucket(spark, monkeypatch):
+    ids = KnownIds(new_path(spark, "known"))
+    ids.add(stored(spark, 0, 2000, 3).unionByName(spark.range(5000, 25_000).withColumn("event_day", F.lit(DAY))), 0)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan(known.let_through(spark.range(100), ids.filters.read(spark)))
+    # many ids that pass are not sent through the driver, and the answer stays the same
+    batch = spark.range(1000, 6000)
+    assert "BroadcastHashJoin" in plan(ids.unseen(batch))
+    monkeypatch.setattr("tellerscore.session.BROADCAST_ROWS", 100)
+    assert "BroadcastHashJoin" not in plan(ids.unseen(batch))
+    assert sorted(r[0] for r in ids.unseen(batch).collect()) == [*range(2000, 5000)]
