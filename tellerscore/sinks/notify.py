@@ -32,7 +32,17 @@ def send_stream(df: DataFrame, ident: str, text: str, path: str, checkpoint: str
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def show_stream(df: DataFrame, checkpoint: str, **trigger):
-    """Print each micro-batch."""
-    writer = df.writeStream.format("console").option("checkpointLocation", checkpoint)
+def show_stream(df: DataFrame, checkpoint: str, rows: int = 20, **trigger):
+    """Print the first ``rows`` of each micro-batch.
+
+    The console sink sends whole micro-batches to the driver. Here tasks read all rows and keep the first ones.
+    """
+
+    def show(batch: DataFrame, epoch: int) -> None:
+        place = F.monotonically_increasing_id()
+        first = batch.withColumn("_place", place).orderBy("_place").limit(rows).drop("_place")
+        print(f"Batch: {epoch}")
+        first.show(rows)
+
+    writer = df.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -391,3 +391,13 @@ def test_the_broker_s_time_decides_between_partitions(spark, tables):
     ScoringJob(tables, parse.TENANT_A).start(cdc_stream(spark, "json", f"{folder}/transactions"), availableNow=True).awaitTermination()
     found = {i: (r["customer-id"], r["amount"]) for i, r in scored(spark, tables).items()}
     assert found == {1: (2, 4.0), 2: (4, 1.0)}
+
+
+def test_shown_micro_batches_read_all_rows_and_send_the_first_ones(spark, capsys):
+    folder = new_path(spark, "shown")
+    spark.range(1000, 1500, numPartitions=7).write.json(folder)
+    stream = spark.readStream.schema("id long").json(folder)
+    query = notify.show_stream(stream, f"{folder}-checkpoint", rows=3, availableNow=True)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 500
+    assert sum(line.startswith("|1") for line in capsys.readouterr().out.split("\n")) == 3
