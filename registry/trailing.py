@@ -77,8 +77,8 @@ def _on_time(spark, sf):
     rows = _rows(inputs.events(spark, sf)).withColumn("event_day", F.to_date("ts"))
     clicks = inputs.events(spark, sf).where("op_type = 'click'").select("id")
     early = rows.where(F.col("ts") < F.lit(CUT).cast("timestamp"))
-    late = materialize(early.join(clicks, "id", "left_semi"), "late-rows")
-    return materialize(rows.join(late.select("id"), "id", "left_anti"), "history"), late
+    late = materialize(early.join(clicks.hint("merge"), "id", "left_semi"), "late-rows")
+    return materialize(rows.join(late.select("id").hint("merge"), "id", "left_anti"), "history"), late
 
 
 def late_corrections(spark, sf):

@@ -9,25 +9,27 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellerscore.operators import features
 from tellerscore.operators.running import SPLIT_ROWS
 from tellerscore.schemas import AMOUNT, HORIZONS, KEYS, average_name, count_name
-from tellerscore.session import materialize
+from tellerscore.session import joinable, materialize, materialize_measured
 
 
 def touched_days(late: DataFrame, key: str, totals: DataFrame, horizons: dict[str, int] = HORIZONS) -> DataFrame:
     """The (key, day) pairs of ``totals`` that a late row can change: its own day and the longest horizon after it.
 
-    Late days become at most ``longest + 1`` days each and meet the totals in an equi-join, so a late key with a long
-    history only meets the days within reach.
+    Late days and the days of ``totals`` go through one window by key, with one row per active day, so no late day is
+    multiplied by the days it reaches.
     """
-    late_days = late.select(F.col(key).alias("key"), F.to_date("ts").alias("_from")).distinct()
-    reach = F.sequence("_from", F.date_add("_from", max(horizons.values())))
-    pairs = late_days.select("key", F.explode(reach).alias("day")).distinct()
-    return totals.select("key", "day").distinct().join(pairs, ["key", "day"], "left_semi")
+    stored = totals.select("key", "day", F.lit(True).alias("_stored"))
+    late_days = late.select(F.col(key).alias("key"), F.to_date("ts").alias("day"), F.lit(False).alias("_stored"))
+    days = stored.unionByName(late_days).where(F.col("key").isNotNull() & F.col("day").isNotNull())
+    days = days.groupBy("key", "day").agg(F.max("_stored").alias("_stored"), F.max(~F.col("_stored")).alias("_late"))
+    reach = Window.partitionBy("key").orderBy(F.unix_date("day")).rangeBetween(-max(horizons.values()), 0)
+    return days.withColumn("_late", F.max("_late").over(reach)).where("_stored AND _late").select("key", "day")
 
 
 def corrections(
@@ -50,9 +52,12 @@ def corrections(
     """
     found = {}
     longest = max(horizons.values())
+    late_rows = late.count()
     for key in keys:
         known = features.sum_by_day(totals[key])
-        touched = materialize(touched_days(late, key, known, horizons), "touched-days")
+        n = F.count(F.lit(1)).alias("n")
+        touched, seen = materialize_measured(touched_days(late, key, known, horizons), "touched-days", n)
+        touched = joinable(touched, seen["n"])
         # Whole days are read again, so that their running totals are right.
         named = touched.select(F.col("key").alias(key), F.col("day").alias("_day"))
         rows = history.withColumn("_day", F.to_date("ts"))
@@ -66,38 +71,36 @@ def corrections(
         )
         both = materialize(both, "touched-rows")
         # Totals of the days that are read again come from their rows; only keys with late rows matter.
-        others = known.join(late.select(F.col(key).alias("key")).distinct(), "key", "left_semi")
+        late_keys = joinable(late.select(F.col(key).alias("key")).distinct(), late_rows)
+        others = known.join(late_keys, "key", "left_semi")
         others = others.join(touched, ["key", "day"], "left_anti")
         fresh = features.point_in_time(
             both, (key,), horizons, amount_type, past_totals={key: others}, split_rows=split_rows
         )
-        firsts = late.groupBy(F.col(key), F.to_date("ts").alias("_late_day")).agg(
-            F.min(F.struct("ts", "id")).alias("_first")
-        )
-        found[key] = _changed(fresh, firsts, key, longest).select(
+        found[key] = _changed(fresh, both, key, longest).select(
             "id", "late", *[f(key, h) for f in (average_name, count_name) for h in horizons]
         )
     return found
 
 
-def _changed(fresh: DataFrame, firsts: DataFrame, key: str, longest: int) -> DataFrame:
+def _changed(fresh: DataFrame, both: DataFrame, key: str, longest: int) -> DataFrame:
     """Late rows, and rows that follow one: by the first late row of each (key, day) within reach.
 
     A row follows a late one of an earlier day for sure, so of the days before only whether there is one counts.
     """
-    reached = _reached(firsts, key, longest)
+    reached = _reached(both, key, longest).hint("merge")  # about as many days as rows, where keys are seldom
     rows = fresh.withColumn("_day", F.to_date("ts")).join(reached, [key, "_day"], "left")
     follows = F.col("_before") | (F.struct("ts", "id") > F.col("_own"))
     return rows.where(F.col("late") | F.coalesce(follows, F.lit(False)))
 
 
-def _reached(firsts: DataFrame, key: str, longest: int) -> DataFrame:
-    """(key, day) within reach of a late row: whether one lies on a day before, and the first one of the day itself."""
-    days = firsts.withColumn("_day", F.explode(F.sequence("_late_day", F.date_add("_late_day", longest))))
-    own = F.col("_late_day") == F.col("_day")
-    return days.groupBy(key, "_day").agg(
-        F.max(F.col("_late_day") < F.col("_day")).alias("_before"), F.min(F.when(own, F.col("_first"))).alias("_own")
-    )
+def _reached(both: DataFrame, key: str, longest: int) -> DataFrame:
+    """By (key, day) of the rows: whether a late one lies on a day before, within reach, and the first one of the day itself."""
+    own = F.min(F.when(F.col("late"), F.struct("ts", "id"))).alias("_own")
+    dated = both.where(F.col(key).isNotNull() & F.col("ts").isNotNull())
+    days = dated.groupBy(key, F.to_date("ts").alias("_day")).agg(own)
+    reach = Window.partitionBy(key).orderBy(F.unix_date("_day")).rangeBetween(-longest, -1)
+    return days.withColumn("_before", F.coalesce(F.max(F.col("_own").isNotNull()).over(reach), F.lit(False)))
 
 
 def corrected(featured: DataFrame, changes: dict[str, DataFrame], horizons: dict[str, int] = HORIZONS) -> DataFrame:

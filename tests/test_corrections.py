@@ -82,3 +82,20 @@ def test_only_days_within_reach_are_touched(spark):
     late = spark.createDataFrame([(9, 1, 0, 1.0, START)], SCHEMA)
     found = corrections.touched_days(late, "account_id", totals).collect()
     assert sorted((r["day"] - START.date()).days for r in found) == [0, 1, 90]
+
+
+def test_late_days_are_not_multiplied_by_their_reach(spark):
+    rows = made(5, 60) + [(100, None, 3, 1.0, START), (101, 1, 0, 1.0, None)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    late = frame.where("id % 5 = 0 OR id > 99")
+    touched = corrections.touched_days(late, "account_id", features._by_day(frame, "account_id", "decimal(25,6)"))
+    reached = corrections._reached(frame.selectExpr("*", "id % 5 = 0 OR id > 99 AS late"), "account_id", 90)
+    for found in (touched, reached):
+        assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    days = {(r[1], r[4].date()) for r in rows if None not in r}
+    far = [(k, d) for k, d in days if any(r[1] == k and r[0] % 5 == 0 and 0 <= (d - r[4].date()).days <= 90 for r in rows[:60])]
+    assert sorted(map(tuple, touched.collect())) == sorted(far)
+    own = {(r["account_id"], r["_day"]): r["_before"] for r in reached.collect()}
+    assert own == {
+        (k, d): any(r[1] == k and r[0] % 5 == 0 and 1 <= (d - r[4].date()).days <= 90 for r in rows[:60]) for k, d in days
+    }
