@@ -221,6 +221,7 @@ def known_ids(spark, sf):
         if epoch == 1:
             known.compact(spark, 2)
     unknown = known.unseen(rows.select("id")).withColumn("known", F.lit(False))
+    unknown = unknown.hint("merge")
     return rows.select("id").join(unknown, "id", "left").select("id", F.coalesce("known", F.lit(True)).alias("known"))
 
 
@@ -283,7 +284,8 @@ def _scored_stream(spark, sf):
 
     records = inputs.event_records(spark, sf)
     borders = [F.lit(d).cast("timestamp") for d in ("2024-01-08", "2024-01-16 12:00:00", "2024-01-24")]
-    stamped = records.join(inputs.events(spark, sf).select(F.col("id").alias("offset"), "ts"), "offset")
+    times = inputs.events(spark, sf).select(F.col("id").alias("offset"), "ts").hint("merge")
+    stamped = records.join(times, "offset")
     stamped = materialize(stamped, "stamped")
     part = sum((F.col("ts") >= b).cast("int") for b in borders)
     folder = new_path(spark, "event-records")
