@@ -1,4 +1,4 @@
-"""Trailing features as keyed state of a stream: one map from day to (count, exact sum) per key value.
+"""Trailing features as keyed state of a stream: the (count, exact sum) of each day, as one value per key value.
 
 The scoring job takes features from tables of day totals. This is the same rule as one stateful operator:
 no table is read or listed, and a micro-batch touches only the state of its own keys.
@@ -10,7 +10,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 from decimal import Decimal
-from itertools import accumulate
+from itertools import accumulate, groupby
 from typing import Any
 
 import pandas as pd
@@ -22,7 +22,8 @@ from tellerscore.operators.history import HISTORY_TTL
 from tellerscore.schemas import AMOUNT, HORIZONS, KEYS, average_name, count_name
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_TOTAL = "n long, s decimal(35,6)"
+#: One value per key, since every access to the state is a call from the Python worker to the engine.
+_KEPT = "arrived long, day array<int>, n array<long>, s array<decimal(35,6)>"
 OUTPUT = (
     "id long, late boolean, "
     + ", ".join(f"avg_{h} double" for h in HORIZONS)
@@ -30,11 +31,12 @@ OUTPUT = (
     + ", ".join(f"n_{h} int" for h in HORIZONS)
     + ", family string"
 )
+_COLUMNS = [c.split()[0] for c in OUTPUT.split(", ")]
 
 
 @contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside keep their state in RocksDB, which map state needs."""
+    """Streams started inside keep their state in RocksDB, which keyed state needs."""
     before = spark.conf.get(_PROVIDER)
     spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
@@ -46,7 +48,7 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
 class TrailingDays(StatefulProcessor):
     """Counts and averages of one key value over its last days.
 
-    A key's map holds at most ``max(horizons) + 1 + late_days`` days, the newest one included; older ones leave when a
+    A key's value holds at most ``max(horizons) + 1 + late_days`` days, the newest one included; older ones leave when a
     newer day comes. A timer on the clock of arrival lets go of a key that brought nothing for ``ttl_ms``.
     """
 
@@ -55,54 +57,49 @@ class TrailingDays(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.days = handle.getMapState("days", "day int", _TOTAL)
-        self.last = handle.getValueState("last", "arrived long")
+        self.kept = handle.getValueState("kept", _KEPT)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "id"], kind="stable")
-        totals = {day: total for (day,), total in self.days.iterator()}
-        newest = max(totals, default=int(batch["day"].min()))
+        batch, arrived = [], 0
+        for part in rows:
+            # ts as its integer: a frame of a few rows costs less as plain tuples than as another frame
+            batch += zip(part["ts"].astype("int64").tolist(), *[part[c].tolist() for c in ("id", "day", "amount")])
+            arrived = max(arrived, int(part["arrived"].max()))
+        batch.sort(key=lambda row: row[:2])
+        before = self.kept.get()
+        totals = {} if before is None else {day: (n, s) for day, n, s in zip(*before[1:])}
+        newest = max(totals, default=min(row[2] for row in batch))
         own: dict[int, tuple[list[int], list[Decimal]]] = {}
-        for day, part in batch.groupby("day", sort=True):
+        for day, part in groupby(batch, key=lambda row: row[2]):
             n, s = totals.get(day, (0, Decimal(0)))
-            sums = list(accumulate(part["amount"], initial=s))[1:]
-            own[day] = (list(range(n + 1, n + 1 + len(part))), sums)
-            totals[day] = (n + len(part), sums[-1])
+            sums = list(accumulate((row[3] for row in part), initial=s))[1:]
+            own[day] = (list(range(n + 1, n + 1 + len(sums))), sums)
+            totals[day] = (n + len(sums), sums[-1])
         out = defaultdict(list)
         for day, (counts, sums) in own.items():
             for name, span in self.horizons.items():
-                earlier = [totals[d] for d in range(day - span, day) if d in totals]
+                earlier = [t for d, t in totals.items() if day - span <= d < day]
                 n, s = sum(t[0] for t in earlier), sum((t[1] for t in earlier), Decimal(0))
                 out[f"n_{name}"] += [n + c for c in counts]
                 out[f"avg_{name}"] += [float(s + t) / (n + c) for t, c in zip(sums, counts)]
             newest = max(newest, day)
             out["late"] += [day < newest - self.late_days] * len(counts)
-        self._keep(own, totals, newest)
-        arrived = int(batch["arrived"].max())
-        if not self.last.exists():
+        oldest = newest - max(self.horizons.values()) - self.late_days
+        left = [(day, *total) for day, total in totals.items() if day >= oldest]
+        if before is None:
             self.handle.registerTimer(arrived + self.ttl_ms)
-        self.last.update((arrived,))
-        yield pd.DataFrame({"id": batch["id"].to_numpy(), **out, "family": key[0]})[[c.split()[0] for c in OUTPUT.split(", ")]]
+        self.kept.update((arrived, *[[total[i] for total in left] for i in range(3)]))
+        yield pd.DataFrame({"id": [row[1] for row in batch], **out, "family": key[0]})[_COLUMNS]
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         """A key has one timer: it moves on if rows came since it was set, and otherwise ends the key."""
-        due = self.last.get()[0] + self.ttl_ms
+        due = self.kept.get()[0] + self.ttl_ms
         if due > expiredTimerInfo.getExpiryTimeInMs():
             self.handle.registerTimer(due)
         else:
-            self.days.clear()
-            self.last.clear()
+            self.kept.clear()
         return iter(())
 
-    def _keep(self, own: dict, totals: dict, newest: int) -> None:
-        oldest = newest - max(self.horizons.values()) - self.late_days
-        for day, total in totals.items():
-            if day >= oldest:
-                if day in own:
-                    self.days.updateValue((day,), total)
-            elif self.days.containsKey((day,)):
-                self.days.removeKey((day,))
-
     def close(self) -> None:
         pass
 

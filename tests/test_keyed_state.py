@@ -114,3 +114,13 @@ def test_waiting_transactions(spark):
     given_up = waiting.never_came(spark.read.schema(joined.schema).parquet(path))
     assert {r["id"] for r in given_up.collect()} == {3, 4, 5, 7}
     assert given_up.columns == ["id", "account_id", "amount", "arrived"]
+
+
+def test_a_key_is_one_value_whatever_its_days(spark):
+    rows, folder = stream_of(spark, ROWS, "rows")
+    stream, path = keyed.trailing_stream(rows, keys=("account_id",)), new_path(spark, "out")
+    progress = step(spark, stream, path, ([(i, "a", 1, 2, at(i)) for i in range(40)], ROWS, folder))
+    # The value, the timer with its index and counters of the engine.
+    assert state_rows(progress) <= 8
+    step(spark, stream, path, ([(40, "a", 1, 43, at(40))], ROWS, folder))
+    assert features(spark, stream, path)[40] == (2, 41, 3.0)
