@@ -26,7 +26,10 @@ from pyspark.sql import functions as F
 from tellerscore.functions.fields import label_text
 from tellerscore.operators.running import SPLIT_ROWS, GroupSizes, running_totals
 from tellerscore.schemas import FEATURES, LABEL
-from tellerscore.session import materialize, materialize_measured
+from tellerscore.session import joinable, materialize, materialize_measured
+
+#: A column of at most so many values is looked up by a broadcast of them.
+FEW_VALUES = 10_000
 
 MODELS = {
     "lr": LogisticRegressionModel,
@@ -126,36 +129,53 @@ def index_values(df: DataFrame, columns: list[str], split_rows: int = SPLIT_ROWS
     )
 
 
-def apply_index(df: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
+def apply_index(df: DataFrame, index: DataFrame, columns: list[str], few: int = FEW_VALUES) -> DataFrame:
     """Add ``<column>_index``; a null or a value without an index gets the number of values.
 
-    Rows are melted to (row, column, value), joined with the index once, and regrouped, so there are as many
-    shuffles for one column as for a hundred. A row's other columns travel with its first cell. Values that
-    many rows share are split by adaptive execution, like any skewed join key.
+    Columns of at most ``few`` values, which come a hundred times each and more, are looked up where the rows
+    are. Those of the others are melted to (row, column, value), joined with the index once, and regrouped, so
+    there are as many shuffles for one such column as for a hundred. The row itself stays behind and meets its
+    positions at the end. Values that many rows share are split by adaptive execution, like any skewed join key.
     """
     if not columns:
         return df
-    sizes = {r["column"]: r["n"] for r in index.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    measured = index.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.sum("frequency").alias("rows")).collect()
+    sizes = {r["column"]: r["n"] for r in measured}
+    repeated = {r["column"] for r in measured if r["n"] <= few and r["n"] * 100 <= r["rows"]}
+    short = [c for c in columns if c in repeated]
+    long = [c for c in columns if c not in repeated]
     carried = F.struct(*[df[c] for c in df.columns if c not in {f"{c}_index" for c in columns}])
-    rows = materialize(df.select(F.monotonically_increasing_id().alias("_row"), carried.alias("_in")), "rows")
-    none = F.lit(None).cast(rows.schema["_in"].dataType)
-    cells = [
-        F.struct(
-            F.lit(at).alias("at"),
-            F.lit(c).alias("column"),
-            F.col("_in")[c].cast("string").alias("value"),
-            (none if at else F.col("_in")).alias("_in"),
-        )
-        for at, c in enumerate(columns)
-    ]
-    melted = rows.select("_row", F.inline(F.array(*cells)))
-    joined = melted.join(index.select("column", "value", "position"), ["column", "value"], "left")
-    unseen = F.get(F.array(*[F.lit(float(sizes.get(c, 0))) for c in columns]), F.col("at"))
-    cell = F.struct("at", F.coalesce("position", unseen).alias("position"))
-    found = joined.groupBy("_row").agg(
-        F.first("_in", ignorenulls=True).alias("_in"), F.sort_array(F.collect_list(cell)).alias("_cells")
-    )
-    return found.select("_in.*", *[F.col("_cells")[at]["position"].alias(f"{c}_index") for at, c in enumerate(columns)])
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), carried.alias("_in"))
+    rows = materialize(_looked_up(rows, index, short), "rows")
+    if long:
+        rows = rows.join(_positions(rows, index, long, sum(sizes.get(c, 0) for c in long)), "_row", "left")
+    found = [F.coalesce(F.col(f"_{c}"), F.lit(float(sizes.get(c, 0)))).alias(f"{c}_index") for c in columns]
+    return rows.select("_in.*", *found)
+
+
+def _looked_up(rows: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with ``_<column>``, the value's position or null, for columns of few values."""
+    if not columns:
+        return rows
+    known = materialize(index.where(F.col("column").isin(columns)), "short-index")
+    for c in columns:
+        own = known.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("position").alias(f"_{c}"))
+        rows = rows.join(F.broadcast(own), F.col("_in")[c].cast("string") == F.col("_value"), "left").drop("_value")
+    return rows
+
+
+def _positions(rows: DataFrame, index: DataFrame, columns: list[str], values: int) -> DataFrame:
+    """For each ``_row`` with a known value in any of ``columns``, ``_<column>``, the value's position or null.
+
+    Cells are dealt by row before they are regrouped: until then, hardly two of a task belong to one row.
+    """
+    cells = [F.struct(F.lit(at).alias("at"), F.col("_in")[c].cast("string").alias("value")) for at, c in enumerate(columns)]
+    melted = rows.select("_row", F.inline(F.array(*cells))).where("value IS NOT NULL")
+    at = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column")).cast("int") - 1
+    known = index.where(F.col("column").isin(columns)).select("value", at.alias("at"), "position")
+    joined = melted.join(joinable(known, values), ["value", "at"]).select("_row", "at", "position")
+    found = [F.max(F.when(F.col("at") == at, F.col("position"))).alias(f"_{c}") for at, c in enumerate(columns)]
+    return materialize(joined, "cells").repartition("_row").groupBy("_row").agg(*found)
 
 
 def repeating(df: DataFrame, columns: list[str], most: int = 100) -> list[str]:

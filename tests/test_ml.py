@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tellerscore.operators import ml
 from tellerscore.plans.training import train
 from tellerscore.schemas import FEATURES, LABEL, TRAINING
-from tellerscore.session import new_path
+from tellerscore.session import materialize, new_path
 from tellerscore.sources.training import training_csv
 
 
@@ -90,6 +90,19 @@ def test_shuffles_do_not_grow_with_columns(spark, table, columns):
     assert plan.count("Join ") == 1 and plan.count("Aggregate ") == 1
 
 
+def test_columns_of_few_values_are_not_shuffled(spark):
+    """And the result is that of columns that are; a value or a column that the index lacks, and nulls."""
+    data = [(i, i % 3, None if i % 10 == 0 else f"w{i % 4}", i / 2, "x") for i in range(1000)]
+    df = spark.createDataFrame(data, "id long, few int, w string, many double, absent string")
+    index = materialize(ml.index_values(df.where("w IS NULL OR w <> 'w3'"), ["few", "w", "many"]), "index")
+    columns = ["few", "w", "many", "absent"]
+    got = ml.apply_index(df, index, columns)
+    assert sorted(got.collect()) == sorted(ml.apply_index(df, index, columns, few=0).collect())
+    assert {(r.w, r.w_index == 3.0) for r in got.collect()} == {("w0", False), ("w1", False), ("w2", False), ("w3", True), (None, True)}
+    plan = ml.apply_index(df, index, ["few", "w"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+
+
 def test_indexing_keeps_rows_and_columns(spark):
     """Repeated rows, nulls, clashing names, a value that a third of the rows share, no rows."""
     data = [(i % 50, "hot" if i % 3 else None, "old", float(i % 7)) for i in range(300)]
