@@ -70,19 +70,24 @@ def states(p: Params, tokens: np.ndarray, state: np.ndarray, keep: bool = False)
     return out, kept
 
 
+def _row_sums(values: np.ndarray) -> np.ndarray:
+    """A product is several times as fast as a sum over short rows."""
+    return values @ np.ones(values.shape[1], dtype=values.dtype)
+
+
 def _softmax(logits: np.ndarray, scale: np.float32, bounded: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shifted logits, ``scale`` times the probabilities, and log sums by row, from one evaluation of the exponential."""
     if not bounded:
         logits -= logits.max(axis=1, keepdims=True)
     found = np.exp(logits)
-    sums = found.sum(axis=1)
+    sums = _row_sums(found)
     found *= (scale / sums)[:, None]
     return logits, found, np.log(sums)
 
 
 def _reach(weights: np.ndarray, bias: np.ndarray) -> float:
     """No logit of a state, whose numbers lie between -1 and 1, is larger."""
-    return float((np.abs(weights).sum(axis=0) + np.maximum(bias, -50)).max())
+    return float((np.abs(weights).sum(axis=-2) + np.maximum(bias, -50)).max())
 
 
 def _log_of(state: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, rows: int = 2048) -> np.ndarray:
@@ -100,7 +105,7 @@ def _log_of(state: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.nda
             logits -= logits.max(axis=1, keepdims=True)
         wanted = logits[np.arange(len(logits)), at[start:stop]]
         np.exp(logits, out=logits)
-        out[start:stop] = wanted - np.log(logits.sum(axis=1))
+        out[start:stop] = wanted - np.log(_row_sums(logits))
     return out
 
 
@@ -123,7 +128,7 @@ def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params |
         out = logits[rows, cls] - sums
         d[rows, cls] -= scale
         grads["class_out"] += state.T @ d
-        grads["class_bias"] += d.sum(axis=0)
+        grads["class_bias"] += np.ones(len(d), dtype=d.dtype) @ d
         d_state = d @ p["class_out"].T
     order = np.argsort(cls, kind="stable")
     found, starts = np.unique(cls[order], return_index=True)
@@ -139,14 +144,15 @@ def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params |
         np.matmul(h[start:stop], p["token_out"][c], out=logits[start:stop])
     for c, start, stop in cuts:
         logits[start:stop] += p["token_bias"][c]
-    logits, d, sums = _softmax(logits, scale)
+    logits, d, sums = _softmax(logits, scale, _reach(p["token_out"], p["token_bias"]) <= 60)
     out[order] += logits[rows, at] - sums
     d[rows, at] -= scale
     d_h = np.empty_like(h)
+    ones = np.ones(len(d), dtype=d.dtype)
     for c, start, stop in cuts:
         grads["token_out"][c] += h[start:stop].T @ d[start:stop]
+        grads["token_bias"][c] += ones[start:stop] @ d[start:stop]
         np.matmul(d[start:stop], p["token_out"][c].T, out=d_h[start:stop])
-    grads["token_bias"][found] += np.add.reduceat(d, starts, axis=0)
     d_state[order] += d_h
     return out, d_state
 
@@ -180,26 +186,50 @@ def _backward(p: Params, tokens: np.ndarray, kept: tuple, d_states: np.ndarray,
     grads["inputs"][found] += np.add.reduceat(d_inputs.reshape(-1, 3 * hidden)[order], starts, axis=0)
 
 
-def _windows(ids: list[np.ndarray], batch: int, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
-    """Documents of like length side by side, cut into windows: rows, (time, batch) inputs and targets, first?
+def _windows(
+    ids: list[np.ndarray], batch: int, window: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Documents side by side, longest first, cut into windows; a lane whose document ended takes the next one.
 
-    Targets of -1 are padding. Rows are those still running, a prefix of the batch.
+    Gives the lanes' documents, (time, lanes) inputs and targets, the lanes of the window before that are left,
+    and which lanes start a document here. Targets of -1 are padding.
     """
-    order = np.argsort([-len(i) for i in ids], kind="stable")
-    for start in range(0, len(order), batch):
-        rows = order[start : start + batch]
-        lengths = np.array([len(ids[r]) for r in rows])
-        longest = lengths[0]
-        flat_ids = np.concatenate([ids[r] for r in rows])
-        firsts = np.cumsum(lengths) - lengths
-        for at in range(0, longest, window):
-            running = int((lengths > at).sum())
-            place = np.arange(at, min(at + window, longest))[:, None]
-            real = place < lengths[:running]
-            where = np.minimum(firsts[:running] + place, len(flat_ids) - 1)
-            targets = np.where(real, flat_ids[where], -1)
-            inputs = np.where(real & (place > 0), flat_ids[where - 1], END)
-            yield rows[:running], inputs, targets, at == 0
+    if not ids:
+        return
+    lengths = np.array([len(i) for i in ids])
+    order = np.argsort(-lengths, kind="stable")
+    flat_ids = np.concatenate([ids[r] for r in order])
+    ends = np.cumsum(lengths[order])
+    firsts = ends - lengths[order]
+    docs = np.arange(min(batch, len(ids)))
+    following, at = len(docs), firsts[docs]
+    left, starts = docs, np.ones(len(docs), dtype=bool)
+    while len(docs):
+        stop = ends[docs]
+        place = at + np.arange(min(window, (stop - at).max()))[:, None]
+        real = place < stop
+        where = np.minimum(place, len(flat_ids) - 1)
+        targets = np.where(real, flat_ids[where], -1)
+        inputs = np.where(real & (place > firsts[docs]), flat_ids[where - 1], END)
+        yield order[docs], inputs, targets, left, starts
+        at = at + window
+        free = np.nonzero(at >= stop)[0]
+        taken, idle = np.split(free, [min(len(free), len(ids) - following)])
+        docs = docs.copy()
+        docs[taken] = np.arange(following, following + len(taken))
+        at[taken] = firsts[docs[taken]]
+        following += len(taken)
+        starts = np.zeros(len(docs), dtype=bool)
+        starts[taken] = True
+        left = np.delete(np.arange(len(docs)), idle)
+        docs, at, starts = docs[left], at[left], starts[left]
+
+
+def _carried(state: np.ndarray, left: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The states that a window begins with."""
+    state = state[left]
+    state[starts] = 0
+    return state
 
 
 def score(
@@ -219,10 +249,9 @@ def score(
         np.add.at(out, rows, log_probs(p, after, targets).astype(np.float64))
         waiting.clear()
 
-    state = np.zeros((0, hidden), dtype=np.float32)
-    for rows, inputs, targets, first in _windows(ids, batch, window):
-        state = np.zeros((len(rows), hidden), dtype=np.float32) if first else state[: len(rows)]
-        after, _ = states(p, inputs, state)
+    state = np.zeros((batch, hidden), dtype=np.float32)
+    for rows, inputs, targets, left, starts in _windows(ids, batch, window):
+        after, _ = states(p, inputs, _carried(state, left, starts))
         state = after[-1]
         real = targets >= 0
         waiting.append((np.broadcast_to(rows, targets.shape)[real], after[real], targets[real]))
@@ -252,10 +281,9 @@ class Trainer:
 
     def learn(self, ids: list[np.ndarray], batch: int = 64, window: int = 16) -> None:
         hidden, per_class = len(self.p["recurrent"]), self.p["token_bias"].shape[1]
-        state = np.zeros((0, hidden), dtype=np.float32)
-        for rows, inputs, targets, first in _windows(ids, batch, window):
-            state = np.zeros((len(rows), hidden), dtype=np.float32) if first else state[: len(rows)]
-            after, kept = states(self.p, inputs, state, keep=True)
+        state = np.zeros((batch, hidden), dtype=np.float32)
+        for _, inputs, targets, left, starts in _windows(ids, batch, window):
+            after, kept = states(self.p, inputs, _carried(state, left, starts), keep=True)
             state = after[-1]
             real = targets >= 0
             wanted = targets[real]

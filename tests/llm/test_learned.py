@@ -230,6 +230,24 @@ def test_probabilities_of_next_tokens_sum_to_one():
     assert np.exp(logs).sum() == pytest.approx(1, abs=1e-6)
 
 
+def test_lanes_do_not_wait_for_the_longest_document():
+    """Every token is met once, each document from its first to its last, and short ones fill the lanes."""
+    rng = np.random.default_rng(6)
+    ids = [rng.integers(2, 50, n).astype(np.int32) for n in (160, *[16] * 30, 1, 7)]
+    seen, before, steps = {i: [] for i in range(len(ids))}, np.arange(4), 0
+    for docs, inputs, targets, left, starts in gru._windows(ids, 4, 16):
+        steps += 1
+        assert len(docs) == len(left) == len(starts) <= 4
+        for lane, doc in enumerate(docs):
+            real = targets[:, lane] >= 0
+            assert inputs[0, lane] == (gru.END if starts[lane] else seen[doc][-1])
+            assert starts[lane] == (not seen[doc]) and (starts[lane] or before[left[lane]] == doc)
+            seen[doc] += targets[real, lane].tolist()
+        before = docs
+    assert all(seen[i] == ids[i].tolist() for i in seen)
+    assert steps <= 11 and list(gru._windows([], 4, 16)) == []
+
+
 def test_state_is_carried_across_windows():
     p = small_model()
     rng = np.random.default_rng(2)
