@@ -1,7 +1,8 @@
 """A gated recurrent language model in numpy, with a class-factored output and truncated backpropagation.
 
-Arrays are time-major. A token's probability is that of its class times that of the token within the
-class, both softmax functions of the state before it. Token 0 stands for every token outside the
+Tokens and states are time-major; inside a window, the lanes come last, so that gates are whole rows. A token's
+probability is that of its class times that of the token within the class, both softmax functions of the state
+before it. The last row of each weight matrix is its bias. Token 0 stands for every token outside the
 vocabulary, token 1 for the end of a document, which also comes before its first token.
 """
 
@@ -29,84 +30,110 @@ def initial(counts: np.ndarray, hidden: int, per_class: int, seed: int = 3) -> P
     with np.errstate(divide="ignore"):
         within = np.where(freq > 0, np.log(freq / freq.sum(axis=1, keepdims=True)), -1e9)
     normal = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
+    with_bias = lambda weights, bias: np.concatenate([weights, bias[..., None, :]], axis=-2, dtype=np.float32)
     return {
         "inputs": normal(0.1, tokens, 3 * hidden),
-        "recurrent": normal(1 / np.sqrt(hidden), hidden, 3 * hidden),
-        "bias": np.zeros(3 * hidden, dtype=np.float32),
-        "class_out": normal(0.01, hidden, classes),
-        "class_bias": np.log(freq.sum(axis=1) / freq.sum()).astype(np.float32),
-        "token_out": normal(0.01, classes, hidden, per_class),
-        "token_bias": within.astype(np.float32),
+        "recurrent": with_bias(normal(1 / np.sqrt(hidden), hidden, 3 * hidden), np.zeros(3 * hidden)),
+        "class_out": with_bias(normal(0.01, hidden, classes), np.log(freq.sum(axis=1) / freq.sum())),
+        "token_out": with_bias(normal(0.01, classes, hidden, per_class), within),
     }
 
 
 def states(p: Params, tokens: np.ndarray, state: np.ndarray, keep: bool = False) -> tuple[np.ndarray, tuple]:
     """States after each of ``tokens`` (time, batch), and what backpropagation needs of all steps."""
-    hidden = state.shape[1]
-    gathered = p["inputs"][tokens]
-    out = np.empty((*tokens.shape, hidden), dtype=np.float32)
-    kind = np.result_type(out, p["recurrent"])
-    kept = tuple(np.empty((*tokens.shape, width), dtype=kind) for width in (hidden, 2 * hidden, hidden, hidden)) if keep else ()
-    for t in range(len(tokens)):
-        from_input = gathered[t]
-        from_state = state @ p["recurrent"]
-        from_state += p["bias"]
-        gates = from_input[:, : 2 * hidden] + from_state[:, : 2 * hidden]
-        gates *= 0.5
+    (steps, lanes), hidden = tokens.shape, state.shape[1]
+    gated = 2 * hidden
+    kind = np.result_type(state, p["recurrent"])
+    # A sigmoid is (1 + tanh(x / 2)) / 2.
+    halves = np.repeat(np.array([0.5, 1], dtype=kind), [gated, hidden])[:, None]
+    recurrent = np.ascontiguousarray(p["recurrent"].T) * halves
+    from_input = np.take(p["inputs"], tokens, axis=0).transpose(0, 2, 1) * halves
+    found = np.empty((steps + 1, hidden + 1, lanes), dtype=kind)
+    found[:, hidden], found[0, :hidden] = 1, state.T
+    parts = np.empty((steps if keep else 1, 3 * hidden, lanes), dtype=kind)
+    news = np.empty((len(parts), hidden, lanes), dtype=kind)
+    for t in range(steps):
+        at = t if keep else 0
+        part, given, new = parts[at], from_input[t], news[at]
+        np.matmul(recurrent, found[t], out=part)
+        gates = part[:gated]
+        gates += given[:gated]
         np.tanh(gates, out=gates)
         gates *= 0.5
         gates += 0.5
-        update, reset = gates[:, :hidden], gates[:, hidden:]
-        new = reset * from_state[:, 2 * hidden :]
-        new += from_input[:, 2 * hidden :]
+        np.multiply(gates[hidden:], part[gated:], out=new)
+        new += given[gated:]
         np.tanh(new, out=new)
-        if keep:
-            for part, value in zip(kept, (state, gates, new, from_state[:, 2 * hidden :])):
-                part[t] = value
-        state = state - new
-        state *= update
-        state += new
-        out[t] = state
-    return out, kept
-
+        after = np.subtract(found[t, :hidden], new, out=found[t + 1, :hidden])
+        after *= gates[:hidden]
+        after += new
+    return np.ascontiguousarray(found[1:, :hidden].transpose(0, 2, 1)), (found, parts, news)
 
-def _row_sums(values: np.ndarray) -> np.ndarray:
-    """A product is several times as fast as a sum over short rows."""
-    return values @ np.ones(values.shape[1], dtype=values.dtype)
 
+def _log_softmax(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log softmax at one place per row, exponentials, and their sums by row, from one evaluation of the exponential.
 
-def _softmax(logits: np.ndarray, scale: np.float32, bounded: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shifted logits, ``scale`` times the probabilities, and log sums by row, from one evaluation of the exponential."""
-    if not bounded:
+    A product is several times as fast as a sum over short rows. Only logits whose exponentials leave the
+    range of numbers are shifted.
+    """
+    places = np.arange(0, logits.size, logits.shape[1]) + at
+    ones = np.ones(logits.shape[1], dtype=logits.dtype)
+    wanted = logits.take(places)
+    with np.errstate(over="ignore"):
+        found = np.exp(logits)
+    sums = found @ ones
+    if not (sums.min(initial=1) > 1e-30 and sums.max(initial=1) < 1e30):
         logits -= logits.max(axis=1, keepdims=True)
-    found = np.exp(logits)
-    sums = _row_sums(found)
+        wanted = logits.take(places)
+        np.exp(logits, out=found)
+        sums = found @ ones
+    return wanted - np.log(sums), found, sums
+
+
+def _gradient(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log softmax at one place per row, and the gradient of minus their mean."""
+    out, found, sums = _log_softmax(logits, at)
+    scale = found.dtype.type(1 / max(len(at), 1))
     found *= (scale / sums)[:, None]
-    return logits, found, np.log(sums)
+    found.reshape(-1)[np.arange(0, found.size, found.shape[1]) + at] -= scale
+    return out, found
 
 
-def _reach(weights: np.ndarray, bias: np.ndarray) -> float:
-    """No logit of a state, whose numbers lie between -1 and 1, is larger."""
-    return float((np.abs(weights).sum(axis=-2) + np.maximum(bias, -50)).max())
+def _log_of(h: np.ndarray, weights: np.ndarray, at: np.ndarray, rows: int = 2048) -> np.ndarray:
+    """Log softmax at one place per row, a cache's worth of rows at a time."""
+    out = np.empty(len(h), dtype=h.dtype)
+    for start in range(0, len(h), rows):
+        stop = start + rows
+        out[start:stop] = _log_softmax(h[start:stop] @ weights, at[start:stop])[0]
+    return out
 
 
-def _log_of(state: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, rows: int = 2048) -> np.ndarray:
-    """Log softmax at one place per row, a cache's worth of rows at a time.
+class _Classes:
+    """Products of rows, in the order of their classes, with their classes' matrices.
 
-    States lie between -1 and 1, so small weights need no shift against overflow.
+    Classes of many rows are multiplied one by one; the others have a block of few rows each, and the products of
+    all blocks are one call.
     """
-    bounded = _reach(weights, bias) <= 60
-    out = np.empty(len(state), dtype=np.result_type(state, weights))
-    for start in range(0, len(state), rows):
-        stop = start + rows
-        logits = state[start:stop] @ weights
-        logits += bias
-        if not bounded:
-            logits -= logits.max(axis=1, keepdims=True)
-        wanted = logits[np.arange(len(logits)), at[start:stop]]
-        np.exp(logits, out=logits)
-        out[start:stop] = wanted - np.log(_row_sums(logits))
-    return out
+
+    FEW = 16
+
+    def __init__(self, cls: np.ndarray):
+        sizes = np.bincount(cls)
+        ends = np.cumsum(sizes)
+        self.many = [(c, ends[c] - sizes[c], ends[c]) for c in np.flatnonzero(sizes > self.FEW).tolist()]
+        self.few = np.flatnonzero((sizes > 0) & (sizes <= self.FEW))
+        sizes, ends = sizes[self.few], ends[self.few]
+        within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.rows = np.repeat(ends - sizes, sizes) + within
+        self.places = np.repeat(np.arange(len(sizes)) * self.FEW, sizes) + within
+
+    def dealt(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.few) * self.FEW, rows.shape[1]), dtype=rows.dtype)
+        out[self.places] = rows[self.rows]
+        return out.reshape(len(self.few), self.FEW, rows.shape[1])
+
+    def gathered(self, blocks: np.ndarray, into: np.ndarray) -> None:
+        into[self.rows] = blocks.reshape(-1, blocks.shape[2])[self.places]
 
 
 def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params | None = None):
@@ -114,76 +141,81 @@ def log_probs(p: Params, state: np.ndarray, targets: np.ndarray, grads: Params |
 
     With ``grads``, the gradients of minus their mean are added to it, and that of the states is returned too.
     """
-    per_class = p["token_bias"].shape[1]
-    cls, within = targets // per_class, targets % per_class
-    rows = np.arange(len(targets))
-    d_state = None
-    scale = np.float32(1 / max(len(targets), 1))
-    if grads is None:
-        out = _log_of(state, p["class_out"], p["class_bias"], cls)
-    else:
-        logits = state @ p["class_out"]
-        logits += p["class_bias"]
-        logits, d, sums = _softmax(logits, scale, _reach(p["class_out"], p["class_bias"]) <= 60)
-        out = logits[rows, cls] - sums
-        d[rows, cls] -= scale
-        grads["class_out"] += state.T @ d
-        grads["class_bias"] += np.ones(len(d), dtype=d.dtype) @ d
-        d_state = d @ p["class_out"].T
-    order = np.argsort(cls, kind="stable")
-    found, starts = np.unique(cls[order], return_index=True)
-    cuts = list(zip(found.tolist(), starts.tolist(), [*starts[1:].tolist(), len(order)]))
+    weights, per_class, hidden = p["token_out"], p["token_out"].shape[2], state.shape[1]
+    cls = targets // per_class
+    # Everything below is in the order of the classes.
+    order = np.argsort(cls.astype(np.int16) if len(weights) < 1 << 15 else cls, kind="stable")
+    cls, at = cls[order], targets[order] % per_class
+    h = np.ones((len(order), hidden + 1), dtype=np.result_type(state, weights))
+    h[:, :hidden] = state[order]
+    found = np.empty(len(order), dtype=h.dtype)
     if grads is None:
-        for c, start, stop in cuts:
-            own = order[start:stop]
-            out[own] += _log_of(state[own], p["token_out"][c], p["token_bias"][c], within[own])
-        return out
-    h, at = state[order], within[order]
-    logits = np.empty((len(h), per_class), dtype=np.result_type(h, p["token_out"]))
-    for c, start, stop in cuts:
-        np.matmul(h[start:stop], p["token_out"][c], out=logits[start:stop])
-    for c, start, stop in cuts:
-        logits[start:stop] += p["token_bias"][c]
-    logits, d, sums = _softmax(logits, scale, _reach(p["token_out"], p["token_bias"]) <= 60)
-    out[order] += logits[rows, at] - sums
-    d[rows, at] -= scale
-    d_h = np.empty_like(h)
-    ones = np.ones(len(d), dtype=d.dtype)
-    for c, start, stop in cuts:
-        grads["token_out"][c] += h[start:stop].T @ d[start:stop]
-        grads["token_bias"][c] += ones[start:stop] @ d[start:stop]
-        np.matmul(d[start:stop], p["token_out"][c].T, out=d_h[start:stop])
-    d_state[order] += d_h
-    return out, d_state
+        in_class = np.empty_like(found)
+        ends = np.cumsum(np.bincount(cls)).tolist()
+        for c, (start, stop) in enumerate(zip([0, *ends], ends)):
+            if start < stop:
+                in_class[start:stop] = _log_of(h[start:stop], weights[c], at[start:stop])
+        found[order] = in_class + _log_of(h, p["class_out"], cls)
+        return found
+    of_class, d = _gradient(h @ p["class_out"], cls)
+    grads["class_out"] += h.T @ d
+    d_h = d @ p["class_out"][:hidden].T
+    classes = _Classes(cls)
+    logits = np.empty((len(h), per_class), dtype=h.dtype)
+    for c, start, stop in classes.many:
+        np.matmul(h[start:stop], weights[c], out=logits[start:stop])
+    h_dealt, own = classes.dealt(h), weights[classes.few]
+    classes.gathered(h_dealt @ own, logits)
+    in_class, d = _gradient(logits, at)
+    into, more = grads["token_out"], np.empty_like(d_h)
+    for c, start, stop in classes.many:
+        into[c] += h[start:stop].T @ d[start:stop]
+        np.matmul(d[start:stop], weights[c, :hidden].T, out=more[start:stop])
+    d_dealt = classes.dealt(d)
+    into[classes.few] += h_dealt.transpose(0, 2, 1) @ d_dealt
+    classes.gathered(d_dealt @ own[:, :hidden].transpose(0, 2, 1), more)
+    d_h += more
+    d_state = np.empty_like(d_h)
+    d_state[order], found[order] = d_h, of_class + in_class
+    return found, d_state
 
 
 def _backward(p: Params, tokens: np.ndarray, kept: tuple, d_states: np.ndarray, grads: Params) -> None:
     """Gradients of the recurrent part over one window; nothing flows to the window before."""
-    hidden = d_states.shape[2]
-    before, gates, new, candidate = kept
-    update, reset = gates[:, :, :hidden], gates[:, :, hidden:]
+    steps, lanes, hidden = d_states.shape
+    found, parts, new = kept
+    update, reset, candidate = (parts[:, i * hidden : (i + 1) * hidden] for i in range(3))
+    rest = 1 - update
     # What each step's gradient is multiplied with; only the recurrence itself goes step by step.
-    by_new = (1 - update) * (1 - new * new)
-    factors = np.concatenate([(before - new) * update * (1 - update), by_new * candidate * reset * (1 - reset), by_new], axis=2)
-    recurrent = np.ascontiguousarray(p["recurrent"].T)
-    through = factors.copy()
-    through[:, :, 2 * hidden :] *= reset
-    d_all = np.empty((*tokens.shape, 3, hidden), dtype=d_states.dtype)
-    through = through.reshape(d_all.shape)
-    d_total = np.empty_like(d_states)
-    d_next = np.zeros_like(d_states[0])
-    for t in range(len(tokens) - 1, -1, -1):
-        d = np.add(d_states[t], d_next, out=d_total[t])
-        np.multiply(d[:, None, :], through[t], out=d_all[t])
-        d_next = d_all[t].reshape(len(d), -1) @ recurrent
-        d_next += d * update[t]
-    d_inputs = d_total[:, :, None, :] * factors.reshape(d_all.shape)
-    d_all = d_all.reshape(-1, 3 * hidden)
-    grads["recurrent"] += before.reshape(-1, hidden).T @ d_all
-    grads["bias"] += d_all.sum(axis=0)
-    order = np.argsort(tokens, axis=None, kind="stable")
-    found, starts = np.unique(tokens.ravel()[order], return_index=True)
-    grads["inputs"][found] += np.add.reduceat(d_inputs.reshape(-1, 3 * hidden)[order], starts, axis=0)
+    through = np.empty((steps, 4, hidden, lanes), dtype=parts.dtype)
+    of_update, of_reset, of_new, through[:, 3] = *(through[:, i] for i in range(3)), update
+    np.subtract(found[:-1, :hidden], new, out=of_update)
+    of_update *= update
+    of_update *= rest
+    by_new = rest
+    by_new -= by_new * new * new
+    np.multiply(by_new, reset, out=of_new)
+    np.subtract(1, reset, out=of_reset)
+    of_reset *= candidate
+    of_reset *= of_new
+    back = np.concatenate([p["recurrent"][:hidden], np.eye(hidden, dtype=parts.dtype)], axis=1)
+    d_total = d_states.transpose(0, 2, 1).astype(parts.dtype, order="C")
+    d_all = np.empty_like(through)
+    flat_all = d_all.reshape(steps, -1, lanes)
+    for t in range(steps - 1, -1, -1):
+        np.multiply(d_total[t], through[t], out=d_all[t])
+        if t:
+            d_total[t - 1] += back @ flat_all[t]
+    flat_all = flat_all[:, : 3 * hidden]
+    lanes_last = lambda of: of.transpose(1, 0, 2).reshape(of.shape[1], -1)
+    grads["recurrent"] += lanes_last(found[:-1]) @ lanes_last(flat_all).T
+    np.multiply(d_total, by_new, out=d_all[:, 2])
+    rows = flat_all.transpose(0, 2, 1).reshape(-1, 3 * hidden)
+    flat = tokens.ravel()
+    order = np.argsort(flat.astype(np.int16) if len(p["inputs"]) < 1 << 15 else flat, kind="stable")
+    flat = flat[order]
+    starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    grads["inputs"][flat[starts]] += np.add.reduceat(rows.take(order, axis=0), starts, axis=0)
 
 
 def _windows(
@@ -201,16 +233,21 @@ def _windows(
     flat_ids = np.concatenate([ids[r] for r in order])
     ends = np.cumsum(lengths[order])
     firsts = ends - lengths[order]
+    flat_inputs = np.concatenate([[END], flat_ids[:-1]]).astype(flat_ids.dtype)
+    flat_inputs[firsts] = END
     docs = np.arange(min(batch, len(ids)))
     following, at = len(docs), firsts[docs]
     left, starts = docs, np.ones(len(docs), dtype=bool)
     while len(docs):
         stop = ends[docs]
-        place = at + np.arange(min(window, (stop - at).max()))[:, None]
-        real = place < stop
-        where = np.minimum(place, len(flat_ids) - 1)
-        targets = np.where(real, flat_ids[where], -1)
-        inputs = np.where(real & (place > firsts[docs]), flat_ids[where - 1], END)
+        rest = stop - at
+        place = at + np.arange(min(window, rest.max()))[:, None]
+        if rest.min() >= len(place):
+            targets, inputs = flat_ids[place], flat_inputs[place]
+        else:
+            real = place < stop
+            where = np.minimum(place, len(flat_ids) - 1)
+            targets, inputs = np.where(real, flat_ids[where], -1), np.where(real, flat_inputs[where], END)
         yield order[docs], inputs, targets, left, starts
         at = at + window
         free = np.nonzero(at >= stop)[0]
@@ -221,8 +258,10 @@ def _windows(
         following += len(taken)
         starts = np.zeros(len(docs), dtype=bool)
         starts[taken] = True
-        left = np.delete(np.arange(len(docs)), idle)
-        docs, at, starts = docs[left], at[left], starts[left]
+        left = np.arange(len(docs))
+        if len(idle):
+            left = np.delete(left, idle)
+            docs, at, starts = docs[left], at[left], starts[left]
 
 
 def _carried(state: np.ndarray, left: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -232,6 +271,12 @@ def _carried(state: np.ndarray, left: np.ndarray, starts: np.ndarray) -> np.ndar
     return state
 
 
+def _real(targets: np.ndarray) -> np.ndarray | slice:
+    """Where targets are no padding, among the flattened ones."""
+    real = targets.ravel() >= 0
+    return slice(None) if real.all() else real
+
+
 def score(
     p: Params, ids: list[np.ndarray], batch: int = 512, window: int = 32, gathered: int = 1 << 15
 ) -> np.ndarray:
@@ -239,7 +284,7 @@ def score(
 
     The outputs of several windows are evaluated together, about ``gathered`` tokens at a time.
     """
-    hidden = len(p["recurrent"])
+    hidden = len(p["recurrent"]) - 1
     out = np.zeros(len(ids))
     waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     held = 0
@@ -253,8 +298,8 @@ def score(
     for rows, inputs, targets, left, starts in _windows(ids, batch, window):
         after, _ = states(p, inputs, _carried(state, left, starts))
         state = after[-1]
-        real = targets >= 0
-        waiting.append((np.broadcast_to(rows, targets.shape)[real], after[real], targets[real]))
+        real = _real(targets)
+        waiting.append((np.tile(rows, len(targets))[real], after.reshape(-1, hidden)[real], targets.ravel()[real]))
         held += len(waiting[-1][0])
         if held >= gathered:
             evaluate()
@@ -271,7 +316,7 @@ class Trainer:
     moments' decay is made up when they are met again.
     """
 
-    DENSE, BY_TOKEN, BY_CLASS = ("recurrent", "bias", "class_out", "class_bias"), ("inputs",), ("token_out", "token_bias")
+    DENSE, BY_TOKEN, BY_CLASS = ("recurrent", "class_out"), ("inputs",), ("token_out",)
 
     def __init__(self, params: Params, rate: float):
         self.p = {k: v.copy() for k, v in params.items()}
@@ -280,49 +325,68 @@ class Trainer:
         self.rate, self.steps, self.tokens = rate, 0, 0
 
     def learn(self, ids: list[np.ndarray], batch: int = 64, window: int = 16) -> None:
-        hidden, per_class = len(self.p["recurrent"]), self.p["token_bias"].shape[1]
+        hidden, per_class = len(self.p["recurrent"]) - 1, self.p["token_out"].shape[2]
         state = np.zeros((batch, hidden), dtype=np.float32)
         for _, inputs, targets, left, starts in _windows(ids, batch, window):
             after, kept = states(self.p, inputs, _carried(state, left, starts), keep=True)
-            state = after[-1]
-            real = targets >= 0
-            wanted = targets[real]
+            state, after = after[-1], after.reshape(-1, hidden)
+            real = _real(targets)
+            wanted = targets.ravel()[real]
             d_states = np.zeros_like(after)
             _, d_states[real] = log_probs(self.p, after[real], wanted, self.grads)
+            d_states = d_states.reshape(*targets.shape, hidden)
             _backward(self.p, inputs, kept, d_states, self.grads)
-            self._update(np.unique(inputs), np.unique(wanted // per_class))
+            self._update(_met(inputs.ravel()), _met(wanted // per_class))
             self.tokens += len(wanted)
 
     def _update(self, tokens: np.ndarray, classes: np.ndarray) -> None:
         self.steps += 1
         rate = np.float32(self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
         for name in self.DENSE:
-            self._step(name, slice(None), 1, rate)
+            _move(self.p[name], self.grads[name], self.mean[name], self.square[name], np.float32(1), rate)
         for names, rows in ((self.BY_TOKEN, tokens), (self.BY_CLASS, classes)):
             for name in names:
-                rested = (self.steps - self.met[name][rows]).reshape(-1, *[1] * (self.p[name].ndim - 1))
-                self.met[name][rows] = self.steps
-                self._step(name, rows, rested, rate)
+                self._step(name, rows, rate)
 
-    def _step(self, name: str, rows, rested, rate: np.float32) -> None:
+    def _step(self, name: str, rows: np.ndarray, rate: np.float32) -> None:
         """Move ``rows`` of a parameter, which rested for some steps, and clear their gradient.
 
-        The moments are kept ten and a hundred times as large as usual, which saves two products.
+        Where they are most of its rows, the others stay in place too, unmoved.
         """
-        rested = np.asarray(rested, dtype=np.float32)
-        g = self.grads[name][rows].copy() if isinstance(rows, slice) else self.grads[name][rows]
-        mean = self.mean[name][rows] * np.float32(0.9) ** rested
-        square = self.square[name][rows] * np.float32(0.99) ** rested
-        self.grads[name][rows] = 0
-        mean += g
-        g *= g
-        square += g
-        self.mean[name][rows], self.square[name][rows] = mean, square
-        np.sqrt(square, out=square)
-        square += np.float32(1e-5)
-        mean /= square
-        mean *= rate
-        self.p[name][rows] -= mean
+        met, parts = self.met[name], (self.p[name], self.grads[name], self.mean[name], self.square[name])
+        rested = (self.steps - met[rows]).astype(np.float32)
+        met[rows] = self.steps
+        if 2 * len(rows) > len(met):
+            rests, rates = np.zeros((2, len(met), 1), dtype=np.float32)
+            rests[rows, 0], rates[rows] = rested, rate
+            _move(*(part.reshape(len(met), -1) for part in parts), rests, rates)
+            return
+        own = [part.take(rows, axis=0) for part in parts]
+        _move(*own, rested.reshape(-1, *[1] * (own[0].ndim - 1)), rate)
+        for part, moved in zip(parts, own):
+            part[rows] = moved
+
+
+def _met(numbers: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.bincount(numbers))
+
+
+def _move(p: np.ndarray, g: np.ndarray, mean: np.ndarray, square: np.ndarray, rested, rate) -> None:
+    """A step of Adam in place, which leaves the gradient empty.
+
+    The moments are kept ten and a hundred times as large as usual, which saves two products.
+    """
+    mean *= np.float32(0.9) ** rested
+    mean += g
+    g *= g
+    square *= np.float32(0.99) ** rested
+    square += g
+    np.sqrt(square, out=g)
+    g += np.float32(1e-5)
+    np.divide(mean, g, out=g)
+    g *= rate
+    p -= g
+    g[...] = 0
 
 
 def flat(p: Params) -> np.ndarray:

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,18 +99,52 @@ def _most(words: DataFrame, room: int) -> Column:
     return F.lit(True)
 
 
+def _in_groups(texts: Iterable[bytes], most: int = 4 << 20) -> Iterator[list[bytes]]:
+    """Texts in their order, in groups of about ``most`` bytes or of one longer text."""
+    group, held = [], 0
+    for text in texts:
+        group.append(text)
+        held += len(text)
+        if held >= most:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
+def words_of_all(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """:func:`words_of` of many texts: the words one after another, and where those of each text end."""
+    text = pa.array(texts, pa.large_binary()).view(pa.large_string())
+    parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(text)))
+    words = parts.values.view(pa.large_binary())
+    ends = parts.offsets.to_numpy()[1:].astype(np.int64)
+    kept = pc.binary_length(words).to_numpy() > 0  # a text without words is one empty part
+    if not kept.all():
+        words, ends = words.filter(pa.array(kept)), np.concatenate([[0], np.cumsum(kept)])[ends]
+    return words, ends
+
+
+def _places(words: pa.Array, among: pa.Array) -> np.ndarray:
+    """The place of each word among others, or how many those are."""
+    return pc.index_in(words, value_set=among).fill_null(len(among)).to_numpy()
+
+
 @dataclass
 class Vocabulary:
-    """Ids of the words that the recurrent model knows; ``counts`` by id."""
+    """Ids of the words that the recurrent model knows, in the order of their ids; ``counts`` by id."""
 
     ids: dict[bytes, int]
     counts: np.ndarray
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        get = self.ids.get
-        out = [get(w, gru.OUTSIDE) for w in words]
-        out.append(gru.END)
-        return np.array(out, dtype=np.int32)
+    def encode(self, texts: Iterable[bytes]) -> list[np.ndarray]:
+        """The ids of each text, and the end."""
+        known = pa.array(list(self.ids), pa.large_binary())
+        number = np.append(np.fromiter(self.ids.values(), np.int32, len(self.ids)), np.int32(gru.OUTSIDE))
+        out = []
+        for group in _in_groups(texts):
+            words, ends = words_of_all(group)
+            out += np.split(np.insert(number[_places(words, known)], ends, gru.END), (ends + np.arange(1, len(ends) + 1))[:-1])
+        return out
 
 
 def vocabulary(counts: Counts, size: int) -> Vocabulary:
@@ -125,7 +161,7 @@ def _train_task(shared, rate: float, turn: int, turns: int):
         vocab, params = shared.value
         trainer = gru.Trainer(params, rate)
         for batch in batches:
-            trainer.learn([vocab.encode(words_of(t)) for t in batch["text"] if zlib.crc32(t) % turns == turn])
+            trainer.learn(vocab.encode(t for t in batch["text"] if zlib.crc32(t) % turns == turn))
         if trainer.tokens:
             values = gru.flat(trainer.p)
             chunks = [values[i : i + _CHUNK].tobytes() for i in range(0, len(values), _CHUNK)]
@@ -199,19 +235,24 @@ def _score_udf(shared):
     )
     def scored(texts: pd.Series) -> pd.DataFrame:
         params, lookup = shared.value
-        number, end = lookup.numbers.get, float(np.log10(lookup.ends + 0.5))
+        frequent, end = pa.array(list(lookup.numbers), pa.large_binary()), float(np.log10(lookup.ends + 0.5))
         ids, rows = [], []
-        for text in texts:
-            words = words_of(text)
-            at = np.array([number(w, -1) for w in words], dtype=np.int32)
-            own = np.empty(len(words) + 1, dtype=np.int32)
-            own[:-1], own[-1] = lookup.ids[at], gru.END
-            ids.append(own)
-            others = Counter([words[i] for i in np.nonzero(at < 0)[0].tolist()])
-            known = len(words) - sum(others.values()) + (lookup.ends > 0)
-            logs, outside_logs = float(lookup.logs[at].sum()) + end, float(lookup.outside_logs[at].sum())
-            n_outside = int((own == gru.OUTSIDE).sum())
-            rows.append((len(own), known, logs, n_outside, outside_logs, list(others), list(others.values())))
+        for group in _in_groups(texts):
+            words, ends = words_of_all(group)
+            at = _places(words, frequent)
+            rare = np.flatnonzero(at == len(frequent))
+            rare_words, rare_ends = words.take(pa.array(rare)).to_pylist(), np.searchsorted(rare, ends)
+            start = rare_start = 0
+            for stop, rare_stop in zip(ends.tolist(), rare_ends.tolist()):
+                here = at[start:stop]
+                own = np.append(lookup.ids[here], np.int32(gru.END))
+                ids.append(own)
+                others = Counter(rare_words[rare_start:rare_stop])
+                known = stop - start - (rare_stop - rare_start) + (lookup.ends > 0)
+                logs, outside_logs = float(lookup.logs[here].sum()) + end, float(lookup.outside_logs[here].sum())
+                n_outside = int((own == gru.OUTSIDE).sum())
+                rows.append((len(own), known, logs, n_outside, outside_logs, list(others), list(others.values())))
+                start, rare_start = stop, rare_stop
         out = pd.DataFrame(
             rows, columns=["n_tokens", "n_known", "logs", "n_outside", "outside_logs", "words", "times"]
         )

@@ -282,6 +282,42 @@ def test_gradients_equal_differences():
             assert grads[k][place] == pytest.approx((loss(up) - loss(down)) / 2e-3, abs=5e-4), k
 
 
+def test_products_of_classes_with_few_and_many_rows():
+    """Rows that share a block, and classes of their own, give what each row alone gives."""
+    p = small_model()
+    rng = np.random.default_rng(7)
+    targets = np.concatenate([np.full(40, 1), np.full(16, 5), [9, 0, 10]])
+    rng.shuffle(targets)
+    state = rng.normal(0, 1, (len(targets), 5))
+    assert [c for c, *_ in gru._Classes(np.sort(targets // 4)).many] == [0]
+    grads = {k: np.zeros_like(v) for k, v in p.items()}
+    logs, d = gru.log_probs(p, state, targets, grads)
+    assert logs == pytest.approx(gru.log_probs(p, state, targets))
+    alone = {k: np.zeros_like(v) for k, v in p.items()}
+    for i in range(len(targets)):
+        log, own = gru.log_probs(p, state[i : i + 1], targets[i : i + 1], alone)
+        assert (log[0], own[0] / len(targets)) == (pytest.approx(logs[i]), pytest.approx(d[i]))
+    for k in p:
+        assert grads[k] == pytest.approx(alone[k] / len(targets)), k
+
+
+def test_large_logits_are_shifted():
+    logits = np.array([[400.0, 500.0], [-900.0, -901.0], [0.0, 1.0]], dtype=np.float32)
+    found, _, _ = gru._log_softmax(logits, np.array([1, 0, 1]))
+    assert found == pytest.approx([0, -np.log1p(np.exp(-1)), -np.log1p(np.exp(-1))], abs=1e-6)
+
+
+def test_words_of_many_texts_are_those_of_each():
+    texts = [b" A b\x0b\x0cC\x1cD \n", b"", b"\t ", "\u00c4\u2003e".encode(), b"\xff X", b"one"]
+    words, ends = lm_scores.words_of_all(texts)
+    words = words.to_pylist()
+    assert [words[i:j] for i, j in zip([0, *ends], ends)] == [lm_scores.words_of(t) for t in texts]
+    assert [len(g) for g in lm_scores._in_groups([b"aa", b"b", b"cccc", b"d"], 3)] == [2, 1, 1]
+    vocab = lm_scores.Vocabulary({b"one": 2, b"x": 3}, np.ones(4))
+    assert [i.tolist() for i in vocab.encode(texts)[-2:]] == [[0, 3, 1], [2, 1]]
+    assert [len(i) for i in vocab.encode(texts)] == [len(lm_scores.words_of(t)) + 1 for t in texts]
+
+
 # --- nearest neighbours ---------------------------------------------------------------------------
 
 VECTORS = "vec_id long, embedding array<float>, label int"
